@@ -164,6 +164,6 @@ MODELS = {
     ),
 }
 
-REGISTERED_MODEL_NAME = os.environ.get("MLFLOW_REGISTRY_MODEL_NAME", "nifty_fwd_ret_20d_model")
+REGISTERED_MODEL_NAME = "fwd_ret_20d_model"
 PRODUCTION = "Production"
 ARCHIVED = "Archived"

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewalk.config import DATE, GARCH_FEATURES, MODELS, SERIES, TARGET
+from tidewalk.schemas import PREDICTIONS
+from tidewalk.sources.tables import new_working_path
 
 MIN_FIT_ROWS = 30
 MIN_SCORE_ROWS = 2
@@ -68,25 +70,28 @@ def run_experiments(
     ranged: DataFrame, fold_ids: Sequence[int], experiments: Sequence[tuple[str, str, Sequence[str]]],
     garch: DataFrame | None = None, overrides: dict | None = None, parallelism: int = 4,
 ) -> DataFrame | None:
-    """Test predictions of every (model, variant, columns) over every fold.
+    """Test predictions of every (model, variant, columns) over every fold; None when no fold had enough rows.
 
-    Each fit is a set of cluster-wide jobs; up to `parallelism` of them are in flight. Predictions stay
-    distributed: the result is the union of the folds' lazy scoring plans.
+    Each fit is a set of cluster-wide jobs; up to `parallelism` of them are in flight. Every fold's predictions are
+    written as it finishes and read back as one table, so they neither pile up in a plan nor pass the driver.
     """
-    def one(task):
+    base = new_working_path(ranged.sparkSession, "predictions")
+
+    def one(task) -> bool:
         (name, variant, columns), fold_id = task
         uses_garch = bool(set(GARCH_FEATURES) & set(columns))
-        return run_fold(ranged, fold_id, name, variant, columns, garch if uses_garch else None, overrides)
+        predicted = run_fold(ranged, fold_id, name, variant, columns, garch if uses_garch else None, overrides)
+        if predicted is not None:
+            predicted.write.mode("overwrite").parquet(f"{base}/{name}/{variant}/{fold_id}")
+        return predicted is not None
 
     tasks = [(experiment, fold_id) for experiment in experiments for fold_id in fold_ids]
     with ThreadPoolExecutor(parallelism) as pool:
-        parts = [part for part in pool.map(one, tasks) if part is not None]
-    if not parts:
+        done = list(pool.map(one, tasks))
+    if not any(done):
         return None
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    reader = ranged.sparkSession.read.schema(PREDICTIONS).option("recursiveFileLookup", True)
+    return reader.parquet(base)
 
 
 def refit(frame: DataFrame, model_name: str, feature_cols: Sequence[str], overrides: dict | None = None) -> PipelineModel:

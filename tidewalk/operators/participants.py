@@ -27,6 +27,12 @@ REPORTED = {
     ],
     "stk_fut_net_pct": [("FII", "OI"), ("Client", "OI")],
 }
+# snapshot column -> the single role it nets
+ROLES = {
+    "fii_fut_net_pct": ("FII", "OI", "idx_fut_role"),
+    "client_fut_net_pct": ("Client", "OI", "idx_fut_role"),
+    "fii_pe_net_pct": ("FII", "OI", "idx_pe_role"),
+}
 
 
 def _in_bucket(instrument: str, direction: str) -> Column:
@@ -34,19 +40,23 @@ def _in_bucket(instrument: str, direction: str) -> Column:
     return (F.col("asset_class") == asset) & (F.col("option_side") == side) & (F.col("direction") == direction)
 
 
-def participant_base(df: DataFrame) -> DataFrame:
-    """Contracts in eight buckets per day, participant and metric; an empty bucket counts 0."""
+BUCKETS = [f"{instrument}_{direction}" for instrument in INSTRUMENTS for direction in ("long", "short")]
+
+
+def _held(df: DataFrame) -> DataFrame:
+    """Contracts in eight buckets per day, participant and metric, NULL where a bucket has no row."""
     return df.groupBy(*DAY, "participant_type", "metric_type").agg(*[
-        F.sum(F.when(_in_bucket(instrument, direction), F.col("contracts")).otherwise(0)).alias(
-            f"{instrument}_{direction}"
-        )
-        for instrument in INSTRUMENTS
-        for direction in ("long", "short")
+        F.sum(F.when(_in_bucket(*bucket.rsplit("_", 1)), F.col("contracts"))).alias(bucket) for bucket in BUCKETS
     ])
 
 
-def participant_net(base: DataFrame) -> DataFrame:
-    """Net futures positions and option skew in percent, from `participant_base`."""
+def participant_base(df: DataFrame) -> DataFrame:
+    """Contracts in eight buckets per day, participant and metric; an empty bucket counts 0."""
+    return _held(df).na.fill(0, BUCKETS)
+
+
+def participant_net(base: DataFrame, *carried: str) -> DataFrame:
+    """Net futures positions and option skew in percent, from `participant_base`; `carried` columns pass through."""
     c = F.col
     return base.select(
         *DAY, "participant_type", "metric_type",
@@ -55,43 +65,50 @@ def participant_net(base: DataFrame) -> DataFrame:
         round_f(
             skew_pct(c("idx_ce_long"), c("idx_ce_short"), c("idx_pe_long"), c("idx_pe_short")), 2
         ).alias("idx_opt_skew_pct"),
+        *carried,
     )
 
 
+def _pick(who: str, metric: str, measure: str) -> Column:
+    chosen = (F.col("participant_type") == who) & (F.col("metric_type") == metric)
+    return F.max(F.when(chosen, F.col(measure)))
+
+
+def _reported() -> list[Column]:
+    return [
+        _pick(who, metric, measure).alias(f"{who.lower()}_{metric.lower()}_{measure}")
+        for measure, pairs in REPORTED.items() for who, metric in pairs
+    ]
+
+
 def participant_pivot(df: DataFrame) -> DataFrame:
     """One row per day with a column per reported (participant, metric, measure).
 
     The second grouping sees at most eight rows a day.
     """
-    def pick(who: str, metric: str, measure: str) -> Column:
-        chosen = (F.col("participant_type") == who) & (F.col("metric_type") == metric)
-        return F.max(F.when(chosen, F.col(measure))).alias(f"{who.lower()}_{metric.lower()}_{measure}")
-
-    return (
-        participant_net(participant_base(df))
-        .groupBy(*DAY)
-        .agg(*[pick(who, metric, measure) for measure, pairs in REPORTED.items() for who, metric in pairs])
-    )
+    return participant_net(participant_base(df)).groupBy(*DAY).agg(*_reported())
 
 
-def role_net_pct(df: DataFrame) -> DataFrame:
-    """Net open interest of single roles; NULL unless both sides of the role exist that day.
+def _role_net(instrument: str) -> Column:
+    """Net open interest in percent; NULL unless both directions were reported, so a one-sided day is not +-100."""
+    return round_f(net_ratio_pct(F.col(f"{instrument}_long"), F.col(f"{instrument}_short")), 2)
 
-    All six roles come from one conditional aggregation instead of six joins of the table to itself. Unlike
-    `participant_base` a missing side stays NULL, so a one-sided day gives NULL and not +-100.
-    """
-    def held(who: str, instrument: str, direction: str) -> Column:
-        return F.sum(F.when((F.col("participant_type") == who) & _in_bucket(instrument, direction), F.col("contracts")))
-
-    def net(who: str, instrument: str) -> Column:
-        return round_f(net_ratio_pct(held(who, instrument, "long"), held(who, instrument, "short")), 2)
 
+def role_net_pct(df: DataFrame) -> DataFrame:
+    """Net open interest of single roles: one conditional aggregation instead of six joins of the table to itself."""
     roles = F.col("participant_type").isin("FII", "Client") & (F.col("asset_class") == "INDEX")
-    return df.filter((F.col("metric_type") == "OI") & roles).groupBy(*DAY).agg(
-        net("FII", "idx_fut").alias("fii_fut_net_pct"),
-        net("Client", "idx_fut").alias("client_fut_net_pct"),
-        net("FII", "idx_pe").alias("fii_pe_net_pct"),
-    )
+    held = _held(df.filter((F.col("metric_type") == "OI") & roles))
+    nets = held.withColumns({"idx_fut_role": _role_net("idx_fut"), "idx_pe_role": _role_net("idx_pe")})
+    return nets.groupBy(*DAY).agg(*[_pick(*role).alias(name) for name, role in ROLES.items()])
+
+
+def participant_features(df: DataFrame) -> DataFrame:
+    """`participant_pivot` and `role_net_pct` side by side from one pass over the table."""
+    held = _held(df)
+    keys = [*DAY, "participant_type", "metric_type"]
+    roles = held.select(*keys, *BUCKETS, _role_net("idx_fut").alias("idx_fut_role"), _role_net("idx_pe").alias("idx_pe_role"))
+    nets = participant_net(roles.na.fill(0, BUCKETS), "idx_fut_role", "idx_pe_role")
+    return nets.groupBy(*DAY).agg(*_reported(), *[_pick(*role).alias(name) for name, role in ROLES.items()])
 
 
 def divergence(a: Column, b: Column) -> Column:

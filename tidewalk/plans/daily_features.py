@@ -36,7 +36,7 @@ PIVOT_COLUMNS = {
 }
 
 
-def participant_columns(pivot: DataFrame) -> DataFrame:
+def participant_columns(pivot: DataFrame, *carried: str) -> DataFrame:
     """The pivot under its snapshot names, with the divergence of foreign and client futures."""
     return pivot.select(
         "series_id", "trade_date",
@@ -44,6 +44,7 @@ def participant_columns(pivot: DataFrame) -> DataFrame:
         participants.divergence(F.col("fii_oi_idx_fut_net_pct"), F.col("client_oi_idx_fut_net_pct")).alias(
             "fii_client_divergence"
         ),
+        *carried,
     )
 
 
@@ -68,8 +69,7 @@ def joined_features(tables: Mapping[str, DataFrame], names: MarketNames = Market
         derivatives.nearest_expiry(futures).select(
             "series_id", "trade_date", "basis", "cost_of_carry", F.col("chng_oi_per").alias("fut_chng_oi_pct")
         ),
-        participants.role_net_pct(tables["participant_activity"]),
-        participant_columns(participants.participant_pivot(tables["participant_activity"])),
+        participant_columns(participants.participant_features(tables["participant_activity"]), *participants.ROLES),
         participants.flow_stats(tables["fii_stats"], names.flow_instrument),
     )
 

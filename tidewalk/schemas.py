@@ -73,6 +73,10 @@ FOLDS = _schema(
     series_id="string", fold_id="int", train_end="date", test_start="date", test_end="date",
     embargo_date="date", n_train="long", n_test="long",
 )
+PREDICTIONS = _schema(
+    model_name="string", feature_variant="string", series_id="string", fold_id="int", trade_date="date",
+    prediction="double", label="double",
+)
 FOLD_RESULTS = _schema(
     run_id="string", model_name="string", feature_variant="string", series_id="string", fold="int",
     test_start="string", ic_pearson="double", ic_spearman="double", rmse="double", dir_acc="double", n_test="long",

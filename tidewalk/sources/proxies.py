@@ -6,8 +6,6 @@ series, so the same plans can be run for many instruments at once.
 
 from __future__ import annotations
 
-from itertools import product
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,6 +53,17 @@ def index_levels_by_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def instruments_by_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (
+        table(spark, sf_dir, "orders")
+        .select(
+            F.col("o_orderpriority").alias("series_id"), F.lit(NAMES.ticker).alias("ticker"),
+            F.expr("last_day(add_months(cast(o_orderdate as date), o_orderkey % 3))").alias("expiry"),
+        )
+        .distinct()
+    )
+
+
 def index_levels_by_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One price series per nation and market segment.
 
@@ -87,44 +96,32 @@ def market_activity_index(spark, sf_dir, n_series=1):
 def participant_activity(spark, sf_dir, n_series=1):
     """Contracts per day, participant and bucket.
 
-    Lines collapse to one row per order (map side first) before they meet `orders`, so an order with very many
-    lines costs the join one row. The second grouping is over the same 24 sums, unpivoted only at the end.
+    An order with very many lines skews the join; adaptive execution splits its partition, which is free here
+    because the grouping has an exchange of its own.
     """
-    metrics = {"OI": F.expr("l_linenumber % 3 <> 0"), "VOL": F.expr("l_linenumber % 3 = 0")}
-    assets = {"STOCK": F.expr("l_linenumber = 7"), "INDEX": F.expr("l_linenumber <> 7")}
-    sides = {"NA": F.expr("l_returnflag = 'N'"), "CE": F.expr("l_returnflag = 'A'"), "PE": F.expr("l_returnflag = 'R'")}
-    directions = {"long": F.expr("l_partkey % 2 = 0"), "short": F.expr("l_partkey % 2 <> 0")}
-    buckets = {
-        f"b{i}": combo for i, combo in enumerate(product(metrics, assets, sides, directions))
-    }
-    quantity = F.col("l_quantity").cast("long")
-    per_order = (
-        table(spark, sf_dir, "lineitem")
-        .groupBy(F.col("l_orderkey").alias("o_orderkey"))
-        .agg(*[
-            F.sum(F.when(metrics[m] & assets[a] & sides[s] & directions[d], quantity)).alias(name)
-            for name, (m, a, s, d) in buckets.items()
-        ])
-    )
-    participants = F.array(*[F.lit(p) for p in ("FII", "Client", "DII", "Pro")])
-    per_day = (
-        _orders(spark, sf_dir, n_series)
-        .select("o_orderkey", "series_id", "trade_date")
-        .join(per_order, "o_orderkey")
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("o_orderkey"),
+        F.when(F.col("l_linenumber") % 3 != 0, "OI").otherwise("VOL").alias("metric_type"),
+        F.when(F.col("l_linenumber") == 7, "STOCK").otherwise("INDEX").alias("asset_class"),
+        F.when(F.col("l_returnflag") == "N", "NA").when(F.col("l_returnflag") == "A", "CE").otherwise("PE").alias(
+            "option_side"
+        ),
+        F.when(F.col("l_partkey") % 2 == 0, "long").otherwise("short").alias("direction"),
+        F.col("l_quantity").cast("long").alias("quantity"),
+    )
+    participant = F.element_at(
+        F.array(*[F.lit(p) for p in ("FII", "Client", "DII", "Pro")]), (F.col("o_orderkey") % 4 + 1).cast("int")
+    )
+    orders = _orders(spark, sf_dir, n_series).select(
+        "o_orderkey", "series_id", "trade_date", participant.alias("participant_type")
+    )
+    return (
+        lines.join(orders, "o_orderkey")
         .groupBy(
-            "series_id", "trade_date",
-            F.element_at(participants, (F.col("o_orderkey") % 4 + 1).cast("int")).alias("participant_type"),
+            "series_id", "trade_date", "participant_type", "metric_type", "asset_class", "option_side", "direction"
         )
-        .agg(*[F.sum(name).alias(name) for name in buckets])
+        .agg(F.sum("quantity").alias("contracts"))
     )
-    rows = F.array(*[
-        F.struct(
-            F.lit(m).alias("metric_type"), F.lit(a).alias("asset_class"), F.lit(s).alias("option_side"),
-            F.lit(d).alias("direction"), F.col(name).alias("contracts"),
-        )
-        for name, (m, a, s, d) in buckets.items()
-    ])
-    return per_day.select("series_id", "trade_date", "participant_type", F.inline(rows)).filter("contracts is not null")
 
 
 def _month_end(months_ahead: str) -> Column:

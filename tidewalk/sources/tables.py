@@ -90,13 +90,16 @@ def working_root(spark: SparkSession) -> str:
     return root
 
 
+def new_working_path(spark: SparkSession, label: str) -> str:
+    return f"{working_root(spark)}/tidewalk/{label}-{uuid.uuid4().hex}"
+
+
 def materialise(frame: DataFrame, label: str) -> DataFrame:
     """Write a frame that several jobs will read, and read it back.
 
     Lineage is cut at a file in shared storage, so a lost executor costs a re-read and not a recomputation, and
     later jobs still get column pruning and filter pushdown.
     """
-    spark = frame.sparkSession
-    path = f"{working_root(spark)}/tidewalk/{label}-{uuid.uuid4().hex}"
+    path = new_working_path(frame.sparkSession, label)
     frame.write.parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
