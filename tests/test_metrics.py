@@ -1,0 +1,79 @@
+
+import pytest
+from conftest import business_days
+
+from tidewalk.operators import metrics
+
+DAYS = business_days(30)
+SCHEMA = "g string, trade_date date, prediction double, label double"
+
+
+def scored(spark, predictions, labels):
+    data = [("x", d, float(p), float(y)) for d, p, y in zip(DAYS, predictions, labels)]
+    return metrics.fold_metrics(spark.createDataFrame(data, SCHEMA), ["g"]).first()
+
+
+def test_perfect_prediction(spark):
+    m = scored(spark, [1, 2, 3, 4, 5], [1, 2, 3, 4, 5])
+    assert m.ic_pearson == pytest.approx(1.0) and m.ic_spearman == pytest.approx(1.0)
+    assert (m.rmse, m.dir_acc, m.n_test) == (0.0, 1.0, 5)
+
+
+@pytest.mark.parametrize("flat_side", [0, 1])
+def test_constant_side_has_no_correlation_but_has_errors(spark, flat_side):
+    sides = [[1.0] * 4, [1.0, 2.0, 3.0, 4.0]]
+    m = scored(spark, sides[flat_side], sides[1 - flat_side])
+    assert m.ic_pearson is None and m.ic_spearman is None and m.rmse is not None and m.dir_acc == 1.0
+
+
+def test_near_constant_uses_the_first_value_by_day(spark):
+    assert scored(spark, [100.0, 100.0009, 99.9991, 100.0], [1, 2, 3, 4]).ic_pearson is None
+    assert scored(spark, [100.0, 100.0011, 100.0, 100.0], [1, 2, 3, 4]).ic_pearson is not None
+
+
+def test_two_rows_are_too_few(spark):
+    m = scored(spark, [1, 2], [1, 2])
+    assert tuple(m[name] for name in metrics.METRICS) == (None,) * 4 and m.n_test == 2
+
+
+def test_ties_share_their_mean_rank(spark):
+    import pandas as pd
+
+    p, y = [1, 1, 2, 3, 3, 3, 0], [2, 1, 1, 4, 4, 5, 0]
+    expected = pd.Series(p).rank().corr(pd.Series(y).rank())
+    assert scored(spark, p, y).ic_spearman == pytest.approx(expected)
+
+
+def test_zero_matches_zero_only(spark):
+    assert scored(spark, [0, 0, -1, 2], [0, 1, -3, 5]).dir_acc == 0.75
+
+
+def summary(spark, ics):
+    data = [("m", "v", ic, 0.5, 1.0, 0.5) for ic in ics]
+    df = spark.createDataFrame(
+        data, "model_name string, feature_variant string, ic_pearson double, ic_spearman double, rmse double, dir_acc double"
+    )
+    return metrics.summarize_folds(df).first()
+
+
+def test_summary_of_three_folds(spark):
+    s = summary(spark, [0.1, 0.2, -0.05])
+    assert s.n_folds == 3 and s.positive_fold_pct == pytest.approx(2 / 3)
+    assert s.mean_ic_pearson == pytest.approx(0.25 / 3)
+    sd = (sum((x - 0.25 / 3) ** 2 for x in (0.1, 0.2, -0.05)) / 2) ** 0.5
+    assert s.ic_t_stat == pytest.approx((0.25 / 3) / (sd / 3**0.5))
+
+
+def test_missing_ics_count_as_not_positive(spark):
+    for missing in (None, float("nan")):
+        s = summary(spark, [0.1, missing])
+        assert (s.n_folds, s.positive_fold_pct, s.ic_t_stat) == (1, 0.5, None)
+
+
+def test_identical_ics_have_no_t_statistic(spark):
+    assert summary(spark, [0.1, 0.1]).ic_t_stat is None
+
+
+def test_no_ic_at_all(spark):
+    s = summary(spark, [None, None])
+    assert (s.n_folds, s.mean_ic_pearson, s.positive_fold_pct) == (0, None, 0.0)

@@ -1,0 +1,125 @@
+import math
+
+import numpy as np
+import pytest
+from conftest import business_days, rows
+from pyspark.sql import functions as F
+
+from tidewalk.config import GarchParams
+from tidewalk.operators import garch_math, volatility
+
+TRUE = GarchParams(mu=0.05, omega=0.02, alpha=0.08, beta=0.90, nu=7.0)
+
+
+def simulate(n, p=TRUE, seed=3):
+    rng = np.random.default_rng(seed)
+    v, out = p.omega / (1 - p.alpha - p.beta), []
+    for _ in range(n):
+        e = math.sqrt(v * (p.nu - 2) / p.nu) * rng.standard_t(p.nu)
+        out.append(p.mu + e)
+        v = p.omega + p.alpha * e * e + p.beta * v
+    return np.array(out)
+
+
+def price_frame(spark, returns_pct, series="A"):
+    level = 100 * np.exp(np.concatenate(([0.0], np.cumsum(returns_pct))) / 100)
+    days = business_days(len(level))
+    return spark.createDataFrame(
+        [(series, d, float(x)) for d, x in zip(days, level)], "series_id string, trade_date date, nifty_close double"
+    )
+
+
+@pytest.mark.parametrize("beta", [0.0, 0.3, 0.9, 0.999])
+def test_variances_equal_the_recursion_step_by_step(beta):
+    resid = simulate(300)
+    past = garch_math.start_variance(resid)
+    v, expected = 0.02 + (0.05 + beta) * past, []
+    for e in resid:
+        expected.append(v)
+        v = 0.02 + 0.05 * e * e + beta * v
+    assert np.allclose(garch_math.variances(resid, 0.02, 0.05, beta), [*expected, v], rtol=1e-12, atol=0)
+
+
+def test_start_variance_is_a_weighted_mean_of_the_first_75():
+    assert garch_math.start_variance(np.full(200, 3.0)) == pytest.approx(9.0)
+    late = np.concatenate((np.ones(75), np.full(50, 100.0)))
+    assert garch_math.start_variance(late) == pytest.approx(1.0)
+
+
+def test_fit_recovers_known_parameters():
+    params, loglik, converged = garch_math.fit(simulate(6000))
+    assert converged
+    assert params["alpha"] == pytest.approx(TRUE.alpha, abs=0.03)
+    assert params["beta"] == pytest.approx(TRUE.beta, abs=0.04)
+    assert params["nu"] == pytest.approx(TRUE.nu, abs=1.5)
+    y = simulate(6000)
+    assert loglik >= -garch_math.neg_loglik(y, TRUE.mu, TRUE.omega, TRUE.alpha, TRUE.beta, TRUE.nu)
+
+
+def test_log_returns_span_removed_days_and_skip_bad_prices(spark):
+    days = business_days(4)
+    df = spark.createDataFrame(
+        [("A", days[0], 1.0), ("A", days[2], math.e), ("A", days[3], 0.0)],
+        "series_id string, trade_date date, nifty_close double",
+    )
+    assert [r[2] for r in rows(volatility.log_returns(df), "trade_date")] == [None, pytest.approx(1.0), None]
+
+
+def test_failed_fit_keeps_its_row_and_says_why(spark):
+    flat = price_frame(spark, np.zeros(50)).union(price_frame(spark, np.ones(3), "B"))
+    fits = volatility.garch_fit(volatility.full_window(volatility.log_returns(flat)))
+    status = {r.series_id: r.status for r in fits.collect()}
+    assert status == {"A": "failed: constant returns", "B": "failed: too few returns"}
+    assert volatility.garch_path(fits).isEmpty()
+
+
+def test_path_and_forecast_through_spark(spark):
+    y = simulate(150)
+    frame = price_frame(spark, y)
+    fixed = GarchParams(0.0, 0.1, 0.1, 0.8)
+    fits = volatility.garch_fit(volatility.full_window(volatility.log_returns(frame)), fixed).withColumn(
+        "fold_id", F.lit(0)
+    )
+    v = garch_math.variances(y, 0.1, 0.1, 0.8)
+    sigma = np.sqrt(v) / 100
+    path = rows(volatility.garch_path(fits), "trade_date")
+    assert np.allclose([r[3] for r in path], sigma[:-1])
+    assert path[0][4] is None and np.allclose([r[4] for r in path[1:]], np.diff(sigma[:-1]))
+
+    test_rows = frame.limit(5).select("series_id", F.lit(0).alias("fold_id"), "trade_date")
+    h, expected = v[-1], []
+    for _ in range(5):
+        expected.append(math.sqrt(h) / 100)
+        h = 0.1 + 0.9 * h
+    ahead = rows(volatility.garch_forecast(fits, test_rows), "trade_date")
+    assert np.allclose([r[3] for r in ahead], expected)
+    assert np.allclose([r[4] for r in ahead], np.diff([sigma[-2], *expected]))
+    shifted = rows(volatility.garch_forecast(fits, test_rows, embargo_gap=2), "trade_date")
+    assert np.allclose([r[3] for r in shifted[:3]], expected[2:])
+
+
+def test_unit_persistence_forecasts_grow_linearly(spark):
+    df = spark.createDataFrame([(0.5, 0.25, 0.75, 2.0)], "omega double, alpha double, beta double, next_variance double")
+    got = df.select(volatility.forecast_variance(F.lit(1)), volatility.forecast_variance(F.lit(5))).first()
+    assert tuple(got) == (2.0, 4.0)
+
+
+def test_training_windows_stop_at_the_embargo(spark):
+    frame = price_frame(spark, simulate(60))
+    days = [r.trade_date for r in frame.orderBy("trade_date").collect()]
+    folds = spark.createDataFrame(
+        [("A", 0, days[30]), ("A", 1, days[45])], "series_id string, fold_id int, embargo_date date"
+    )
+    windows = volatility.training_windows(volatility.log_returns(frame), folds)
+    assert {(r.fold_id, len(r.history), r.history[-1].day) for r in windows.collect()} == {
+        (0, 30, days[30]), (1, 45, days[45])
+    }
+
+
+def test_last_state(spark):
+    days = business_days(2)
+    path = spark.createDataFrame(
+        [("A", days[1], 2.0, 1.0), ("A", days[0], 1.0, None)],
+        "series_id string, trade_date date, garch_sigma double, garch_sigma_chg double",
+    )
+    assert rows(volatility.last_state(path)) == [("A", 2.0, 1.0)]

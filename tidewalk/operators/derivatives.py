@@ -1,7 +1,8 @@
 """Option-chain and futures measures, one row per series and day.
 
-Rankings are filtered on their rank, so Spark keeps only the leading rows of each day before the shuffle
-(WindowGroupLimit): a day with very many contracts sends a handful per task.
+Every measure cuts its rows before the shuffle, so a day with very many contracts costs a handful of rows per task:
+sums combine map-side, and rankings are filtered on their rank, which Spark turns into a WindowGroupLimit. Ratio and
+ranking read the chain separately for that reason; one shared pass would have to shuffle every contract.
 """
 
 from __future__ import annotations
@@ -18,10 +19,6 @@ def contracts_of(df: DataFrame, ticker: str, instrument_type: str) -> DataFrame:
     return df.filter((F.col("ticker") == ticker) & (F.col("instrument_type") == instrument_type))
 
 
-def put_call_ratio(options: DataFrame) -> DataFrame:
-    return options.groupBy(*DAY).agg(round_f(ratio(F.sum("pe_oi"), F.sum("ce_oi")), 4).alias("pcr"))
-
-
 def top_by_liquidity(options: DataFrame, k: int = 3) -> DataFrame:
     """The k expiries with the largest open interest each day; the nearer expiry wins a tie."""
     ranked = Window.partitionBy(*DAY).orderBy(F.desc_nulls_last("open_interest"), "expiry")
@@ -32,6 +29,10 @@ def top_by_liquidity(options: DataFrame, k: int = 3) -> DataFrame:
     )
 
 
+def put_call_ratio(options: DataFrame) -> DataFrame:
+    return options.groupBy(*DAY).agg(round_f(ratio(F.sum("pe_oi"), F.sum("ce_oi")), 4).alias("pcr"))
+
+
 def max_pain_distance(options: DataFrame, k: int = 3) -> DataFrame:
     """Distance of the underlying from max pain in percent, weighted by open interest over the top k expiries.
 

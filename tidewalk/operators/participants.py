@@ -37,7 +37,7 @@ ROLES = {
 
 def _in_bucket(instrument: str, direction: str) -> Column:
     asset, side = INSTRUMENTS[instrument]
-    return (F.col("asset_class") == asset) & (F.col("option_side") == side) & (F.col("direction") == direction)
+    return F.expr(f"asset_class = '{asset}' and option_side = '{side}' and direction = '{direction}'")
 
 
 BUCKETS = [f"{instrument}_{direction}" for instrument in INSTRUMENTS for direction in ("long", "short")]
@@ -70,8 +70,7 @@ def participant_net(base: DataFrame, *carried: str) -> DataFrame:
 
 
 def _pick(who: str, metric: str, measure: str) -> Column:
-    chosen = (F.col("participant_type") == who) & (F.col("metric_type") == metric)
-    return F.max(F.when(chosen, F.col(measure)))
+    return F.expr(f"max({measure}) filter (where participant_type = '{who}' and metric_type = '{metric}')")
 
 
 def _reported() -> list[Column]:

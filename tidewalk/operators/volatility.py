@@ -18,12 +18,7 @@ from tidewalk.config import DATE, SERIES, GarchParams
 from tidewalk.functions.numeric import ratio
 from tidewalk.operators import garch_math
 from tidewalk.operators.returns import by_day, unique_day
-
-FIT_SCHEMA = (
-    "status string, mu double, omega double, alpha double, beta double, nu double, loglik double, "
-    "next_variance double, sigma array<double>"
-)
-
+from tidewalk.schemas import GARCH_FIT
 
 def log_returns(frame: DataFrame, price: str = "nifty_close") -> DataFrame:
     """Log return against the previous surviving row, NULL on a series' first row and at prices <= 0.
@@ -68,13 +63,13 @@ def full_window(returns: DataFrame) -> DataFrame:
     return history_by_series(returns).select(SERIES, F.lit(None).cast("int").alias("fold_id"), "history")
 
 
-@F.pandas_udf(FIT_SCHEMA)
+@F.pandas_udf(GARCH_FIT)
 def _fit(returns: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([garch_math.fit_row(np.asarray(r, dtype=float)) for r in returns])
 
 
 def _filter_with(params: GarchParams):
-    @F.pandas_udf(FIT_SCHEMA)
+    @F.pandas_udf(GARCH_FIT)
     def run(returns: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([
             garch_math.describe(np.asarray(r, dtype=float), asdict(params), "fixed", None) for r in returns

@@ -11,6 +11,7 @@ _KINDS = {
     "int": T.IntegerType(),
     "string": T.StringType(),
     "boolean": T.BooleanType(),
+    "doubles": T.ArrayType(T.DoubleType()),
     "strings": T.ArrayType(T.StringType()),
     "tags": T.MapType(T.StringType(), T.StringType()),
 }
@@ -73,6 +74,10 @@ FOLDS = _schema(
     series_id="string", fold_id="int", train_end="date", test_start="date", test_end="date",
     embargo_date="date", n_train="long", n_test="long",
 )
+GARCH_FIT = _schema(
+    status="string", mu="double", omega="double", alpha="double", beta="double", nu="double", loglik="double",
+    next_variance="double", sigma="doubles",
+)
 PREDICTIONS = _schema(
     model_name="string", feature_variant="string", series_id="string", fold_id="int", trade_date="date",
     prediction="double", label="double",

@@ -14,8 +14,19 @@ from tidewalk.config import MarketNames
 NAMES = MarketNames()
 
 
+# Declared, so that reading a table needs no job of its own to look at file footers.
+TABLES = {
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+                "l_shipdate timestamp_ntz",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def series_of(order_key: str, n_series: int) -> Column:
@@ -101,17 +112,13 @@ def participant_activity(spark, sf_dir, n_series=1):
     """
     lines = table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("o_orderkey"),
-        F.when(F.col("l_linenumber") % 3 != 0, "OI").otherwise("VOL").alias("metric_type"),
-        F.when(F.col("l_linenumber") == 7, "STOCK").otherwise("INDEX").alias("asset_class"),
-        F.when(F.col("l_returnflag") == "N", "NA").when(F.col("l_returnflag") == "A", "CE").otherwise("PE").alias(
-            "option_side"
-        ),
-        F.when(F.col("l_partkey") % 2 == 0, "long").otherwise("short").alias("direction"),
+        F.expr("if(l_linenumber % 3 <> 0, 'OI', 'VOL') as metric_type"),
+        F.expr("if(l_linenumber = 7, 'STOCK', 'INDEX') as asset_class"),
+        F.expr("case l_returnflag when 'N' then 'NA' when 'A' then 'CE' else 'PE' end as option_side"),
+        F.expr("if(l_partkey % 2 = 0, 'long', 'short') as direction"),
         F.col("l_quantity").cast("long").alias("quantity"),
     )
-    participant = F.element_at(
-        F.array(*[F.lit(p) for p in ("FII", "Client", "DII", "Pro")]), (F.col("o_orderkey") % 4 + 1).cast("int")
-    )
+    participant = F.expr("element_at(array('FII', 'Client', 'DII', 'Pro'), cast(o_orderkey % 4 + 1 as int))")
     orders = _orders(spark, sf_dir, n_series).select(
         "o_orderkey", "series_id", "trade_date", participant.alias("participant_type")
     )
@@ -135,8 +142,8 @@ def options_analytics(spark, sf_dir, n_series=1):
         .groupBy("series_id", "trade_date", "expiry")
         .agg(
             F.max("l_extendedprice").alias("max_pain"),
-            F.sum(F.when(F.col("l_linestatus") == "F", F.col("quantity")).otherwise(0)).alias("pe_oi"),
-            F.sum(F.when(F.col("l_linestatus") == "O", F.col("quantity")).otherwise(0)).alias("ce_oi"),
+            F.expr("sum(if(l_linestatus = 'F', quantity, 0)) as pe_oi"),
+            F.expr("sum(if(l_linestatus = 'O', quantity, 0)) as ce_oi"),
             F.min("l_extendedprice").alias("underlying_price"),
         )
         .select(
