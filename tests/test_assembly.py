@@ -71,3 +71,10 @@ def test_row_order_logic_adds_one_exchange_and_one_sort(spark, sf_dir):
     windows = [i for i, line in enumerate(lines) if "Window [" in line and "series_id" in line]
     between = lines[windows[0]: windows[3] + 1]
     assert not any("Exchange" in line or "Sort [" in line for line in between)
+
+
+def test_repeated_keys_are_found_before_the_join(spark):
+    df = frame(spark, (1.0, 10.0), (None, 2.0))
+    assert rows(assembly.one_row_per_day(df), "trade_date") == rows(df, "trade_date")
+    with pytest.raises(Exception, match="more than one row for S, 2020-01-01"):
+        assembly.one_row_per_day(df.union(df.limit(1))).collect()

@@ -14,6 +14,23 @@ from tidewalk.functions import ratio, round_f
 DAY = ("series_id", "trade_date")
 
 
+def one_row_per_day(df: DataFrame, keys: Sequence[str] = DAY) -> DataFrame:
+    """df itself, or an error when a key repeats.
+
+    The check is an aggregation by the key: repeats meet map-side, so even a day holding most of the table is found
+    without gathering it, and the result is partitioned as the following join needs it.
+    """
+    values = [c for c in df.columns if c not in keys]
+    message = F.concat(F.lit("more than one row for "), F.concat_ws(", ", *keys))
+    single = F.when(F.col("_rows") > 1, F.raise_error(message)).otherwise(F.lit(True))
+    return (
+        df.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_rows"), *[F.first(c).alias(c) for c in values])
+        .filter(single)
+        .select(*df.columns)
+    )
+
+
 def star_join(spine: DataFrame, *sides: DataFrame, on: Sequence[str] = DAY) -> DataFrame:
     """Left-join every side to the spine by day.
 

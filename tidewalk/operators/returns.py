@@ -1,8 +1,9 @@
 """Forward returns, row positions and lagged changes of ordered series.
 
-All windows here are partitioned by series and ordered by day. A series has at most one row a day: `one_row_per_day`
-and the guard inside `series_position` make a second row an error, so a window partition is bounded by the calendar
-however many raw rows one instrument has.
+All windows here are partitioned by series and ordered by day. A series has at most one row a day, so a window partition
+is bounded by the calendar however many raw rows one instrument has: the aggregations behind the features reduce to
+(series, day) before the exchange by series, `assembly.one_row_per_day` checks the sides that are not aggregated, and
+`unique_day` turns a repeat in any other input into an error.
 """
 
 from __future__ import annotations

@@ -11,7 +11,7 @@ from dataclasses import asdict
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewalk.config import DATE, SERIES, GarchParams
@@ -44,23 +44,32 @@ def history_by_series(returns: DataFrame) -> DataFrame:
     )
 
 
+def fit_partitions(spark: SparkSession) -> int:
+    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def training_windows(returns: DataFrame, folds: DataFrame) -> DataFrame:
     """(series, fold) with the returns up to the fold's embargo date, spread evenly for fitting.
 
-    The shuffle moves one packed array per fold instead of a row per fold and day.
+    The shuffle moves one packed array per fold instead of a row per fold and day. Its width is explicit: adaptive
+    execution would merge partitions by their few bytes, but a fit costs CPU, not bytes.
     """
     upto = F.filter("history", lambda p: p["day"] <= F.col("embargo_date"))
     return (
         folds.select(SERIES, "fold_id", "embargo_date")
         .join(history_by_series(returns), SERIES)
         .select(SERIES, "fold_id", upto.alias("history"))
-        .repartition(SERIES, "fold_id")
+        .repartition(fit_partitions(folds.sparkSession), SERIES, "fold_id")
     )
 
 
 def full_window(returns: DataFrame) -> DataFrame:
     """The whole history as one training window per series."""
-    return history_by_series(returns).select(SERIES, F.lit(None).cast("int").alias("fold_id"), "history")
+    return (
+        history_by_series(returns)
+        .select(SERIES, F.lit(None).cast("int").alias("fold_id"), "history")
+        .repartition(fit_partitions(returns.sparkSession), SERIES)
+    )
 
 
 @F.pandas_udf(GARCH_FIT)

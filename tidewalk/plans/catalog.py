@@ -26,9 +26,9 @@ NAMES = MarketNames()
 MANY = 16
 GARCH = GarchParams(mu=0.05, omega=2.0, alpha=0.1, beta=0.85)
 TEST_GAPS = (
-    GapPatch("1996-02-10", "fii_fut_net_pct", ("fii_fut_net_pct", "client_fut_net_pct", "fii_pe_net_pct"),
-             ("1996-02-09", "1996-02-11")),
-    GapPatch("1997-05-14", "adv_decl_ratio", ("adv_decl_ratio", "pcr"), ("1997-05-13", "1997-05-15")),
+    GapPatch("1996-06-08", "fii_fut_net_pct", ("fii_fut_net_pct", "client_fut_net_pct", "fii_pe_net_pct"),
+             ("1996-06-07", "1996-06-09")),
+    GapPatch("1997-03-17", "adv_decl_ratio", ("adv_decl_ratio", "pcr"), ("1997-03-16", "1997-03-18")),
 )
 SHORT_FOLDS = FoldSettings(min_train_boundaries=12, embargo_rows=5, min_train_rows=20, min_test_rows=1)
 # Columns dense enough on the proxies to be required at every scale factor.

@@ -49,8 +49,11 @@ def prepare(
 ) -> WalkForward:
     frame = fold_ops.model_frame(snapshot, required)
     folds = tables.materialise(fold_ops.build_folds(frame, boundaries, settings), "folds")
-    ranged = tables.materialise(fold_ops.with_fold_ranges(frame, folds), "ranged")
-    garch = tables.materialise(garch_features(ranged, folds, ranged), "garch") if with_garch else None
+    # Sorted by day a fold's training rows are a prefix of every file and its test rows one stretch of it.
+    ranged = tables.materialise(fold_ops.with_fold_ranges(frame, folds), "ranged", ["trade_date"])
+    garch = None
+    if with_garch:
+        garch = tables.materialise(garch_features(ranged, folds, ranged), "garch", ["fold_id", "trade_date"])
     return WalkForward(ranged, folds, garch)
 
 

@@ -49,7 +49,11 @@ def participant_columns(pivot: DataFrame, *carried: str) -> DataFrame:
 
 
 def joined_features(tables: Mapping[str, DataFrame], names: MarketNames = MarketNames()) -> DataFrame:
-    """Everything known about a day before any row-order logic: the star join."""
+    """Everything known about a day before any row-order logic: the star join.
+
+    Spine and sides are one row per (series, day) when they join, by aggregation or by check. The windows that follow
+    therefore see at most one row a day and series, whatever the raw tables hold.
+    """
     options = derivatives.contracts_of(tables["options_analytics"], names.ticker, names.option_type)
     futures = derivatives.contracts_of(tables["futures_analytics"], names.ticker, names.future_type)
     breadth = tables["market_activity_breadth"].select(
@@ -61,16 +65,18 @@ def joined_features(tables: Mapping[str, DataFrame], names: MarketNames = Market
         returns.index_levels(
             tables["market_activity_index"], names.price_index, names.volatility_index
         ).withColumnRenamed("close", "nifty_close"),
-        tables["fo_volatility"].filter(F.col("ticker") == names.ticker).drop("ticker"),
-        breadth,
-        tables["market_activity_summary"],
+        assembly.one_row_per_day(tables["fo_volatility"].filter(F.col("ticker") == names.ticker).drop("ticker")),
+        assembly.one_row_per_day(breadth),
+        assembly.one_row_per_day(tables["market_activity_summary"]),
         derivatives.put_call_ratio(options),
         derivatives.max_pain_distance(options),
-        derivatives.nearest_expiry(futures).select(
-            "series_id", "trade_date", "basis", "cost_of_carry", F.col("chng_oi_per").alias("fut_chng_oi_pct")
+        assembly.one_row_per_day(
+            derivatives.nearest_expiry(futures).select(
+                "series_id", "trade_date", "basis", "cost_of_carry", F.col("chng_oi_per").alias("fut_chng_oi_pct")
+            )
         ),
         participant_columns(participants.participant_features(tables["participant_activity"]), *participants.ROLES),
-        participants.flow_stats(tables["fii_stats"], names.flow_instrument),
+        assembly.one_row_per_day(participants.flow_stats(tables["fii_stats"], names.flow_instrument)),
     )
 
 

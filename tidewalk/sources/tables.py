@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -94,12 +95,14 @@ def new_working_path(spark: SparkSession, label: str) -> str:
     return f"{working_root(spark)}/tidewalk/{label}-{uuid.uuid4().hex}"
 
 
-def materialise(frame: DataFrame, label: str) -> DataFrame:
+def materialise(frame: DataFrame, label: str, sort_by: Sequence[str] = ()) -> DataFrame:
     """Write a frame that several jobs will read, and read it back.
 
     Lineage is cut at a file in shared storage, so a lost executor costs a re-read and not a recomputation, and
-    later jobs still get column pruning and filter pushdown.
+    later jobs still get column pruning and filter pushdown. `sort_by` orders rows inside each file, without a
+    shuffle, so filters on those columns skip row groups.
     """
     path = new_working_path(frame.sparkSession, label)
-    frame.write.parquet(path)
+    ordered = frame.sortWithinPartitions(*sort_by) if sort_by else frame
+    ordered.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
