@@ -6,6 +6,8 @@ series, so the same plans can be run for many instruments at once.
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,17 +31,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def series_of(order_key: str, n_series: int) -> Column:
-    if n_series == 1:
-        return F.lit(NAMES.ticker)
-    return F.concat(F.lit("S"), F.lpad(F.expr(f"{order_key} div 4 % {n_series}").cast("string"), 3, "0"))
+def _series_no(order_key: str, n_series: int) -> Column:
+    number = F.lit(0) if n_series == 1 else F.expr(f"cast({order_key} div 4 % {n_series} as int)")
+    return number.alias("series_no")
+
+
+def _proxy(build):
+    """Put `series_id` in place of the series number. Builders group by the number, so the pass over the big tables
+    hashes integers and only the aggregated rows get names."""
+
+    @wraps(build)
+    def named(spark: SparkSession, sf_dir: str, n_series: int = 1) -> DataFrame:
+        grouped = build(spark, sf_dir, n_series)
+        name = F.lit(NAMES.ticker) if n_series == 1 else F.expr("concat('S', lpad(series_no, 3, '0'))")
+        return grouped.select(name.alias("series_id"), *[c for c in grouped.columns if c != "series_no"])
+
+    return named
 
 
 def _orders(spark, sf_dir, n_series):
     return table(spark, sf_dir, "orders").select(
         "*",
         F.col("o_orderdate").cast("date").alias("trade_date"),
-        series_of("o_orderkey", n_series).alias("series_id"),
+        _series_no("o_orderkey", n_series),
     )
 
 
@@ -48,7 +62,7 @@ def _lines(spark, sf_dir, n_series):
         "*",
         F.col("l_shipdate").cast("date").alias("trade_date"),
         F.col("l_quantity").cast("long").alias("quantity"),
-        series_of("l_orderkey", n_series).alias("series_id"),
+        _series_no("l_orderkey", n_series),
     )
 
 
@@ -93,41 +107,46 @@ def index_levels_by_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def market_activity_index(spark, sf_dir, n_series=1):
-    levels = _orders(spark, sf_dir, n_series).groupBy("series_id", "trade_date").agg(
+@_proxy
+def market_activity_index(spark, sf_dir, n_series):
+    levels = _orders(spark, sf_dir, n_series).groupBy("series_no", "trade_date").agg(
         F.max("o_totalprice").alias("high"), F.min("o_totalprice").alias("low")
     )
     rows = F.array(
         F.struct(F.lit(NAMES.price_index).alias("index_name"), F.col("high").alias("close")),
         F.struct(F.lit(NAMES.volatility_index).alias("index_name"), F.col("low").alias("close")),
     )
-    return levels.select("series_id", "trade_date", F.inline(rows))
+    return levels.select("series_no", "trade_date", F.inline(rows))
 
 
-def participant_activity(spark, sf_dir, n_series=1):
+@_proxy
+def participant_activity(spark, sf_dir, n_series):
     """Contracts per day, participant and bucket.
 
     An order with very many lines skews the join; adaptive execution splits its partition, which is free here
     because the grouping has an exchange of its own.
     """
     lines = table(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("o_orderkey"),
-        F.expr("if(l_linenumber % 3 <> 0, 'OI', 'VOL') as metric_type"),
-        F.expr("if(l_linenumber = 7, 'STOCK', 'INDEX') as asset_class"),
-        F.expr("case l_returnflag when 'N' then 'NA' when 'A' then 'CE' else 'PE' end as option_side"),
-        F.expr("if(l_partkey % 2 = 0, 'long', 'short') as direction"),
+        F.col("l_orderkey").alias("o_orderkey"), F.expr("l_linenumber % 3 <> 0 as held"),
+        F.expr("l_linenumber = 7 as stock"), "l_returnflag", F.expr("l_partkey % 2 = 0 as bought"),
         F.col("l_quantity").cast("long").alias("quantity"),
     )
-    participant = F.expr("element_at(array('FII', 'Client', 'DII', 'Pro'), cast(o_orderkey % 4 + 1 as int))")
     orders = _orders(spark, sf_dir, n_series).select(
-        "o_orderkey", "series_id", "trade_date", participant.alias("participant_type")
+        "o_orderkey", "series_no", "trade_date", F.expr("cast(o_orderkey % 4 as int) as who")
     )
     return (
         lines.join(orders, "o_orderkey")
-        .groupBy(
-            "series_id", "trade_date", "participant_type", "metric_type", "asset_class", "option_side", "direction"
-        )
+        .groupBy("series_no", "trade_date", "who", "held", "stock", "l_returnflag", "bought")
         .agg(F.sum("quantity").alias("contracts"))
+        .select(
+            "series_no", "trade_date",
+            F.expr("element_at(array('FII', 'Client', 'DII', 'Pro'), who + 1) as participant_type"),
+            F.expr("if(held, 'OI', 'VOL') as metric_type"),
+            F.expr("if(stock, 'STOCK', 'INDEX') as asset_class"),
+            F.expr("case l_returnflag when 'N' then 'NA' when 'A' then 'CE' else 'PE' end as option_side"),
+            F.expr("if(bought, 'long', 'short') as direction"),
+            "contracts",
+        )
     )
 
 
@@ -135,11 +154,12 @@ def _month_end(months_ahead: str) -> Column:
     return F.expr(f"last_day(add_months(trade_date, {months_ahead}))")
 
 
-def options_analytics(spark, sf_dir, n_series=1):
+@_proxy
+def options_analytics(spark, sf_dir, n_series):
     return (
         _lines(spark, sf_dir, n_series)
         .withColumn("expiry", _month_end("l_linenumber % 4"))
-        .groupBy("series_id", "trade_date", "expiry")
+        .groupBy("series_no", "trade_date", "expiry")
         .agg(
             F.max("l_extendedprice").alias("max_pain"),
             F.expr("sum(if(l_linestatus = 'F', quantity, 0)) as pe_oi"),
@@ -147,33 +167,35 @@ def options_analytics(spark, sf_dir, n_series=1):
             F.min("l_extendedprice").alias("underlying_price"),
         )
         .select(
-            "series_id", "trade_date", F.lit(NAMES.ticker).alias("ticker"),
+            "series_no", "trade_date", F.lit(NAMES.ticker).alias("ticker"),
             F.lit(NAMES.option_type).alias("instrument_type"), "expiry", "max_pain", "pe_oi", "ce_oi",
             "underlying_price",
         )
     )
 
 
-def futures_analytics(spark, sf_dir, n_series=1):
+@_proxy
+def futures_analytics(spark, sf_dir, n_series):
     return (
         _lines(spark, sf_dir, n_series)
         .withColumn("expiry", _month_end("l_linenumber % 3"))
-        .groupBy("series_id", "trade_date", "expiry")
+        .groupBy("series_no", "trade_date", "expiry")
         .agg(
             (F.max("l_extendedprice") - F.min("l_extendedprice")).alias("basis"),
             F.max("l_discount").alias("cost_of_carry"),
             F.max("l_tax").alias("chng_oi_per"),
         )
         .select(
-            "series_id", "trade_date", F.lit(NAMES.ticker).alias("ticker"),
+            "series_no", "trade_date", F.lit(NAMES.ticker).alias("ticker"),
             F.lit(NAMES.future_type).alias("instrument_type"), "expiry", "basis", "cost_of_carry", "chng_oi_per",
         )
     )
 
 
-def fo_volatility(spark, sf_dir, n_series=1):
+@_proxy
+def fo_volatility(spark, sf_dir, n_series):
     discount, tax = F.max("l_discount"), F.max("l_tax")
-    return _lines(spark, sf_dir, n_series).groupBy("series_id", "trade_date").agg(
+    return _lines(spark, sf_dir, n_series).groupBy("series_no", "trade_date").agg(
         F.lit(NAMES.ticker).alias("ticker"),
         (discount / F.lit(10.0)).alias("underlying_daily_vol"),
         (tax / F.lit(10.0)).alias("futures_daily_vol"),
@@ -181,28 +203,31 @@ def fo_volatility(spark, sf_dir, n_series=1):
     )
 
 
-def market_activity_breadth(spark, sf_dir, n_series=1):
+@_proxy
+def market_activity_breadth(spark, sf_dir, n_series):
     def status(code):
         return F.count(F.when(F.col("o_orderstatus") == code, 1))
 
-    return _orders(spark, sf_dir, n_series).groupBy("series_id", "trade_date").agg(
+    return _orders(spark, sf_dir, n_series).groupBy("series_no", "trade_date").agg(
         status("F").alias("advances"), status("O").alias("declines"), status("P").alias("price_band_hits")
     )
 
 
-def market_activity_summary(spark, sf_dir, n_series=1):
-    return _orders(spark, sf_dir, n_series).groupBy("series_id", "trade_date").agg(
+@_proxy
+def market_activity_summary(spark, sf_dir, n_series):
+    return _orders(spark, sf_dir, n_series).groupBy("series_no", "trade_date").agg(
         F.max("o_totalprice").alias("traded_value_cr"),
         F.count(F.lit(1)).alias("num_trades"),
         F.min("o_totalprice").alias("market_cap_cr"),
     )
 
 
-def fii_stats(spark, sf_dir, n_series=1):
+@_proxy
+def fii_stats(spark, sf_dir, n_series):
     instrument = F.when(F.col("o_orderkey") % 2 == 0, NAMES.flow_instrument).otherwise("STOCK FUTURES")
     return (
         _orders(spark, sf_dir, n_series)
-        .groupBy("series_id", "trade_date", instrument.alias("instrument"))
+        .groupBy("series_no", "trade_date", instrument.alias("instrument"))
         .agg(
             F.max("o_totalprice").alias("buy_amount_cr"),
             F.min("o_totalprice").alias("sell_amount_cr"),
@@ -213,10 +238,11 @@ def fii_stats(spark, sf_dir, n_series=1):
     )
 
 
-def instruments(spark, sf_dir, n_series=1):
+@_proxy
+def instruments(spark, sf_dir, n_series):
     return (
         _lines(spark, sf_dir, n_series)
-        .select("series_id", F.lit(NAMES.ticker).alias("ticker"), _month_end("l_linenumber % 3").alias("expiry"))
+        .select("series_no", F.lit(NAMES.ticker).alias("ticker"), _month_end("l_linenumber % 3").alias("expiry"))
         .distinct()
     )
 
