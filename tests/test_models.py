@@ -56,33 +56,53 @@ def test_estimators_carry_the_published_settings(spark):
         models.make_estimator("linear")
 
 
-def test_garch_variant_loses_its_first_two_training_rows_only(work):
-    plain = models.fold_rows(work.ranged, 0, FEATURES)
-    garch = models.fold_rows(work.ranged, 0, VARIANTS["plain_garch"], work.garch)
+@pytest.fixture(scope="module")
+def starts(work):
+    return work.boundaries()
+
+
+def test_garch_variant_loses_its_first_two_training_rows_only(work, starts):
+    plain = models.fold_rows(work.ranged, starts[0], FEATURES)
+    garch = models.fold_rows(work.ranged, starts[0], VARIANTS["plain_garch"], work.garch)
     assert garch[0].count() == plain[0].count() - 2
     assert garch[1].count() == plain[1].count() == garch[1].na.drop(subset=GARCH_FEATURES).count()
 
 
-def test_no_training_row_is_after_the_embargo(work):
+def test_no_training_row_is_after_the_embargo(work, starts):
     fold = work.folds.filter("fold_id = 3").first()
-    train, test = models.fold_rows(work.ranged, 3, FEATURES)
+    train, test = models.fold_rows(work.ranged, starts[3], FEATURES)
     span = train.agg(F.max("trade_date")).first()[0], test.agg(F.min("trade_date")).first()[0]
     assert span[0] == fold.embargo_date and span[1] > fold.test_start
 
 
-def test_failed_volatility_makes_the_fold_vanish(spark, work):
+def test_series_of_unequal_length_share_a_boundary_without_lookahead(spark, snapshot):
+    """B starts a year later, so its fold 0 is not A's fold 0; pooling by boundary keeps training before testing."""
+    late = snapshot.filter("trade_date >= '2017-01-01'").withColumn("series_id", F.lit("B"))
+    ends = [("A", e) for e in month_ends(60)] + [("B", e) for e in month_ends(60)[12:]]
+    bounds = spark.createDataFrame(ends, "series_id string, expiry date")
+    both = cross_validation.prepare(snapshot.union(late), bounds, (TARGET, *FEATURES), with_garch=False)
+    shared = both.folds.filter("series_id = 'B'").first().train_end
+    assert both.folds.filter(F.col("train_end") == shared).select("fold_id").distinct().count() == 2
+    train, test = models.fold_rows(both.ranged, shared, FEATURES)
+    ends = {r[0]: r[1] for r in train.groupBy("series_id").agg(F.max("trade_date")).collect()}
+    assert set(ends) == {"A", "B"} and max(ends.values()) < shared < test.agg(F.min("trade_date")).first()[0]
+    members = both.folds.filter(F.col("train_end") == shared).agg(F.sum("n_train"), F.sum("n_test")).first()
+    assert (train.count(), test.count()) == tuple(members)
+
+
+def test_failed_volatility_makes_the_fold_vanish(spark, work, starts):
     none = work.garch.withColumns({c: F.lit(None).cast("double") for c in GARCH_FEATURES})
-    assert models.run_fold(work.ranged, 0, "random_forest", "v", VARIANTS["plain_garch"], none, QUICK) is None
+    assert models.run_fold(work.ranged, starts[0], "random_forest", "v", VARIANTS["plain_garch"], none, QUICK) is None
     result = models.run_experiments(
-        work.ranged, [0, 1], [("random_forest", "v", VARIANTS["plain_garch"])], none, QUICK
+        work.ranged, starts[:2], [("random_forest", "v", VARIANTS["plain_garch"])], none, QUICK
     )
     assert result is None
 
 
 @pytest.fixture(scope="module")
-def logged(spark, work, tmp_path_factory):
+def logged(spark, work, starts, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("runs"))
-    predicted = cross_validation.predictions(work, ["random_forest"], VARIANTS, fold_ids=[0, 1, 2], overrides=QUICK)
+    predicted = cross_validation.predictions(work, ["random_forest"], VARIANTS, boundaries=starts[:3], overrides=QUICK)
     results, summary = cross_validation.evaluate(predicted)
     cross_validation.log_runs(results, summary, work.folds, VARIANTS, "t", root)
     return predicted, results, summary, root

@@ -82,9 +82,10 @@ def test_path_and_forecast_through_spark(spark):
     )
     v = garch_math.variances(y, 0.1, 0.1, 0.8)
     sigma = np.sqrt(v) / 100
-    path = rows(volatility.garch_path(fits), "trade_date")
-    assert np.allclose([r[3] for r in path], sigma[:-1])
-    assert path[0][4] is None and np.allclose([r[4] for r in path[1:]], np.diff(sigma[:-1]))
+    path = volatility.garch_path(fits).orderBy("trade_date").collect()
+    path = [(r.garch_sigma, r.garch_sigma_chg) for r in path]
+    assert np.allclose([r[0] for r in path], sigma[:-1])
+    assert path[0][1] is None and np.allclose([r[1] for r in path[1:]], np.diff(sigma[:-1]))
 
     test_rows = frame.limit(5).select("series_id", F.lit(0).alias("fold_id"), "trade_date")
     h, expected = v[-1], []
@@ -108,7 +109,8 @@ def test_training_windows_stop_at_the_embargo(spark):
     frame = price_frame(spark, simulate(60))
     days = [r.trade_date for r in frame.orderBy("trade_date").collect()]
     folds = spark.createDataFrame(
-        [("A", 0, days[30]), ("A", 1, days[45])], "series_id string, fold_id int, embargo_date date"
+        [("A", 0, days[50], days[30]), ("A", 1, days[55], days[45])],
+        "series_id string, fold_id int, train_end date, embargo_date date",
     )
     windows = volatility.training_windows(volatility.log_returns(frame), folds)
     assert {(r.fold_id, len(r.history), r.history[-1].day) for r in windows.collect()} == {

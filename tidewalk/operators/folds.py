@@ -106,37 +106,42 @@ def build_folds(frame: DataFrame, boundaries: DataFrame, settings: FoldSettings
 
 
 def with_fold_ranges(frame: DataFrame, folds: DataFrame) -> DataFrame:
-    """Every frame row with `first_train_fold`, `last_fold` (it trains all folds between) and `test_fold`.
+    """Every frame row with the folds it serves: it trains `first_train_fold` to `last_fold` and tests `test_fold`.
 
-    Fold marks join the rows' timeline; going back in time, the lowest fold seen so far is the first whose embargo
-    date (or test end) is not before the row.
+    `first_train_end`, `last_train_end` and `test_start` are the same folds by their boundary date, which is what
+    folds of different series have in common. Fold marks join the rows' timeline; going back in time, the lowest fold
+    seen so far is the first whose embargo date (or test end) is not before the row.
     """
     rows = frame.withColumns({"_at": F.col("trade_date"), "_mark": F.lit(False)})
-    train_mark = F.struct(
-        F.col("embargo_date").alias("_at"), F.col("fold_id").alias("_train"),
-        F.lit(None).cast("struct<fold:int,start:date>").alias("_test"),
+    fold = F.struct("fold_id", F.col("train_end").alias("start"))
+    none = F.lit(None).cast("struct<fold_id:int,start:date>")
+    marks = folds.select(
+        "series_id", F.lit(True).alias("_mark"),
+        F.inline(F.array(
+            F.struct(F.col("embargo_date").alias("_at"), fold.alias("_train"), none.alias("_test")),
+            F.struct(F.col("test_end").alias("_at"), none.alias("_train"), fold.alias("_test")),
+        )),
     )
-    test_mark = F.struct(
-        F.col("test_end").alias("_at"), F.lit(None).cast("int").alias("_train"),
-        F.struct(F.col("fold_id").alias("fold"), F.col("test_start").alias("start")).alias("_test"),
-    )
-    marks = folds.select("series_id", F.inline(F.array(train_mark, test_mark)), F.lit(True).alias("_mark"))
     back = Window.partitionBy("series_id").orderBy(F.desc("_at"), F.desc("_mark")).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     whole = Window.partitionBy("series_id")
+    tested = F.when(F.col("trade_date") > F.col("_next.start"), F.col("_next"))
     return (
         rows.unionByName(marks, allowMissingColumns=True)
         .withColumns({
-            "first_train_fold": F.min("_train").over(back),
-            "_next_test": F.min("_test").over(back),
-            "last_fold": F.max("_train").over(whole),
+            "_first": F.min("_train").over(back),
+            "_next": F.min("_test").over(back),
+            "_last": F.max("_train").over(whole),
         })
         .filter(~F.col("_mark"))
-        .withColumn(
-            "test_fold", F.when(F.col("trade_date") > F.col("_next_test.start"), F.col("_next_test.fold"))
+        .withColumn("_tested", tested)
+        .select(
+            *frame.columns,
+            F.col("_first.fold_id").alias("first_train_fold"), F.col("_last.fold_id").alias("last_fold"),
+            F.col("_tested.fold_id").alias("test_fold"), F.col("_first.start").alias("first_train_end"),
+            F.col("_last.start").alias("last_train_end"), F.col("_tested.start").alias("test_start"),
         )
-        .drop("_at", "_mark", "_train", "_test", "_next_test")
     )
 
 

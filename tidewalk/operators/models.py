@@ -1,9 +1,10 @@
-"""Tree ensembles on Spark ML, fitted per fold over all series at once."""
+"""Tree ensembles on Spark ML, fitted per boundary over all series at once."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from datetime import date
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
@@ -34,58 +35,61 @@ def make_pipeline(name: str, feature_cols: Sequence[str], overrides: dict | None
 
 
 def fold_rows(
-    ranged: DataFrame, fold_id: int, feature_cols: Sequence[str], garch: DataFrame | None = None
+    ranged: DataFrame, boundary: date, feature_cols: Sequence[str], garch: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """Train and test rows of one fold: two filters on the fold ranges, no membership join.
+    """Train and test rows of the folds starting at `boundary`: two filters on the fold ranges, no membership join.
 
-    With `garch` (series, fold, day, features) the fold's volatility columns are joined by day; rows without them
-    are dropped from training only.
+    With several series a fit pools the folds that share a boundary date. Every training label then ends by that date
+    and every test row lies after it, for all series; ids would not do, since series of unequal length number their
+    folds differently. With `garch` the folds' volatility columns are joined by day; rows without them are dropped
+    from training only.
     """
-    train = ranged.filter((F.col("first_train_fold") <= fold_id) & (F.col("last_fold") >= fold_id))
-    test = ranged.filter(F.col("test_fold") == fold_id)
+    at = F.lit(boundary)
+    train = ranged.filter((F.col("first_train_end") <= at) & (F.col("last_train_end") >= at))
+    test = ranged.filter(F.col("test_start") == at)
     if garch is not None:
-        own = garch.filter(F.col("fold_id") == fold_id).drop("fold_id")
+        own = garch.filter(F.col("train_end") == at).select(SERIES, DATE, *GARCH_FEATURES)
         train = train.join(own, [SERIES, DATE]).na.drop(subset=GARCH_FEATURES)
         test = test.join(own, [SERIES, DATE], "left")
     columns = [SERIES, DATE, TARGET, *dict.fromkeys(feature_cols)]
-    return train.select(*columns), test.select(*columns)
+    return train.select(*columns), test.select(*columns, F.col("test_fold").alias("fold_id"))
 
 
 def run_fold(
-    ranged: DataFrame, fold_id: int, model_name: str, variant: str, feature_cols: Sequence[str],
+    ranged: DataFrame, boundary: date, model_name: str, variant: str, feature_cols: Sequence[str],
     garch: DataFrame | None = None, overrides: dict | None = None,
 ) -> DataFrame | None:
-    """Test predictions of one fold, or None when it has too few rows left."""
-    train, test = fold_rows(ranged, fold_id, feature_cols, garch)
+    """Test predictions after one boundary, or None when it has too few rows left."""
+    train, test = fold_rows(ranged, boundary, feature_cols, garch)
     if train.limit(MIN_FIT_ROWS).count() < MIN_FIT_ROWS or test.limit(MIN_SCORE_ROWS).count() < MIN_SCORE_ROWS:
         return None
     model = make_pipeline(model_name, list(dict.fromkeys(feature_cols)), overrides).fit(train)
     return model.transform(test).select(
-        F.lit(model_name).alias("model_name"), F.lit(variant).alias("feature_variant"), SERIES,
-        F.lit(fold_id).alias("fold_id"), DATE, "prediction", F.col(TARGET).alias("label"),
+        F.lit(model_name).alias("model_name"), F.lit(variant).alias("feature_variant"), SERIES, "fold_id", DATE,
+        "prediction", F.col(TARGET).alias("label"),
     )
 
 
 def run_experiments(
-    ranged: DataFrame, fold_ids: Sequence[int], experiments: Sequence[tuple[str, str, Sequence[str]]],
+    ranged: DataFrame, boundaries: Sequence[date], experiments: Sequence[tuple[str, str, Sequence[str]]],
     garch: DataFrame | None = None, overrides: dict | None = None, parallelism: int = 4,
 ) -> DataFrame | None:
-    """Test predictions of every (model, variant, columns) over every fold; None when no fold had enough rows.
+    """Test predictions of every (model, variant, columns) at every boundary; None when none had enough rows.
 
-    Each fit is a set of cluster-wide jobs; up to `parallelism` of them are in flight. Every fold's predictions are
-    written as it finishes and read back as one table, so they neither pile up in a plan nor pass the driver.
+    Each fit is a set of cluster-wide jobs; up to `parallelism` of them are in flight. Predictions are written as
+    each fit finishes and read back as one table, so they neither pile up in a plan nor pass the driver.
     """
     base = new_working_path(ranged.sparkSession, "predictions")
 
     def one(task) -> bool:
-        (name, variant, columns), fold_id = task
+        (name, variant, columns), boundary = task
         uses_garch = bool(set(GARCH_FEATURES) & set(columns))
-        predicted = run_fold(ranged, fold_id, name, variant, columns, garch if uses_garch else None, overrides)
+        predicted = run_fold(ranged, boundary, name, variant, columns, garch if uses_garch else None, overrides)
         if predicted is not None:
-            predicted.write.mode("overwrite").parquet(f"{base}/{name}/{variant}/{fold_id}")
+            predicted.write.mode("overwrite").parquet(f"{base}/{name}/{variant}/{boundary}")
         return predicted is not None
 
-    tasks = [(experiment, fold_id) for experiment in experiments for fold_id in fold_ids]
+    tasks = [(experiment, boundary) for experiment in experiments for boundary in boundaries]
     with ThreadPoolExecutor(parallelism) as pool:
         done = list(pool.map(one, tasks))
     if not any(done):

@@ -56,20 +56,16 @@ def training_windows(returns: DataFrame, folds: DataFrame) -> DataFrame:
     """
     upto = F.filter("history", lambda p: p["day"] <= F.col("embargo_date"))
     return (
-        folds.select(SERIES, "fold_id", "embargo_date")
+        folds.select(SERIES, "fold_id", "train_end", "embargo_date")
         .join(history_by_series(returns), SERIES)
-        .select(SERIES, "fold_id", upto.alias("history"))
+        .select(SERIES, "fold_id", "train_end", upto.alias("history"))
         .repartition(fit_partitions(folds.sparkSession), SERIES, "fold_id")
     )
 
 
 def full_window(returns: DataFrame) -> DataFrame:
     """The whole history as one training window per series."""
-    return (
-        history_by_series(returns)
-        .select(SERIES, F.lit(None).cast("int").alias("fold_id"), "history")
-        .repartition(fit_partitions(returns.sparkSession), SERIES)
-    )
+    return history_by_series(returns).repartition(fit_partitions(returns.sparkSession), SERIES)
 
 
 @F.pandas_udf(GARCH_FIT)
@@ -88,7 +84,7 @@ def _filter_with(params: GarchParams):
 
 
 def garch_fit(windows: DataFrame, fixed: GarchParams | None = None) -> DataFrame:
-    """Parameters, in-sample volatility path and next-step variance per (series, fold).
+    """Parameters, in-sample volatility path and next-step variance per window.
 
     A failed fit keeps its row: NULL parameters, NULL path, and the cause in `status`. Give `fixed` to run the
     recursion with known parameters.
@@ -96,18 +92,18 @@ def garch_fit(windows: DataFrame, fixed: GarchParams | None = None) -> DataFrame
     run = _filter_with(fixed) if fixed else _fit
     values = F.transform("history", lambda p: p["ret"])
     return windows.withColumn("fit", run(values)).select(
-        SERIES, "fold_id", F.transform("history", lambda p: p["day"]).alias("days"), "fit.*"
+        *[c for c in windows.columns if c != "history"], F.transform("history", lambda p: p["day"]).alias("days"), "fit.*"
     )
 
 
 def garch_path(fits: DataFrame) -> DataFrame:
     """In-sample volatility (as a fraction) and its change, one row per training day with a return."""
+    keys = [c for c in fits.columns if c not in ("days", *GARCH_FIT.fieldNames())]
     sigma, before = F.col("point.sigma"), F.col("point.previous")
     previous = F.transform("sigma", lambda _, i: F.get("sigma", i - 1))
     points = F.arrays_zip(F.col("days").alias("day"), F.col("sigma"), previous.alias("previous"))
-    return fits.select(SERIES, "fold_id", F.explode(points).alias("point")).select(
-        SERIES, "fold_id", F.col("point.day").alias(DATE), sigma.alias("garch_sigma"),
-        (sigma - before).alias("garch_sigma_chg"),
+    return fits.filter("sigma is not null").select(*keys, F.explode(points).alias("point")).select(
+        *keys, F.col("point.day").alias(DATE), sigma.alias("garch_sigma"), (sigma - before).alias("garch_sigma_chg")
     )
 
 
@@ -121,7 +117,7 @@ def forecast_variance(step: Column) -> Column:
 
 
 def garch_forecast(fits: DataFrame, test_rows: DataFrame, embargo_gap: int = 0) -> DataFrame:
-    """Forecast volatility for each fold's test days: the h-th test row takes step h.
+    """Forecast volatility for each fold's test days: the h-th test row takes step h. Other columns pass through.
 
     Step 1 goes to the first test row although embargoed rows lie before it; `embargo_gap` shifts the steps for
     an embargo-aware forecast. The first change is against the last in-sample volatility.
@@ -132,11 +128,11 @@ def garch_forecast(fits: DataFrame, test_rows: DataFrame, embargo_gap: int = 0)
     )
     sigma = F.sqrt(forecast_variance(F.col("step") + embargo_gap)) / F.lit(100.0)
     return (
-        test_rows.select(SERIES, "fold_id", DATE, F.row_number().over(order).alias("step"))
+        test_rows.withColumn("step", F.row_number().over(order))
         .join(state, [SERIES, "fold_id"], "left")
         .withColumn("garch_sigma", sigma)
         .select(
-            SERIES, "fold_id", DATE, "garch_sigma",
+            *test_rows.columns, "garch_sigma",
             (F.col("garch_sigma") - F.coalesce(F.lag("garch_sigma").over(order), "last_sigma")).alias("garch_sigma_chg"),
         )
     )

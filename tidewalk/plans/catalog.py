@@ -493,7 +493,7 @@ def log_returns(spark, sf_dir):
 
 def _fixed_path(spark, sf_dir):
     windows = volatility.full_window(volatility.log_returns(_priority_frame(spark, sf_dir), "close"))
-    return volatility.garch_path(volatility.garch_fit(windows, GARCH)).drop("fold_id")
+    return volatility.garch_path(volatility.garch_fit(windows, GARCH))
 
 
 @query
@@ -517,7 +517,7 @@ def garch_forecast_fixed(spark, sf_dir):
 def garch_join(spark, sf_dir):
     """Every training and test row of every fold with its volatility features; rows without any keep NULLs."""
     fits = tables.materialise(volatility.garch_fit(_fold_windows(spark, sf_dir), GARCH), "fixed-fits")
-    features = volatility.garch_path(fits).unionByName(volatility.garch_forecast(fits, _test_rows(spark, sf_dir)))
+    features = volatility.garch_path(fits).drop("train_end").unionByName(volatility.garch_forecast(fits, _test_rows(spark, sf_dir)))
     members = folds.fold_membership(_priority_ranges(spark, sf_dir))
     return members.join(_rounded(features), ["series_id", "fold_id", "trade_date"], "left")
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,15 +23,15 @@ class WalkForward:
     folds: DataFrame
     garch: DataFrame | None
 
-    def fold_ids(self) -> list[int]:
-        """Distinct fold ids: one per calendar month at most."""
-        return [row.fold_id for row in self.folds.select("fold_id").distinct().orderBy("fold_id").collect()]
+    def boundaries(self) -> list[date]:
+        """Distinct fold starts: one a month, or at most one a day where series keep different calendars."""
+        return [row.train_end for row in self.folds.select("train_end").distinct().orderBy("train_end").collect()]
 
 
 def garch_features(
     frame: DataFrame, folds: DataFrame, ranged: DataFrame, price: str = "nifty_close", embargo_gap: int = 0
 ) -> DataFrame:
-    """Volatility features per (series, fold, day): the in-sample path for training days, forecasts for test days.
+    """Volatility features per (series, fold, day): the in-sample path on training days, forecasts on test days.
 
     One fitting pass serves every model; its result is written out before path and forecast read it.
     """
@@ -38,7 +39,7 @@ def garch_features(
         volatility.garch_fit(volatility.training_windows(volatility.log_returns(frame, price), folds)), "garch-fits"
     )
     test_rows = ranged.filter("test_fold is not null").select(
-        "series_id", F.col("test_fold").alias("fold_id"), "trade_date"
+        "series_id", F.col("test_fold").alias("fold_id"), F.col("test_start").alias("train_end"), "trade_date"
     )
     return volatility.garch_path(fits).unionByName(volatility.garch_forecast(fits, test_rows, embargo_gap))
 
@@ -53,18 +54,18 @@ def prepare(
     ranged = tables.materialise(fold_ops.with_fold_ranges(frame, folds), "ranged", ["trade_date"])
     garch = None
     if with_garch:
-        garch = tables.materialise(garch_features(ranged, folds, ranged), "garch", ["fold_id", "trade_date"])
+        garch = tables.materialise(garch_features(ranged, folds, ranged), "garch", ["train_end", "trade_date"])
     return WalkForward(ranged, folds, garch)
 
 
 def predictions(
     work: WalkForward, model_names: Sequence[str] = tuple(MODELS),
-    variants: Mapping[str, Sequence[str]] = FEATURE_VARIANTS, fold_ids: Sequence[int] | None = None,
+    variants: Mapping[str, Sequence[str]] = FEATURE_VARIANTS, boundaries: Sequence[date] | None = None,
     overrides: dict | None = None, parallelism: int = 4,
 ) -> DataFrame | None:
     experiments = [(name, variant, columns) for name in model_names for variant, columns in variants.items()]
     return models.run_experiments(
-        work.ranged, work.fold_ids() if fold_ids is None else fold_ids, experiments, work.garch, overrides, parallelism
+        work.ranged, work.boundaries() if boundaries is None else boundaries, experiments, work.garch, overrides, parallelism
     )
 
 

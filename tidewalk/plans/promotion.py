@@ -18,7 +18,7 @@ from tidewalk.sources import tables
 def garch_final(frame: DataFrame, price: str = "nifty_close") -> DataFrame:
     """Volatility path of one fit per series over the whole frame."""
     fits = volatility.garch_fit(volatility.full_window(volatility.log_returns(frame, price)))
-    return volatility.garch_path(fits).drop("fold_id")
+    return volatility.garch_path(fits)
 
 
 def training_frame(frame: DataFrame, variant: str) -> DataFrame:
