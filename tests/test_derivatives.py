@@ -44,3 +44,22 @@ def test_top_k_is_cut_before_the_shuffle(spark, capsys):
     df = chain(spark, (NEAR, 1.0, 1, 3, 1.0))
     derivatives.top_by_liquidity(df).explain()
     assert "WindowGroupLimit" in capsys.readouterr().out
+
+
+def test_one_day_holding_most_contracts(spark):
+    """40,000 contracts on one day beside a normal day: whole results, by brute force."""
+    from pyspark.sql import functions as F
+
+    hot = spark.range(40_000).select(
+        F.lit("A").alias("series_id"), F.lit(DAY).alias("trade_date"),
+        F.expr("date_add(date'2020-01-01', cast(id as int))").alias("expiry"), F.lit(100.0).alias("max_pain"),
+        F.expr("id * 7919 % 40009").alias("pe_oi"), F.lit(1).cast("long").alias("ce_oi"),
+        F.expr("100.0D + id % 10").alias("underlying_price"),
+    )
+    df = hot.repartition(16).union(chain(spark, (NEAR, 100.0, 5, 5, 110.0)).withColumn("trade_date", F.lit(NEAR)))
+    top = sorted(((i * 7919 % 40009 + 1, i) for i in range(40_000)), reverse=True)[:3]
+    expected = sum(oi * (i % 10) for oi, i in top) / sum(oi for oi, _ in top)
+    got = {r.trade_date: r.max_pain_dist_pct for r in derivatives.max_pain_distance(df).collect()}
+    assert got == {DAY: round(expected, 4), NEAR: 10.0}
+    pcr = {r.trade_date: r.pcr for r in derivatives.put_call_ratio(df).collect()}
+    assert pcr[DAY] == round(sum(i * 7919 % 40009 for i in range(40_000)) / 40_000, 4)

@@ -108,8 +108,8 @@ def test_market_tables_read_over_jdbc_in_date_slices():
 
 
 def test_star_join_adds_no_exchange_beyond_one_per_side(spark, tmp_path, capsys):
-    """Without broadcasts, as at scale: every side is shuffled once by (series, day) for its own aggregation or ranking,
-    participants once more by their finer key, and the joined rows once by series. The joins add nothing."""
+    """Without broadcasts, as at scale: spine and sides are shuffled once by (series, day) for their own aggregation or
+    ranking, and the joined rows once by series. The joins add nothing."""
     for name, schema in schemas.SOURCE_TABLES.items():
         spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/{name}")
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
@@ -122,5 +122,5 @@ def test_star_join_adds_no_exchange_beyond_one_per_side(spark, tmp_path, capsys)
     exchanges = [line.split("Exchange ")[1] for line in plan.splitlines() if "Exchange " in line]
     by_series_only = [e for e in exchanges if "trade_date" not in e]
     assert len(by_series_only) == 1
-    assert len(exchanges) == len(by_series_only) + 1 + 8 + 1
+    assert len(exchanges) == len(by_series_only) + 1 + 8
     assert plan.count("SortMergeJoin") == 8
