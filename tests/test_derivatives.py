@@ -62,4 +62,5 @@ def test_one_day_holding_most_contracts(spark):
     got = {r.trade_date: r.max_pain_dist_pct for r in derivatives.max_pain_distance(df).collect()}
     assert got == {DAY: round(expected, 4), NEAR: 10.0}
     pcr = {r.trade_date: r.pcr for r in derivatives.put_call_ratio(df).collect()}
-    assert pcr[DAY] == round(sum(i * 7919 % 40009 for i in range(40_000)) / 40_000, 4)
+    ratio = sum(i * 7919 % 40009 for i in range(40_000)) / 40_000
+    assert pcr[DAY] == int(ratio * 10_000 + 0.5) / 10_000
