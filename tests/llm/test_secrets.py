@@ -1,0 +1,96 @@
+import hashlib
+import math
+import re
+from collections import Counter
+
+import cases
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tidewalk.llm import queries, secrets
+
+KEY = "x9Kq2LmZ7pR4tVw8YbN3cD6f"
+
+
+def slow_base(text):
+    """The known forms as the contract words them."""
+    text = text or ""
+    out = []
+    assign = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+    either = re.sub(r"[a-z]{2,}", lambda m: "".join(f"[{c}{c.upper()}]" for c in m[0]), "password|passwd|secret|token|api_?key")
+    assign = assign.replace("password|passwd|secret|token|api_?key", either)
+    out += [(m.start(), 0, m.end()) for m in re.finditer(assign, text) if len(m[2]) >= 12]
+    out += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 18]
+    out += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 16]
+    return sorted(out)
+
+
+PARTS = [
+    "token", "TOKEN", "ſecret", "secret", "api_key", "apiKEY", "apikey", "passwd", "password", "=", ":", " ", '"', "'", "abc",
+    "0123456789abcdef", "AKIA", "ABCDEFGH1234", "-._+/=", "é", "\n", "K", KEY,
+]
+
+
+@given(st.lists(st.sampled_from(PARTS), max_size=14).map("".join))
+@settings(max_examples=500, deadline=None)
+def test_known_forms(text):
+    assert [s for s in secrets.scan(text) if s[1] < 3] == slow_base(text)
+
+
+@given(st.text(alphabet="abc123XYZ", min_size=1, max_size=80))
+@settings(max_examples=200, deadline=None)
+def test_incremental_entropy_is_that_of_each_window(text):
+    expected = []
+    for i in range(len(text) - secrets.WINDOW + 1):
+        counts = Counter(text[i: i + secrets.WINDOW])
+        expected.append(-sum(c / secrets.WINDOW * math.log2(c / secrets.WINDOW) for c in counts.values()))
+    assert list(secrets.entropies(text)) == pytest.approx(expected, abs=1e-9)
+
+
+def test_random_keys_are_found_and_harmless_strings_are_not():
+    assert secrets.scan(f"key {KEY}.")[0][1] == 3
+    assert secrets.scan("0A1B2C3D4E5F60718293A4B5C6D7E8F9")[0][1] == 3  # upper-case hexadecimal has no known form
+    for harmless in (
+        "antidisestablishmentarianism", "some-long-hyphenated-compound-word", "2024-01-01/2024-12-31=0000",
+        "123E4567-E89B-12D3-A456-426614174000", "/usr/local/lib/python3/site/packages", "a" * 500, "1a" * 200, "=" * 5000 + "a1",
+    ):
+        assert not [s for s in secrets.scan(harmless) if s[1] == 3], harmless
+
+
+def test_entropy_spans_do_not_touch_known_forms():
+    spans = secrets.scan(f"token={KEY} and {KEY}")
+    assert [s[1] for s in spans] == [0, 3]
+
+
+def test_awkward_documents(spark):
+    rows = secrets.find_secrets(cases.documents(spark)).collect()
+    expected = Counter()
+    for doc_id, text, *_ in cases.awkward():
+        base = ",".join(f"{secrets.KINDS[k]}:{a}:{b}" for a, k, b in slow_base(text))
+        expected[doc_id, hashlib.sha256(base.encode()).hexdigest()] += 1
+    assert Counter((r["doc_id"], r["base_sha256"]) for r in rows) == expected
+    assert secrets.find_secrets(cases.empty(spark)).collect() == []
+
+
+def test_query_against_the_plain_scan(spark, sf_dir):
+    rows = {r["doc_id"]: r for r in queries.QUERIES["op3_secret_scans"](spark, sf_dir).collect()}
+    texts = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
+    assert len(rows) == len(texts)
+    for doc_id, text in texts:
+        base = slow_base(text)
+        row = rows[doc_id]
+        assert [row["n_assign"], row["n_access"], row["n_hex"]] == [sum(s[1] == k for s in base) for k in range(3)]
+        written = ",".join(f"{secrets.KINDS[k]}:{a}:{b}" for a, k, b in base)
+        assert row["base_sha256"] == hashlib.sha256(written.encode()).hexdigest()
+        assert {s for s in row["spans"].split(",") if s and not s.startswith("entropy")} == {s for s in written.split(",") if s}
+
+
+def test_masking(spark):
+    rows = [(1, f"my token = {KEY} ok", "en", "a", 0), (2, None, "en", "a", 5), (3, "clean", "en", "a", 5)]
+    docs = cases.documents(spark, rows)
+    out = secrets.mask_secrets(docs)
+    assert out.columns == docs.columns
+    got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in out.collect()}
+    assert got == {1: ("my [secret] ok", 14), 2: (None, 5), 3: ("clean", 5)}
+    assert secrets.masked("a 0123456789abcdef b") == "a [secret] b"

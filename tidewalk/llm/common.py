@@ -113,7 +113,8 @@ def _close_pairs(rows: dict[str, np.ndarray], max_bits: int) -> Iterator[tuple[n
         left = np.repeat(some, count)
         step = np.arange(len(left)) - np.repeat(np.cumsum(count) - count, count)
         right = np.repeat(first[unit[some]], count) + step
-        near = np.bitwise_count(rows["sig"][left] ^ rows["sig"][right]) <= max_bits
+        differing = np.bitwise_count((rows["sig"][left] ^ rows["sig"][right]).view(np.uint64))  # signed: of the absolute
+        near = differing <= max_bits
         a, b = rows["id"][left[near]], rows["id"][right[near]]
         other = a != b
         if other.any():

@@ -23,7 +23,7 @@ LEAST_WINDOWS = 3  # consecutive or not, in one alignment; all windows of shorte
 INDEX_ROWS = 500_000  # benchmark windows broadcast at once, under 200 MB; a larger index is joined in such blocks
 REMOVED_ROWS = 1_000_000  # keys broadcast at most to remove documents; more are joined by a shuffle
 
-MARK = ""
+MARK = "\ue000"  # a private-use character
 NAME, NUMBER, UNIT = "<name>", "<number>", "<unit>"
 # Units that may follow a number.
 UNITS = (
@@ -68,17 +68,17 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
     shorter than the window is one window. Null texts have no words.
     """
     once = benchmark.groupBy(F.col("text").cast("string").alias("text")).agg(F.min("item_id").alias("item_id"))
-    items = _split(once, "item_id").where(F.size("tmpl") >= LEAST_WORDS)
+    items = _split(once.withColumn("item", F.sha2("text", 256)), "item", "item_id").where(F.size("tmpl") >= LEAST_WORDS)
     items = items.withColumn("length", F.least(F.size("tmpl"), F.lit(WINDOW)))
     placed = items.withColumn("item_at", F.explode(F.expr("sequence(1, size(tmpl) - length + 1)")))
     cut = placed.select(
-        "item_id", "length", "item_at", F.expr("slice(tmpl, item_at, length)").alias("item_tmpl"),
+        "item", "item_id", "length", "item_at", F.expr("slice(tmpl, item_at, length)").alias("item_tmpl"),
         F.expr("slice(raw, item_at, length)").alias("item_raw"),
     )
     plain = F.size(F.filter("item_tmpl", lambda w: ~w.isin(NAME, NUMBER, UNIT)))
     kept = cut.where(plain >= LEAST_LITERALS)
-    count = kept.groupBy("item_id").agg(F.count(F.lit(1)).alias("item_windows"))
-    return kept.join(count, "item_id").withColumn("h", F.xxhash64("item_tmpl"))
+    count = kept.groupBy("item").agg(F.count(F.lit(1)).alias("item_windows"))
+    return kept.join(count, "item").drop("item").withColumn("h", F.xxhash64("item_tmpl"))
 
 
 def key_of(documents: DataFrame) -> Column:
