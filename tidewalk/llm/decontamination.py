@@ -34,10 +34,14 @@ UNITS = (
 ).split()
 
 
+LETTER = r"a-zA-Z0-9\p{L}\p{N}"  # the plain ranges first: they are tested faster
+
+
 def words(text: Column) -> Column:
     """The text's words as one string between single spaces; a name has `MARK` before it. Null becomes empty."""
     named = F.regexp_replace(F.coalesce(text, F.lit("")), r"(\p{Lu}(?<=\p{Ll},? .)\p{Ll}+)", MARK + "$1")
-    apart = rf"(?:[^\p{{L}}\p{{N}}{MARK}.,]|[.,](?:(?!\p{{N}})|(?<!\p{{N}}.)))+"
+    # a run of other characters, unless it is one point or comma between two digits
+    apart = rf"[^{LETTER}{MARK}]++(?:(?<!\p{{N}}[.,])|(?!\p{{N}}))"
     return F.trim(F.regexp_replace(named, apart, " "))
 
 
@@ -48,17 +52,16 @@ def template(worded: Column) -> Column:
     return F.regexp_replace(numbered, rf"(?<=<number> )(?:{'|'.join(UNITS)})(?= |$)", UNIT)
 
 
-def _windows(of: str, length: int) -> Column:
-    return F.expr(
-        f"CASE WHEN size({of}) >= {length} THEN transform(sequence(1, size({of}) - {length} + 1), "
-        f"i -> xxhash64(slice({of}, i, {length}))) ELSE array() END"
-    )
+def _hash(hashes: str, at: Column | int, length: int) -> Column:
+    """The hash of the window of `length` words at a position from 0, from the words' hashes."""
+    return F.xxhash64(*(F.get(hashes, at + k) for k in range(length)))
 
 
 def _split(frame: DataFrame, *keys: str) -> DataFrame:
+    """raw and tmpl, the words and the template words, and the latter's hashes."""
     worded = frame.select(*keys, words(F.col("text").cast("string")).alias("worded"))
     split = worded.select(*keys, F.split("worded", " ").alias("raw"), F.split(template(F.col("worded")), " ").alias("tmpl"))
-    return split.where("size(raw) = size(tmpl)")
+    return split.withColumn("hashes", F.transform("tmpl", lambda w: F.xxhash64(w)))
 
 
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
@@ -71,14 +74,17 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
     items = _split(once.withColumn("item", F.sha2("text", 256)), "item", "item_id").where(F.size("tmpl") >= LEAST_WORDS)
     items = items.withColumn("length", F.least(F.size("tmpl"), F.lit(WINDOW)))
     placed = items.withColumn("item_at", F.explode(F.expr("sequence(1, size(tmpl) - length + 1)")))
+    hashed = F.coalesce(*(
+        F.when(F.col("length") == n, _hash("hashes", F.col("item_at") - 1, n)) for n in range(LEAST_WORDS, WINDOW + 1)
+    ))
     cut = placed.select(
         "item", "item_id", "length", "item_at", F.expr("slice(tmpl, item_at, length)").alias("item_tmpl"),
-        F.expr("slice(raw, item_at, length)").alias("item_raw"),
+        F.expr("slice(raw, item_at, length)").alias("item_raw"), hashed.alias("h"),
     )
     plain = F.size(F.filter("item_tmpl", lambda w: ~w.isin(NAME, NUMBER, UNIT)))
     kept = cut.where(plain >= LEAST_LITERALS)
     count = kept.groupBy("item").agg(F.count(F.lit(1)).alias("item_windows"))
-    return kept.join(count, "item").drop("item").withColumn("h", F.xxhash64("item_tmpl"))
+    return kept.join(count, "item").drop("item")
 
 
 def key_of(documents: DataFrame) -> Column:
@@ -98,26 +104,37 @@ def matches(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     blocks = max(1, -(-rows // INDEX_ROWS))
     found = []
     for length in lengths:
-        at = docs.select("doc_id", "key", "raw", "tmpl", F.posexplode(_windows("tmpl", length)).alias("at", "h"))
+        # The windows are made, hashed and joined in one generated loop that copies no array of a document. The outer
+        # form keeps Spark from testing the array's size below, where it would make all words a second time.
+        each = docs.select("*", F.posexplode_outer("hashes").alias("at", "word"))
+        each = each.where(F.col("at") + length <= F.size("hashes"))
+        at = each.withColumn("h", _hash("hashes", F.col("at"), length))
         for block in range(blocks):
             part = index.where((F.col("length") == length) & (F.pmod(F.xxhash64("item_id", "item_at"), F.lit(blocks)) == block))
-            hit = at.join(F.broadcast(part), "h").where(F.expr("slice(tmpl, at + 1, length) = item_tmpl"))
-            slots = F.expr(
-                "filter(zip_with(zip_with(item_tmpl, item_raw, (t, r) -> struct(t, lower(r) AS r)), "
-                "slice(raw, at + 1, length), (i, d) -> struct(i.t AS t, i.r AS item, lower(d) AS doc)), "
-                f"s -> s.t IN ('{NAME}', '{NUMBER}', '{UNIT}'))"
-            )
-            found.append(hit.select("doc_id", "key", "item_id", "item_windows", "item_at",
-                                    (F.col("at") - F.col("item_at")).alias("shift"), slots.alias("slots")))
+            hit = at.join(F.broadcast(part), "h")
+            found.append(hit.select(
+                "doc_id", "key", "item_id", "item_windows", "item_at", "item_tmpl", "item_raw",
+                (F.col("at") + 1 - F.col("item_at")).alias("shift"),
+                F.slice("tmpl", F.col("at") + 1, F.lit(length)).alias("doc_tmpl"),
+                F.slice("raw", F.col("at") + 1, F.lit(length)).alias("doc_raw"),
+            ))
     if not found:
         return documents.sparkSession.createDataFrame(
-            [], f"doc_id {documents.schema['doc_id'].dataType.simpleString()}, key long, item_id long, windows long, "
-                "item_windows long, literal boolean"
+            [], f"doc_id {documents.schema['doc_id'].dataType.simpleString()}, key long, item_id long, item_windows long, "
+                "windows int, literal boolean"
         )
     hits = reduce(DataFrame.unionByName, found)
+    # At most one window for every place of the item.
     aligned = hits.groupBy("doc_id", "key", "item_id", "item_windows", "shift").agg(
-        F.count_distinct("item_at").alias("windows"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots")
+        F.collect_set(F.struct("item_at", "item_tmpl", "item_raw", "doc_tmpl", "doc_raw")).alias("found")
+    )
+    aligned = aligned.withColumn("found", F.filter("found", lambda f: f["item_tmpl"] == f["doc_tmpl"]))
+    slots = F.expr(
+        "array_distinct(flatten(transform(found, f -> filter(zip_with(zip_with(f.item_tmpl, f.item_raw, "
+        "(t, i) -> struct(t, lower(i) AS item)), f.doc_raw, (s, d) -> struct(s.t AS t, s.item AS item, lower(d) AS doc)), "
+        f"s -> s.t IN ('{NAME}', '{NUMBER}', '{UNIT}')))))"
     )
+    aligned = aligned.select("doc_id", "key", "item_id", "item_windows", F.size("found").alias("windows"), slots.alias("slots"))
     consistent = F.size("slots") == F.size(F.array_distinct(F.transform("slots", lambda s: F.struct(s["t"], s["item"]))))
     enough = F.col("windows") >= F.least(F.lit(LEAST_WINDOWS), F.col("item_windows"))
     literal = ~F.exists("slots", lambda s: s["item"] != s["doc"])
