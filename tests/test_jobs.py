@@ -3,12 +3,11 @@
 import pytest
 
 from tidewalk import jobs, schemas
-from tidewalk.config import GARCH_FEATURES, TARGET
-from tidewalk.plans.catalog import FOLD_FEATURES
+from tidewalk.config import BASE_FEATURES, GARCH_FEATURES, TARGET
 from tidewalk.sources.proxies import market_tables
 
-REQUIRED = (TARGET, *FOLD_FEATURES)
-VARIANTS = {"few": FOLD_FEATURES[:4], "few_garch": [*FOLD_FEATURES[:4], *GARCH_FEATURES]}
+REQUIRED = jobs.REQUIRED
+VARIANTS = {"few": BASE_FEATURES[:4], "few_garch": [*BASE_FEATURES[:4], *GARCH_FEATURES]}
 QUICK = {"numTrees": 3}
 
 

@@ -14,7 +14,7 @@ from tidewalk.streaming.scoring import read_stream, score_stream
 
 FEATURES = ["x1", "x2"]
 VARIANTS = {"plain": FEATURES, "plain_garch": [*FEATURES, *GARCH_FEATURES]}
-QUICK = {"numTrees": 5}
+QUICK = {"numTrees": 5, "maxBins": 32}
 
 
 @pytest.fixture(scope="module")
@@ -50,6 +50,8 @@ def test_estimators_carry_the_published_settings(spark):
     assert set(MODELS) == {"random_forest", "xgboost", "lightgbm", "catboost"}
     forest = models.make_estimator("random_forest")
     assert (forest.getNumTrees(), forest.getMaxDepth(), forest.getMinInstancesPerNode(), forest.getSeed()) == (300, 4, 20, 42)
+    assert all(models.make_estimator(name).getMaxBins() == 256 for name in MODELS)
+    assert models.make_estimator("lightgbm").getMinInstancesPerNode() == 20
     boosted = models.make_estimator("xgboost", {"maxIter": 2})
     assert (boosted.getMaxIter(), boosted.getStepSize(), boosted.getSubsamplingRate()) == (2, 0.03, 0.8)
     with pytest.raises(ValueError, match="unknown model"):
@@ -62,15 +64,17 @@ def starts(work):
 
 
 def test_garch_variant_loses_its_first_two_training_rows_only(work, starts):
-    plain = models.fold_rows(work.ranged, starts[0], FEATURES)
-    garch = models.fold_rows(work.ranged, starts[0], VARIANTS["plain_garch"], work.garch)
+    plain = models.fold_rows(work.ranged, starts[0])
+    garch = [
+        models.usable_rows(side, VARIANTS["plain_garch"]) for side in models.fold_rows(work.ranged, starts[0], work.garch)
+    ]
     assert garch[0].count() == plain[0].count() - 2
     assert garch[1].count() == plain[1].count() == garch[1].na.drop(subset=GARCH_FEATURES).count()
 
 
 def test_no_training_row_is_after_the_embargo(work, starts):
     fold = work.folds.filter("fold_id = 3").first()
-    train, test = models.fold_rows(work.ranged, starts[3], FEATURES)
+    train, test = models.fold_rows(work.ranged, starts[3])
     span = train.agg(F.max("trade_date")).first()[0], test.agg(F.min("trade_date")).first()[0]
     assert span[0] == fold.embargo_date and span[1] > fold.test_start
 
@@ -83,7 +87,7 @@ def test_series_of_unequal_length_share_a_boundary_without_lookahead(spark, snap
     both = cross_validation.prepare(snapshot.union(late), bounds, (TARGET, *FEATURES), with_garch=False)
     shared = both.folds.filter("series_id = 'B'").first().train_end
     assert both.folds.filter(F.col("train_end") == shared).select("fold_id").distinct().count() == 2
-    train, test = models.fold_rows(both.ranged, shared, FEATURES)
+    train, test = models.fold_rows(both.ranged, shared)
     ends = {r[0]: r[1] for r in train.groupBy("series_id").agg(F.max("trade_date")).collect()}
     assert set(ends) == {"A", "B"} and max(ends.values()) < shared < test.agg(F.min("trade_date")).first()[0]
     members = both.folds.filter(F.col("train_end") == shared).agg(F.sum("n_train"), F.sum("n_test")).first()
@@ -92,19 +96,68 @@ def test_series_of_unequal_length_share_a_boundary_without_lookahead(spark, snap
 
 def test_failed_volatility_makes_the_fold_vanish(spark, work, starts):
     none = work.garch.withColumns({c: F.lit(None).cast("double") for c in GARCH_FEATURES})
-    assert models.run_fold(work.ranged, starts[0], "random_forest", "v", VARIANTS["plain_garch"], none, QUICK) is None
+    sides = models.fold_rows(work.ranged, starts[0], none)
+    assert models.run_fold(*sides, "random_forest", "v", VARIANTS["plain_garch"], QUICK) is None
     result = models.run_experiments(
         work.ranged, starts[:2], [("random_forest", "v", VARIANTS["plain_garch"])], none, QUICK
     )
     assert result is None
 
 
+def test_a_series_without_volatility_leaves_the_others_in(spark, snapshot, work, starts):
+    """Series B has no volatility: the base experiment scores both, the other one A only."""
+    other = work.ranged.withColumn("series_id", F.lit("B"))
+    both = work.ranged.unionByName(other)
+    experiments = [("random_forest", name, columns) for name, columns in VARIANTS.items()]
+    got = models.run_experiments(both, starts[:1], experiments, work.garch, QUICK)
+    seen = {(r.feature_variant, r.series_id) for r in got.select("feature_variant", "series_id").distinct().collect()}
+    assert seen == {("plain", "A"), ("plain", "B"), ("plain_garch", "A")}
+
+
+def test_series_with_other_calendars_are_left_out_of_both_variants(spark, snapshot, work, starts):
+    """B's folds start on other days, so a fit at A's boundary trains on A alone, with and without volatility."""
+    other = snapshot.withColumn("series_id", F.lit("B"))
+    middle = [(name, e if name == "A" else e.replace(day=15)) for name in "AB" for e in month_ends(60)]
+    two = cross_validation.prepare(
+        snapshot.unionByName(other), spark.createDataFrame(middle, "series_id string, expiry date"), (TARGET, *FEATURES)
+    )
+    train, test = models.fold_rows(two.ranged, starts[0], two.garch)
+    for side in (train, test):
+        for columns in VARIANTS.values():
+            assert {r[0] for r in models.usable_rows(side, columns).select("series_id").distinct().collect()} == {"A"}
+
+
+def test_a_failed_fit_is_recorded_and_repeated_alone(spark, work, starts, tmp_path, monkeypatch):
+    experiments = [("random_forest", "plain", FEATURES), ("random_forest", "other", FEATURES)]
+    plain, calls = models.run_fold, []
+
+    def broken(train, test, name, variant, *rest):
+        calls.append(variant)
+        if variant == "other" and len(calls) < 3:
+            raise ValueError("no fit")
+        return plain(train, test, name, variant, *rest)
+
+    monkeypatch.setattr(models, "run_fold", broken)
+    args = (work.ranged, starts[:1], experiments, None, QUICK)
+    first = models.run_experiments(*args, folder=str(tmp_path))
+    assert {r.feature_variant for r in first.collect()} == {"plain"}
+    status = {r.feature_variant: r.status for r in models.outcomes(spark, str(tmp_path)).collect()}
+    assert status == {"plain": "fitted", "other": "failed: no fit"}
+    again = models.run_experiments(*args, folder=str(tmp_path))
+    assert calls == ["plain", "other", "other"]
+    assert {r.feature_variant for r in again.collect()} == {"plain", "other"}
+    assert models.run_experiments(*args, folder=str(tmp_path)).count() == again.count() and len(calls) == 3
+
+
 @pytest.fixture(scope="module")
 def logged(spark, work, starts, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("runs"))
     predicted = cross_validation.predictions(work, ["random_forest"], VARIANTS, boundaries=starts[:3], overrides=QUICK)
     results, summary = cross_validation.evaluate(predicted)
-    cross_validation.log_runs(results, summary, work.folds, VARIANTS, "t", root)
+    for _ in range(2):
+        cross_validation.log_runs(
+            results, summary, work.folds, VARIANTS, "t", root, ["random_forest", "catboost"], {"numTrees": 5}
+        )
     return predicted, results, summary, root
 
 
@@ -118,7 +171,13 @@ def test_cross_validation_learns_the_signal(logged):
 
 def test_run_log_and_reports(spark, logged):
     _, _, summary, root = logged
-    assert spark.read.schema(schemas.RUNS).parquet(f"{root}/runs").count() == 2
+    runs = {(r.model_name, r.feature_variant): r for r in spark.read.schema(schemas.RUNS).parquet(f"{root}/runs").collect()}
+    assert len(runs) == 4 and {r.status for r in runs.values()} == {"ok", "no_valid_folds"}
+    never = runs["catboost", "plain"]
+    assert never.n_folds == 0 and not never.meets_threshold and never.mean_ic_pearson is None
+    fitted = runs["random_forest", "plain_garch"]
+    assert fitted.params["numTrees"] == "5" and fitted.params["maxDepth"] == "4" and fitted.n_features == 4
+    assert fitted.target == TARGET and fitted.n_folds_requested > 3 == fitted.n_folds
     fold_rows = spark.read.schema(schemas.FOLD_RESULTS).parquet(f"{root}/fold_results")
     assert fold_rows.count() == 6 and fold_rows.filter("test_start is null or ic_pearson is null").isEmpty()
     report = spark.read.option("header", True).csv(f"{root}/csv/cv_metrics")
@@ -172,6 +231,8 @@ def test_missing_features_are_named_in_order(spark):
     assert [(r.id, r.missing) for r in rejected.collect()] == [(1, ["a"])]
     absent = scoring.with_missing(df, ["c", "b", "a"]).orderBy("id").collect()
     assert [r.missing for r in absent] == [["c", "a"], ["c"]]
+    odd = spark.createDataFrame([(i, v) for i, v in enumerate([1.0, float("nan"), float("inf"), None])], "id int, a double")
+    assert [r.missing for r in scoring.with_missing(odd, ["a"]).orderBy("id").collect()] == [[], ["a"], ["a"], ["a"]]
 
 
 def test_supplied_volatility_is_overwritten(spark):
@@ -184,7 +245,8 @@ def test_stream_scores_like_batch_and_rejects_incomplete_rows(spark, snapshot, p
     root, _ = promoted
     model, meta = promotion.load_artifact(spark, f"{root}/model-1")
     state = tables.materialise(promotion.serving_state(snapshot), "test-state")
-    requests = snapshot.withColumn("x2", F.when(F.dayofmonth("trade_date") != 13, F.col("x2")))
+    day = F.dayofmonth("trade_date")
+    requests = snapshot.withColumn("x2", F.when(day == 14, float("nan")).when(day != 13, F.col("x2")))
     inbox = f"{tmp_path}/inbox"
     requests.repartition(5).write.parquet(inbox)
     args = (model, meta["model_name"], meta["feature_variant"], meta["feature_cols"])
@@ -214,5 +276,7 @@ def test_state_comes_from_the_newest_row_even_without_target(spark, snapshot):
 
 def test_sampled_row_is_complete_and_repeatable(spark):
     df = spark.createDataFrame([(i, None if i % 2 else 1.0) for i in range(40)], "id int, a double")
-    first, again = (scoring.sample_complete_row(df, ["a"], seed=5).collect() for _ in range(2))
+    first, again = (
+        scoring.sample_complete_row(df.repartition(n), ["a"], seed=5, keys=("id",)).collect() for n in (1, 7)
+    )
     assert len(first) == 1 and first == again and first[0].a == 1.0

@@ -104,12 +104,15 @@ def test_market_tables_read_over_jdbc_in_date_slices():
     got = tables.read_market_tables_jdbc(Session(), "jdbc:x", "2015-01-01", "2024-01-01", 8)
     assert set(got) == set(schemas.SOURCE_TABLES)
     sliced = [o for o in seen if o.get("partitionColumn") == "trade_date"]
-    assert len(sliced) == 8 and all(o["numPartitions"] == "8" for o in sliced)
+    assert len(sliced) == 8 and all(o["numPartitions"] == "8" for o in seen)
+    instruments = next(o for o in seen if o["dbtable"] == "nse.instruments")
+    assert instruments["partitionColumn"] == "expiry" and "expiry date" in instruments["customSchema"]
 
 
 def test_star_join_adds_no_exchange_beyond_one_per_side(spark, tmp_path, capsys):
     """Without broadcasts, as at scale: spine and sides are shuffled once by (series, day) for their own aggregation or
-    ranking, and the joined rows once by series. The joins add nothing."""
+    ranking, and the joined rows once by series. The joins of the sides add nothing. The nearest expiry costs three
+    exchanges more, for its minimum and a semi-join with it, which takes any number of ties on a day."""
     for name, schema in schemas.SOURCE_TABLES.items():
         spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/{name}")
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
@@ -122,5 +125,5 @@ def test_star_join_adds_no_exchange_beyond_one_per_side(spark, tmp_path, capsys)
     exchanges = [line.split("Exchange ")[1] for line in plan.splitlines() if "Exchange " in line]
     by_series_only = [e for e in exchanges if "trade_date" not in e]
     assert len(by_series_only) == 1
-    assert len(exchanges) == len(by_series_only) + 1 + 8
-    assert plan.count("SortMergeJoin") == 8
+    assert len(exchanges) == len(by_series_only) + 1 + 8 + 3
+    assert plan.count("SortMergeJoin") == 8 + 1

@@ -141,26 +141,28 @@ class ModelSettings:
     params: dict = field(default_factory=dict)
 
 
-# 300 trees or rounds of depth 4, seed 42, learning rate 0.03.
+# 300 trees or rounds of depth 4, seed 42, learning rate 0.03, 256 histogram bins; a leaf of the forest
+# and of the second boosted family has 20 rows or more. Spark ML has no penalties on leaf values and no symmetric trees.
 MODELS = {
     "random_forest": ModelSettings(
         "forest",
-        {"numTrees": 300, "maxDepth": 4, "minInstancesPerNode": 20, "featureSubsetStrategy": "all", "seed": 42},
+        {"numTrees": 300, "maxDepth": 4, "minInstancesPerNode": 20, "featureSubsetStrategy": "all", "maxBins": 256,
+         "seed": 42},
     ),
     "xgboost": ModelSettings(
         "boosted",
         {"maxIter": 300, "maxDepth": 4, "stepSize": 0.03, "subsamplingRate": 0.8,
-         "featureSubsetStrategy": "0.8", "seed": 42},
+         "featureSubsetStrategy": "0.8", "maxBins": 256, "seed": 42},
     ),
     "lightgbm": ModelSettings(
         "boosted",
-        {"maxIter": 300, "maxDepth": 4, "stepSize": 0.03, "subsamplingRate": 1.0,
-         "featureSubsetStrategy": "0.8", "seed": 42},
+        {"maxIter": 300, "maxDepth": 4, "minInstancesPerNode": 20, "stepSize": 0.03, "subsamplingRate": 1.0,
+         "featureSubsetStrategy": "0.8", "maxBins": 256, "seed": 42},
     ),
     "catboost": ModelSettings(
         "boosted",
         {"maxIter": 300, "maxDepth": 4, "stepSize": 0.03, "subsamplingRate": 0.8,
-         "featureSubsetStrategy": "all", "seed": 42},
+         "featureSubsetStrategy": "all", "maxBins": 256, "seed": 42},
     ),
 }
 

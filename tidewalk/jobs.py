@@ -44,17 +44,21 @@ def train(
     model_names: Sequence[str] = tuple(MODELS), variants: Mapping[str, Sequence[str]] = FEATURE_VARIANTS,
     overrides: dict | None = None, parallelism: int = 4,
 ) -> None:
-    """Snapshot -> cross-validated experiments, their log and reports, and the winning configuration."""
+    """Snapshot -> cross-validated experiments, their log and reports, and the winning configuration.
+
+    Fits are kept below `runs`/fits, so a group that was cut off goes on where it stopped.
+    """
     work = cross_validation.prepare(
         tables.read_snapshot(spark, features), tables.read_boundaries(spark, boundaries), required
     )
-    predicted = cross_validation.predictions(work, model_names, variants, overrides=overrides, parallelism=parallelism)
+    predicted = cross_validation.predictions(
+        work, model_names, variants, overrides=overrides, parallelism=parallelism, folder=f"{runs}/fits/{group}"
+    )
     if predicted is None:
         raise RuntimeError("no experiment produced a valid fold")
     results, summary = cross_validation.evaluate(predicted, GateSettings.from_env())
     cross_validation.log_runs(
-        tables.materialise(results, "fold-results"), tables.materialise(summary, "summary"), work.folds, variants,
-        group, runs,
+        results, tables.materialise(summary, "summary"), work.folds, variants, group, runs, model_names, overrides
     )
 
 

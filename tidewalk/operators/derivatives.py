@@ -46,11 +46,9 @@ def max_pain_distance(options: DataFrame, k: int = 3) -> DataFrame:
 
 
 def nearest_expiry(futures: DataFrame) -> DataFrame:
-    """Every contract at the day's earliest expiry; ties are kept."""
-    soonest = Window.partitionBy(*DAY).orderBy(F.asc_nulls_last("expiry"))
-    return (
-        futures.filter(F.col("expiry").isNotNull())
-        .withColumn("nearness", F.rank().over(soonest))
-        .filter("nearness = 1")
-        .drop("nearness")
-    )
+    """Every contract at the day's earliest expiry; ties are kept.
+
+    The minimum combines map-side and the join takes any number of ties: adaptive execution splits a hot day.
+    """
+    soonest = futures.groupBy(*DAY).agg(F.min("expiry").alias("expiry"))
+    return futures.join(soonest, [*DAY, "expiry"], "left_semi")

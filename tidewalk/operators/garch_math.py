@@ -8,7 +8,11 @@ import numpy as np
 
 BACKCAST_ROWS = 75
 BACKCAST_DECAY = 0.94
-MIN_ROWS = 20
+MIN_ROWS = 20  # returns below which a fit is not tried; its row says so
+MAX_STEPS = 900  # of one search; a second one starts where the first ended
+# Bounds that keep the exponentials finite: omega, alpha and beta up to e^30 before scaling, nu up to 2.05 + e^6 = 405,
+# where Student's t is normal for all purposes.
+LARGEST_LOG, LARGEST_LOG_NU = 30.0, 6.0
 
 
 def start_variance(resid: np.ndarray) -> float:
@@ -36,10 +40,10 @@ def variances(resid: np.ndarray, omega: float, alpha: float, beta: float) -> np.
 
 def _unpack(z: np.ndarray, scale: float) -> tuple[float, float, float, float, float]:
     """Free coordinates -> (mu, omega, alpha, beta, nu) with alpha, beta > 0, alpha + beta < 1, nu > 2."""
-    a, b = math.exp(min(z[2], 30.0)), math.exp(min(z[3], 30.0))
+    a, b = math.exp(min(z[2], LARGEST_LOG)), math.exp(min(z[3], LARGEST_LOG))
     total = 1.0 + a + b
-    nu = 2.05 + math.exp(min(z[4], 6.0))
-    return z[0], scale * math.exp(min(z[1], 30.0)), a / total, b / total, nu
+    nu = 2.05 + math.exp(min(z[4], LARGEST_LOG_NU))
+    return z[0], scale * math.exp(min(z[1], LARGEST_LOG)), a / total, b / total, nu
 
 
 def neg_loglik(y: np.ndarray, mu: float, omega: float, alpha: float, beta: float, nu: float) -> float:
@@ -52,7 +56,7 @@ def neg_loglik(y: np.ndarray, mu: float, omega: float, alpha: float, beta: float
     return -(len(y) * const - 0.5 * np.log(v).sum() - (nu + 1) / 2 * tail)
 
 
-def _simplex_search(loss, start: np.ndarray, max_steps: int = 900, tol: float = 1e-8) -> tuple[np.ndarray, float, bool]:
+def _simplex_search(loss, start: np.ndarray, max_steps: int = MAX_STEPS, tol: float = 1e-8) -> tuple[np.ndarray, float, bool]:
     """Nelder-Mead with the usual coefficients."""
     n = len(start)
     points = np.vstack([start] + [start + 0.4 * np.eye(n)[i] for i in range(n)])
@@ -118,7 +122,11 @@ def describe(y: np.ndarray, params: dict, status: str, loglik: float | None) ->
 
 
 def fit_row(y: np.ndarray) -> dict:
-    """`describe` of the fitted model; on failure a row of NULLs that says why."""
+    """`describe` of the fitted model; on failure a row of NULLs that says why.
+
+    A search that used up its steps gives its best point, marked `not converged`: its path and forecast are used, as
+    they come from the largest likelihood found, and the mark is there for whoever wants to leave them out.
+    """
     try:
         params, loglik, converged = fit(y)
     except (ValueError, FloatingPointError) as cause:

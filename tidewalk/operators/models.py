@@ -4,20 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
-from datetime import date
+from datetime import date, datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewalk.config import DATE, GARCH_FEATURES, MODELS, SERIES, TARGET
-from tidewalk.schemas import PREDICTIONS
+from tidewalk.schemas import FIT_OUTCOMES, PREDICTIONS
 from tidewalk.sources.tables import new_working_path
 
 MIN_FIT_ROWS = 30
 MIN_SCORE_ROWS = 2
+ROWS_PER_TASK = 20_000  # training rows that are worth a task of their own
+FITTED, TOO_FEW, FAILED = "fitted", "too few rows", "failed"
 _REGRESSORS = {"forest": RandomForestRegressor, "boosted": GBTRegressor}
 
 
@@ -34,33 +37,36 @@ def make_pipeline(name: str, feature_cols: Sequence[str], overrides: dict | None
     return Pipeline(stages=[assembler, make_estimator(name, overrides)])
 
 
-def fold_rows(
-    ranged: DataFrame, boundary: date, feature_cols: Sequence[str], garch: DataFrame | None = None
-) -> tuple[DataFrame, DataFrame]:
+def fold_rows(ranged: DataFrame, boundary: date, garch: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Train and test rows of the folds starting at `boundary`: two filters on the fold ranges, no membership join.
 
-    With several series a fit pools the folds that share a boundary date. Every training label then ends by that date
-    and every test row lies after it, for all series; ids would not do, since series of unequal length number their
-    folds differently. With `garch` the folds' volatility columns are joined by day; rows without them are dropped
-    from training only.
+    With several series a fit pools the folds that share a boundary date, and trains on the series that have one
+    there. Every training label then ends by that date and every test row lies after it, for all series; ids would not
+    do, since series of unequal length number their folds differently. `garch` adds the folds' volatility columns by
+    day, NULL where there are none: an experiment that uses them leaves those rows out on both sides.
     """
     at = F.lit(boundary)
-    train = ranged.filter((F.col("first_train_end") <= at) & (F.col("last_train_end") >= at))
     test = ranged.filter(F.col("test_start") == at)
+    train = ranged.filter((F.col("first_train_end") <= at) & (F.col("last_train_end") >= at))
+    train = train.join(test.select(SERIES).distinct(), SERIES, "left_semi")
     if garch is not None:
         own = garch.filter(F.col("train_end") == at).select(SERIES, DATE, *GARCH_FEATURES)
-        train = train.join(own, [SERIES, DATE]).na.drop(subset=GARCH_FEATURES)
-        test = test.join(own, [SERIES, DATE], "left")
-    columns = [SERIES, DATE, TARGET, *dict.fromkeys(feature_cols)]
-    return train.select(*columns), test.select(*columns, F.col("test_fold").alias("fold_id"))
+        train, test = (side.join(own, [SERIES, DATE], "left") for side in (train, test))
+    return train, test.withColumn("fold_id", F.col("test_fold"))
+
+
+def usable_rows(rows: DataFrame, feature_cols: Sequence[str]) -> DataFrame:
+    """The rows that have the volatility columns an experiment uses."""
+    needed = [c for c in GARCH_FEATURES if c in feature_cols]
+    return rows.na.drop(subset=needed) if needed else rows
 
 
 def run_fold(
-    ranged: DataFrame, boundary: date, model_name: str, variant: str, feature_cols: Sequence[str],
-    garch: DataFrame | None = None, overrides: dict | None = None,
+    train: DataFrame, test: DataFrame, model_name: str, variant: str, feature_cols: Sequence[str],
+    overrides: dict | None = None,
 ) -> DataFrame | None:
-    """Test predictions after one boundary, or None when it has too few rows left."""
-    train, test = fold_rows(ranged, boundary, feature_cols, garch)
+    """Test predictions of one experiment after one boundary, or None when it has too few rows left."""
+    train, test = usable_rows(train, feature_cols), usable_rows(test, feature_cols)
     if train.limit(MIN_FIT_ROWS).count() < MIN_FIT_ROWS or test.limit(MIN_SCORE_ROWS).count() < MIN_SCORE_ROWS:
         return None
     model = make_pipeline(model_name, list(dict.fromkeys(feature_cols)), overrides).fit(train)
@@ -70,32 +76,69 @@ def run_fold(
     )
 
 
+def outcomes(spark: SparkSession, folder: str) -> DataFrame:
+    """What has become of every fit in the folder."""
+    try:
+        return spark.read.schema(FIT_OUTCOMES).option("recursiveFileLookup", True).parquet(f"{folder}/outcomes")
+    except AnalysisException as cause:
+        if cause.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], FIT_OUTCOMES)
+
+
 def run_experiments(
     ranged: DataFrame, boundaries: Sequence[date], experiments: Sequence[tuple[str, str, Sequence[str]]],
-    garch: DataFrame | None = None, overrides: dict | None = None, parallelism: int = 4,
+    garch: DataFrame | None = None, overrides: dict | None = None, parallelism: int = 4, folder: str | None = None,
 ) -> DataFrame | None:
     """Test predictions of every (model, variant, columns) at every boundary; None when none had enough rows.
 
-    Each fit is a set of cluster-wide jobs; up to `parallelism` of them are in flight. Predictions are written as
-    each fit finishes and read back as one table, so they neither pile up in a plan nor pass the driver.
+    A boundary's rows are read and joined once and kept while all experiments are fitted on them. Each fit is a set of
+    cluster-wide jobs; up to `parallelism` boundaries are in flight, a number that should follow the cluster. Predictions
+    are written as each fit finishes and read back as one table, so they neither pile up in a plan nor pass the driver.
+    A failed fit is recorded in `outcomes` and the others go on. Called again with the same `folder`, only fits that are
+    missing there or failed are run.
     """
-    base = new_working_path(ranged.sparkSession, "predictions")
-
-    def one(task) -> bool:
-        (name, variant, columns), boundary = task
-        uses_garch = bool(set(GARCH_FEATURES) & set(columns))
-        predicted = run_fold(ranged, boundary, name, variant, columns, garch if uses_garch else None, overrides)
-        if predicted is not None:
-            predicted.write.mode("overwrite").parquet(f"{base}/{name}/{variant}/{boundary}")
-        return predicted is not None
+    spark = ranged.sparkSession
+    base = folder or new_working_path(spark, "predictions")
+    done = {(r.model_name, r.feature_variant, r.boundary): r.status for r in outcomes(spark, base).collect()}
+    columns = list(dict.fromkeys(c for *_, names in experiments for c in names))
+    uses_garch = bool(set(GARCH_FEATURES) & set(columns))
+
+    def at(boundary: date) -> list[tuple]:
+        left = [e for e in experiments if done.get((e[0], e[1], boundary), FAILED).startswith(FAILED)]
+        if not left:
+            return []
+        train, test = (
+            side.select(SERIES, DATE, TARGET, *columns, *(["fold_id"] if number else [])).persist()
+            for number, side in enumerate(fold_rows(ranged, boundary, garch if uses_garch else None))
+        )
+        # few rows need few tasks: every tree level is a job
+        small = train.coalesce(max(1, train.count() // ROWS_PER_TASK))
+        results = []
+        try:
+            for name, variant, names in left:
+                try:
+                    predicted = run_fold(small, test, name, variant, names, overrides)
+                    if predicted is not None:
+                        predicted.write.mode("overwrite").parquet(f"{base}/predictions/{name}/{variant}/{boundary}")
+                    status = TOO_FEW if predicted is None else FITTED
+                except Exception as cause:  # noqa: BLE001  one bad fit must not cost the others
+                    status = f"{FAILED}: {str(cause)[:300]}"
+                row = [(name, variant, boundary, status, datetime.now(timezone.utc))]
+                told = spark.createDataFrame(row, FIT_OUTCOMES).coalesce(1)
+                told.write.mode("overwrite").parquet(f"{base}/outcomes/{name}/{variant}/{boundary}")
+                results.append(status)
+        finally:
+            train.unpersist()
+            test.unpersist()
+        return results
 
-    tasks = [(experiment, boundary) for experiment in experiments for boundary in boundaries]
     with ThreadPoolExecutor(parallelism) as pool:
-        done = list(pool.map(one, tasks))
-    if not any(done):
+        statuses = [s for found in pool.map(at, boundaries) for s in found] + list(done.values())
+    if FITTED not in statuses:
         return None
-    reader = ranged.sparkSession.read.schema(PREDICTIONS).option("recursiveFileLookup", True)
-    return reader.parquet(base)
+    reader = spark.read.schema(PREDICTIONS).option("recursiveFileLookup", True)
+    return reader.parquet(f"{base}/predictions")
 
 
 def refit(frame: DataFrame, model_name: str, feature_cols: Sequence[str], overrides: dict | None = None) -> PipelineModel:

@@ -5,15 +5,21 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewalk.config import GARCH_FEATURES, SERIES, TARGET
+from tidewalk.config import DATE, GARCH_FEATURES, SERIES, TARGET
+
+
+def _is_number(column: str) -> Column:
+    """Whether the value is a finite number."""
+    value = F.col(column).cast("double")
+    return value.isNotNull() & ~F.isnan(value) & (F.abs(value) != float("inf"))
 
 
 def with_missing(df: DataFrame, feature_cols: Sequence[str]) -> DataFrame:
-    """`missing`: required features that are absent or NULL in the row, in column order."""
-    absent = [F.lit(c) if c not in df.columns else F.when(F.col(c).isNull(), F.lit(c)) for c in feature_cols]
+    """`missing`: required features that are absent, NULL, NaN or infinite in the row, in column order."""
+    absent = [F.lit(c) if c not in df.columns else F.when(~_is_number(c), F.lit(c)) for c in feature_cols]
     names = F.array(*absent) if absent else F.array().cast("array<string>")
     return df.withColumn("missing", F.filter(names, lambda name: name.isNotNull()))
 
@@ -44,6 +50,9 @@ def score(
     )
 
 
-def sample_complete_row(df: DataFrame, feature_cols: Sequence[str], seed: int = 0) -> DataFrame:
-    """One random row with every feature present."""
-    return df.na.drop(subset=list(feature_cols)).orderBy(F.rand(seed)).limit(1)
+def sample_complete_row(
+    df: DataFrame, feature_cols: Sequence[str], seed: int = 0, keys: Sequence[str] = (SERIES, DATE)
+) -> DataFrame:
+    """One random row with every feature present: the smallest hash of key and seed, however the rows are partitioned."""
+    drawn = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.lit(str(seed))))
+    return split_valid(df, feature_cols)[0].orderBy(drawn, *keys).limit(1)

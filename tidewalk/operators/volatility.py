@@ -20,6 +20,7 @@ from tidewalk.operators import garch_math
 from tidewalk.operators.returns import by_day, unique_day
 from tidewalk.schemas import GARCH_FIT
 
+
 def log_returns(frame: DataFrame, price: str = "nifty_close") -> DataFrame:
     """Log return against the previous surviving row, NULL on a series' first row and at prices <= 0.
 
@@ -44,28 +45,34 @@ def history_by_series(returns: DataFrame) -> DataFrame:
     )
 
 
-def fit_partitions(spark: SparkSession) -> int:
-    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+FITS_PER_TASK = 500  # some tens of seconds
+
+
+def fit_partitions(spark: SparkSession, fits: int = 0) -> int:
+    return max(spark.sparkContext.defaultParallelism, -(-fits // FITS_PER_TASK))
 
 
-def training_windows(returns: DataFrame, folds: DataFrame) -> DataFrame:
+def training_windows(returns: DataFrame, folds: DataFrame, fits: int | None = None) -> DataFrame:
     """(series, fold) with the returns up to the fold's embargo date, spread evenly for fitting.
 
     The shuffle moves one packed array per fold instead of a row per fold and day. Its width is explicit: adaptive
-    execution would merge partitions by their few bytes, but a fit costs CPU, not bytes.
+    execution would merge partitions by their few bytes, but a fit costs CPU, not bytes. `fits` is the number of folds;
+    they are counted if it is not given.
     """
+    fits = folds.count() if fits is None else fits
     upto = F.filter("history", lambda p: p["day"] <= F.col("embargo_date"))
     return (
         folds.select(SERIES, "fold_id", "train_end", "embargo_date")
         .join(history_by_series(returns), SERIES)
         .select(SERIES, "fold_id", "train_end", upto.alias("history"))
-        .repartition(fit_partitions(folds.sparkSession), SERIES, "fold_id")
+        .repartition(fit_partitions(folds.sparkSession, fits), SERIES, "fold_id")
     )
 
 
 def full_window(returns: DataFrame) -> DataFrame:
     """The whole history as one training window per series."""
-    return history_by_series(returns).repartition(fit_partitions(returns.sparkSession), SERIES)
+    series = returns.select(SERIES).distinct().count()
+    return history_by_series(returns).repartition(fit_partitions(returns.sparkSession, series), SERIES)
 
 
 @F.pandas_udf(GARCH_FIT)

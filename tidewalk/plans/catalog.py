@@ -6,11 +6,14 @@ priority; their predictions come from two closed-form predictors, so that both e
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewalk.config import (
-    BASE_FEATURES, KNOWN_GAPS, REGISTERED_MODEL_NAME, TARGET, FoldSettings, GapPatch, GarchParams, MarketNames,
+    BASE_FEATURES, FEATURE_VARIANTS, KNOWN_GAPS, REGISTERED_MODEL_NAME, TARGET, FoldSettings, GapPatch, GarchParams, MarketNames,
 )
 from tidewalk.functions import round_f
 from tidewalk.operators import (
@@ -31,14 +34,9 @@ TEST_GAPS = (
     GapPatch("1997-03-17", "adv_decl_ratio", ("adv_decl_ratio", "pcr"), ("1997-03-16", "1997-03-18")),
 )
 SHORT_FOLDS = FoldSettings(min_train_boundaries=12, embargo_rows=5, min_train_rows=20, min_test_rows=1)
-# Columns dense enough on the proxies to be required at every scale factor.
-FOLD_FEATURES = [
-    "vix_close", "pcr", "max_pain_dist_pct", "basis", "cost_of_carry", "fut_chng_oi_pct", "underlying_daily_vol",
-    "futures_daily_vol", "applicable_daily_vol", "vix_chg_5d", "pcr_chg_5d", "basis_chg_5d", "max_pain_dist_chg_5d",
-    "vix_realized_spread",
-]
-VARIANTS = {"fold_features": FOLD_FEATURES, "fold_features_garch": [*FOLD_FEATURES, "garch_sigma", "garch_sigma_chg"]}
 LINE_INPUTS = ("close", "close_chg_5d")
+STUMP_BOUNDARIES = 12
+LINE_MODELS = ("last_label", "moved_label", "least_squares")
 
 QUERIES = {}
 
@@ -92,11 +90,12 @@ def _priority_ranges(spark, sf_dir):
 
 
 def _line_predictions(spark, sf_dir):
-    """Per fold the newest training label, and a least-squares line on one input, rounded to six places.
+    """Per fold the newest training label, that label moved by one input, and a least-squares line on the input,
+    rounded to six places. The first is constant in a fold, the second is not.
 
     Training sets are nested, so each fold's sums are running sums of what its newest rows add.
     """
-    ranged = _priority_ranges(spark, sf_dir)
+    ranged = tables.materialise(_priority_ranges(spark, sf_dir), "ranged")
     y = F.col(TARGET)
     inputs = F.inline(F.array(*[F.struct(F.lit(c).alias("feature_variant"), F.col(c).alias("x")) for c in LINE_INPUTS]))
     long = ranged.select("series_id", "trade_date", "first_train_fold", "last_fold", "test_fold", y.alias("y"), inputs)
@@ -115,6 +114,7 @@ def _line_predictions(spark, sf_dir):
                         ((F.col("sy") - slope * F.col("sx")) / F.col("n")).alias("intercept"))
     predicted = F.inline(F.array(
         F.struct(F.lit("last_label").alias("model_name"), F.col("newest").alias("raw")),
+        F.struct(F.lit("moved_label").alias("model_name"), (F.col("newest") + x / F.lit(10000.0)).alias("raw")),
         F.struct(F.lit("least_squares").alias("model_name"), (F.col("intercept") + F.col("slope") * x).alias("raw")),
     ))
     return (
@@ -139,7 +139,8 @@ def _summary(spark, sf_dir):
 
 
 def _challengers(spark, sf_dir):
-    return _summary(spark, sf_dir).withColumn("run_id", F.concat(F.lit("run-"), selection.experiment_key()))
+    summary = tables.materialise(_summary(spark, sf_dir), "summary")
+    return summary.withColumn("run_id", F.concat(F.lit("run-"), selection.experiment_key()))
 
 
 def _registry(summary):
@@ -156,12 +157,13 @@ def _registry(summary):
 
 
 def _fold_windows(spark, sf_dir):
-    frame = _priority_frame(spark, sf_dir)
-    return volatility.training_windows(volatility.log_returns(frame, "close"), _priority_folds(spark, sf_dir))
+    frame = tables.materialise(_priority_frame(spark, sf_dir), "frame")
+    built = tables.materialise(folds.build_folds(frame, _priority_boundaries(spark, sf_dir)), "folds")
+    return volatility.training_windows(volatility.log_returns(frame, "close"), built)
 
 
 def _snapshot_frame(spark, sf_dir):
-    return folds.model_frame(daily_features(_market(spark, sf_dir)), [TARGET, *FOLD_FEATURES])
+    return folds.model_frame(daily_features(_market(spark, sf_dir)), [TARGET, *BASE_FEATURES])
 
 
 # -- returns ----------------------------------------------------------------------------------------------------
@@ -407,16 +409,21 @@ def fold_summary(spark, sf_dir):
 
 @query
 def experiment_grid(spark, sf_dir):
-    grid = selection.experiment_grid(_priority_folds(spark, sf_dir), ("last_label", "least_squares"), LINE_INPUTS)
+    grid = selection.experiment_grid(_priority_folds(spark, sf_dir), LINE_MODELS, LINE_INPUTS)
     return grid.select(
         selection.experiment_key().alias("run_name"), *selection.EXPERIMENT, "series_id", "fold_id",
         F.date_format("test_start", "yyyy-MM-dd").alias("test_start"),
     )
 
 
+def _numbered(ranked):
+    """The rows with their place in the table: one task holds these few rows."""
+    return ranked.coalesce(1).withColumn("place", F.monotonically_increasing_id() + 1)
+
+
 @query
 def rank_experiments(spark, sf_dir):
-    return selection.report(_summary(spark, sf_dir))
+    return _numbered(selection.report(_summary(spark, sf_dir)))
 
 
 @query
@@ -424,7 +431,7 @@ def report_csv(spark, sf_dir):
     path = tables.new_working_path(spark, "report-csv")
     ranked = selection.report(_summary(spark, sf_dir))
     tables.write_csv(ranked, path)
-    return spark.read.schema(ranked.schema).option("header", True).csv(path)
+    return _numbered(spark.read.schema(ranked.schema).option("header", True).csv(path))
 
 
 @query
@@ -432,7 +439,7 @@ def report_json(spark, sf_dir):
     path = tables.new_working_path(spark, "report-json")
     ranked = selection.report(_summary(spark, sf_dir))
     tables.write_json(ranked, path)
-    return tables.read_json(spark, path, ranked.schema)
+    return _numbered(tables.read_json(spark, path, ranked.schema))
 
 
 @query
@@ -441,9 +448,14 @@ def run_log(spark, sf_dir):
     results = tables.materialise(_fold_results(spark, sf_dir), "fold-results")
     summary = selection.with_threshold_flag(metrics.summarize_folds(results))
     variants = {name: [name] for name in LINE_INPUTS}
-    cross_validation.log_runs(results, summary, _priority_folds(spark, sf_dir), variants, "cv", path)
+    folds_of = _priority_folds(spark, sf_dir)
+    for _ in range(2):  # the second time replaces the first
+        cross_validation.log_runs(
+            results, summary, folds_of, variants, "cv", path, (*LINE_MODELS, "never_fitted"), {"places": 6}
+        )
     return spark.read.schema(RUNS).parquet(f"{path}/runs").select(
-        "run_id", *selection.EXPERIMENT, F.concat_ws(",", "feature_cols").alias("feature_cols"), "status",
+        "run_id", *selection.EXPERIMENT, F.concat_ws(",", "feature_cols").alias("feature_cols"),
+        F.col("params")["places"].alias("places"), "target", "n_features", "n_folds_requested", "status",
         "meets_threshold", "n_folds", round_f(F.col("mean_rmse"), 6).alias("mean_rmse"),
     )
 
@@ -475,7 +487,7 @@ def registry_publish(spark, sf_dir):
     published = selection.publish(_registry(challengers), selection.pick_winner(challengers))
     return published.select(
         "name", "version", "stage", F.col("tags")["mean_ic_pearson"].cast("double").alias("tag_ic"),
-        F.col("tags")["source_run_id"].alias("source_run_id"),
+        F.col("tags")["positive_fold_pct"].cast("double").alias("tag_share"), F.col("tags")["source_run_id"].alias("source_run_id"),
     )
 
 
@@ -540,50 +552,71 @@ def garch_fit(spark, sf_dir):
     )
 
 
+@query
+def garch_fit_checks(spark, sf_dir):
+    """What must hold for the fit of every fold: its returns are all used and its parameters are stationary."""
+    fits = volatility.garch_fit(_fold_windows(spark, sf_dir))
+    stationary = (F.col("omega") > 0) & (F.col("alpha") >= 0) & (F.col("beta") >= 0) & (F.col("alpha") + F.col("beta") < 1)
+    return fits.select(
+        "series_id", "fold_id", F.size("sigma").cast("long").alias("n_returns"),
+        (stationary & (F.col("nu") > 2) & F.col("loglik").isNotNull()).alias("sound"),
+    )
+
+
 # -- models and scoring -----------------------------------------------------------------------------------------
 
-def _late_folds(spark, sf_dir, with_garch):
-    """Walk-forward over the daily features, starting after 72 months of history."""
+def _walk_forward(spark, sf_dir, with_garch):
+    """Every fold of the daily features under the default settings."""
     snapshot = tables.materialise(daily_features(_market(spark, sf_dir)), "snapshot")
     boundaries = folds.monthly_boundaries(proxies.instruments(spark, sf_dir), snapshot, NAMES.ticker)
-    return cross_validation.prepare(
-        snapshot, boundaries, (TARGET, *FOLD_FEATURES), FoldSettings(min_train_boundaries=72), with_garch
-    )
+    return cross_validation.prepare(snapshot, boundaries, (TARGET, *BASE_FEATURES), with_garch=with_garch)
 
 
-def _cv(spark, sf_dir, model_names, variants, overrides):
-    work = _late_folds(spark, sf_dir, any(name.endswith("garch") for name in variants))
-    predicted = cross_validation.predictions(work, model_names, variants, overrides=overrides)
-    if predicted is None:
-        predicted = spark.createDataFrame([], PREDICTIONS)
-    return metrics.fold_metrics(predicted)
+@query
+def cv_random_forest(spark, sf_dir):
+    """The forest with its published settings over all folds, with and without volatility."""
+    work = _walk_forward(spark, sf_dir, True)
+    predicted = cross_validation.predictions(work, ["random_forest"], FEATURE_VARIANTS)
+    return metrics.fold_metrics(spark.createDataFrame([], PREDICTIONS) if predicted is None else predicted)
+
+
+def _boosted(spark, sf_dir, name):
+    """One fit of a boosted family with its published settings on all history, and its score of every complete day."""
+    snapshot = tables.materialise(daily_features(_market(spark, sf_dir)), "snapshot")
+    frame = folds.model_frame(snapshot, [TARGET, *BASE_FEATURES])
+    model = models.refit(tables.materialise(frame.coalesce(1), "refit"), name, BASE_FEATURES)
+    return scoring.score(snapshot, model, name, "baseline_full", BASE_FEATURES)
 
 
 @query
-def cv_random_forest(spark, sf_dir):
-    return _cv(spark, sf_dir, ["random_forest"], VARIANTS, {"numTrees": 20})
+def refit_xgboost(spark, sf_dir):
+    return _boosted(spark, sf_dir, "xgboost")
 
 
 @query
-def cv_boosted(spark, sf_dir):
-    only_base = {"fold_features": FOLD_FEATURES}
-    return _cv(spark, sf_dir, ["xgboost", "lightgbm", "catboost"], only_base, {"maxIter": 3})
+def refit_lightgbm(spark, sf_dir):
+    return _boosted(spark, sf_dir, "lightgbm")
+
+
+@query
+def refit_catboost(spark, sf_dir):
+    return _boosted(spark, sf_dir, "catboost")
 
 
 def _fitted(spark, sf_dir):
     snapshot = tables.materialise(daily_features(_market(spark, sf_dir)), "snapshot")
     frame = promotion.training_frame(
-        folds.model_frame(snapshot, [TARGET, *FOLD_FEATURES]), "fold_features_garch"
+        folds.model_frame(snapshot, [TARGET, *BASE_FEATURES]), "baseline_full_garch"
     )
-    columns = VARIANTS["fold_features_garch"]
-    model = models.refit(tables.materialise(frame, "refit"), "random_forest", columns, {"numTrees": 20})
+    columns = FEATURE_VARIANTS["baseline_full_garch"]
+    model = models.refit(tables.materialise(frame.coalesce(1), "refit"), "random_forest", columns)
     return snapshot, model, columns, tables.materialise(promotion.serving_state(snapshot), "garch-state")
 
 
 @query
 def refit_and_score(spark, sf_dir):
     snapshot, model, columns, state = _fitted(spark, sf_dir)
-    return scoring.score(snapshot, model, "random_forest", "fold_features_garch", columns, state)
+    return scoring.score(snapshot, model, "random_forest", "baseline_full_garch", columns, state)
 
 
 @query
@@ -593,7 +626,7 @@ def stream_score(spark, sf_dir):
     tables.write_snapshot(snapshot, inbox)
     rows = read_stream(spark, inbox, SNAPSHOT)
     running = score_stream(
-        rows, model, "random_forest", "fold_features_garch", columns, f"{base}/scored", f"{base}/rejected",
+        rows, model, "random_forest", "baseline_full_garch", columns, f"{base}/scored", f"{base}/rejected",
         f"{base}/checkpoint", state,
     )
     for stream in running:
@@ -603,10 +636,81 @@ def stream_score(spark, sf_dir):
 
 @query
 def missing_features(spark, sf_dir):
-    checked = scoring.with_missing(daily_features(_market(spark, sf_dir)), BASE_FEATURES)
+    """Daily rows as requests: complete on the first of a month, not a number in one feature on the 13th."""
+    day = F.dayofmonth("trade_date")
+    requests = daily_features(_market(spark, sf_dir))
+    filled = requests.withColumns({
+        c: F.when(day == 1, F.coalesce(F.col(c).cast("double"), F.lit(0.1))).otherwise(F.col(c)) for c in BASE_FEATURES
+    }).withColumn("basis", F.when(day == 13, float("nan")).otherwise(F.col("basis")))
+    checked = scoring.with_missing(filled, BASE_FEATURES)
     return checked.select("series_id", "trade_date", F.concat_ws(",", "missing").alias("missing"))
 
 
 @query
 def sample_row(spark, sf_dir):
-    return scoring.sample_complete_row(daily_features(_market(spark, sf_dir)), FOLD_FEATURES, seed=7)
+    return scoring.sample_complete_row(daily_features(_market(spark, sf_dir)), BASE_FEATURES, seed=7)
+
+
+# -- fits that have a closed form: one split of one feature with few values ---------------------------------------
+
+STUMP = {
+    "random_forest": {"numTrees": 1, "maxDepth": 1, "minInstancesPerNode": 1, "bootstrap": False},
+    "xgboost": {"maxIter": 1, "maxDepth": 1, "subsamplingRate": 1.0, "featureSubsetStrategy": "all"},
+    "lightgbm": {"maxIter": 1, "maxDepth": 1, "minInstancesPerNode": 1, "featureSubsetStrategy": "all"},
+    "catboost": {"maxIter": 1, "maxDepth": 1, "subsamplingRate": 1.0},
+}
+
+
+def _stump_frame(spark, sf_dir):
+    """The priority frame with a feature of twelve values, and the columns that runs expect."""
+    return _priority_frame(spark, sf_dir).withColumn("month", F.month("trade_date").cast("double"))
+
+
+@query
+def stump_cv(spark, sf_dir):
+    """Every family as one split, over the first folds of all series: the fits' predictions."""
+    frame = _stump_frame(spark, sf_dir)
+    built = tables.materialise(folds.build_folds(frame, _priority_boundaries(spark, sf_dir)), "folds")
+    ranged = tables.materialise(folds.with_fold_ranges(frame, built), "ranged", ["trade_date"])
+    starts = cross_validation.WalkForward(ranged, built, None).boundaries()[:STUMP_BOUNDARIES]
+    found = [
+        models.run_experiments(ranged, starts, [(name, "month", ["month"])], overrides=settings)
+        for name, settings in STUMP.items()
+    ]
+    predicted = reduce(DataFrame.unionByName, [f for f in found if f is not None], spark.createDataFrame([], PREDICTIONS))
+    return predicted.select(*metrics.FOLD_KEYS, "trade_date", round_f(F.col("prediction"), 6).alias("prediction"))
+
+
+def _stump_saved(spark, sf_dir):
+    """One split fitted on all history, saved and loaded again, and the requests."""
+    frame = tables.materialise(_stump_frame(spark, sf_dir), "refit")
+    path = tables.new_working_path(spark, "artifact")
+    models.refit(frame, "random_forest", ["month"], STUMP["random_forest"]).write().save(path)
+    requests = _priority_features(spark, sf_dir).select(
+        "series_id", "trade_date", F.when(F.dayofmonth("trade_date") != 13, F.month("trade_date").cast("double")).alias("month")
+    )
+    return PipelineModel.load(path), requests
+
+
+def _scores(scored):
+    return scored.select("series_id", "trade_date", round_f(F.col("prediction"), 6).alias("prediction"))
+
+
+@query
+def stump_refit_score(spark, sf_dir):
+    model, requests = _stump_saved(spark, sf_dir)
+    return _scores(scoring.score(requests, model, "random_forest", "month", ["month"]))
+
+
+@query
+def stump_stream(spark, sf_dir):
+    model, requests = _stump_saved(spark, sf_dir)
+    inbox, base = (tables.new_working_path(spark, label) for label in ("inbox", "stream"))
+    requests.write.parquet(inbox)
+    rows = read_stream(spark, inbox, requests.schema)
+    running = score_stream(
+        rows, model, "random_forest", "month", ["month"], f"{base}/scored", f"{base}/rejected", f"{base}/checkpoint"
+    )
+    for stream in running:
+        stream.awaitTermination()
+    return _scores(spark.read.parquet(f"{base}/scored"))

@@ -8,10 +8,12 @@ from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidewalk.config import BASE_FEATURES, FEATURE_VARIANTS, MODELS, TARGET, FoldSettings, GateSettings
 from tidewalk.operators import folds as fold_ops
 from tidewalk.operators import metrics, models, selection, volatility
+from tidewalk.schemas import RUNS
 from tidewalk.sources import tables
 
 
@@ -61,44 +63,62 @@ def prepare(
 def predictions(
     work: WalkForward, model_names: Sequence[str] = tuple(MODELS),
     variants: Mapping[str, Sequence[str]] = FEATURE_VARIANTS, boundaries: Sequence[date] | None = None,
-    overrides: dict | None = None, parallelism: int = 4,
+    overrides: dict | None = None, parallelism: int = 4, folder: str | None = None,
 ) -> DataFrame | None:
+    """Test predictions of all experiments; give `folder` to resume a run that was cut off."""
     experiments = [(name, variant, columns) for name in model_names for variant, columns in variants.items()]
     return models.run_experiments(
-        work.ranged, work.boundaries() if boundaries is None else boundaries, experiments, work.garch, overrides, parallelism
+        work.ranged, work.boundaries() if boundaries is None else boundaries, experiments, work.garch, overrides,
+        parallelism, folder,
     )
 
 
 def evaluate(predicted: DataFrame, gate: GateSettings = GateSettings()) -> tuple[DataFrame, DataFrame]:
-    """(fold results, summaries with the threshold flag)."""
-    results = metrics.fold_metrics(predicted)
+    """(fold results, summaries with the threshold flag); the results are written once and then summarised."""
+    results = tables.materialise(metrics.fold_metrics(predicted), "fold-results")
     return results, selection.with_threshold_flag(metrics.summarize_folds(results), gate)
 
 
+def run_parameters(model_name: str, overrides: dict | None = None) -> dict[str, str]:
+    """Every setting of a model family's fits, as text."""
+    published = MODELS[model_name].params if model_name in MODELS else {}
+    return {key: str(value) for key, value in {**published, **(overrides or {})}.items()}
+
+
 def log_runs(
     results: DataFrame, summary: DataFrame, folds: DataFrame, variants: Mapping[str, Sequence[str]], run_group: str,
-    root: str,
+    root: str, model_names: Sequence[str] = tuple(MODELS), overrides: dict | None = None,
 ) -> DataFrame:
-    """Append one row per experiment to `runs` and its folds to `fold_results`; returns the rows of `runs`.
+    """Write one row per experiment to `runs` and its folds to `fold_results`; returns the rows of `runs`.
 
-    The fold results also go out as CSV, and the ranked report as CSV and JSON.
+    Every experiment of the grid has a row: `no_valid_folds` without any prediction, else `ok`, also when no fold has
+    an information coefficient. Writing a group again replaces that group and no other. The fold results also go out as
+    CSV, and the ranked report as CSV and JSON.
     """
-    run_id = F.concat_ws("__", F.lit(run_group), "model_name", "feature_variant").alias("run_id")
-    columns = F.create_map(*[
-        part for variant, names in variants.items() for part in (F.lit(variant), F.array(*[F.lit(n) for n in names]))
-    ])
-    runs = summary.select(
-        run_id, "model_name", "feature_variant", columns[F.col("feature_variant")].alias("feature_cols"),
-        F.when(F.col("n_folds") > 0, "ok").otherwise("no_valid_folds").alias("status"), "meets_threshold", "n_folds",
-        "mean_ic_pearson", "mean_ic_spearman", "ic_t_stat", "positive_fold_pct", "mean_rmse", "mean_dir_acc",
+    spark = summary.sparkSession
+    requested = folds.select("train_end").distinct().count()
+    grid = spark.createDataFrame([
+        (f"{run_group}__{name}__{variant}", name, variant, list(columns), run_parameters(name, overrides), TARGET,
+         len(columns), requested)
+        for name in model_names for variant, columns in variants.items()
+    ], StructType(RUNS.fields[:8]))
+    measured = summary.withColumn("status", F.lit("ok"))
+    runs = tables.materialise(
+        grid.join(measured, ["model_name", "feature_variant"], "left").select(
+            *RUNS.fieldNames()[:8], F.coalesce("status", F.lit("no_valid_folds")).alias("status"),
+            F.coalesce("meets_threshold", F.lit(False)).alias("meets_threshold"),
+            F.coalesce("n_folds", F.lit(0)).cast("long").alias("n_folds"), *RUNS.fieldNames()[11:],
+        ),
+        "runs",
     )
+    run_id = F.concat_ws("__", F.lit(run_group), "model_name", "feature_variant").alias("run_id")
     starts = folds.select("series_id", "fold_id", F.date_format("test_start", "yyyy-MM-dd").alias("test_start"))
     fold_rows = results.join(starts, ["series_id", "fold_id"]).select(
         run_id, "model_name", "feature_variant", "series_id", F.col("fold_id").alias("fold"), "test_start",
         *metrics.METRICS, "n_test",
     )
-    tables.append(runs, f"{root}/runs")
-    tables.append(fold_rows, f"{root}/fold_results")
+    runs.write.mode("overwrite").parquet(f"{root}/runs/run_group={run_group}")
+    fold_rows.write.mode("overwrite").parquet(f"{root}/fold_results/run_group={run_group}")
     tables.write_csv(fold_rows, f"{root}/csv/fold_results")
     tables.write_csv(selection.report(summary), f"{root}/csv/cv_metrics")
     tables.write_json(selection.report(summary), f"{root}/json/cv_metrics")

@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 
 from tidewalk.config import BASE_FEATURES, KNOWN_GAPS, REGISTERED_MODEL_NAME
-from tidewalk.plans.catalog import FOLD_FEATURES, GARCH, LINE_INPUTS, MANY, SHORT_FOLDS, TEST_GAPS
+from tidewalk.plans.catalog import GARCH, LINE_INPUTS, MANY, SHORT_FOLDS, STUMP_BOUNDARIES, TEST_GAPS
 from tidewalk.plans.daily_features import DELTAS, PIVOT_COLUMNS
 from tidewalk.schemas import SNAPSHOT
 
@@ -47,7 +47,16 @@ def _market(n: int, tag: str) -> None:
                    || CASE l_returnflag WHEN 'N' THEN '_NA' WHEN 'A' THEN '_CE' ELSE '_PE' END AS kind,
                l_partkey % 2 = 0 AS is_long,
                CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS contracts
-        FROM lineitem JOIN ord_{tag} o ON o_orderkey = l_orderkey GROUP BY ALL"""
+        FROM lineitem JOIN ord_{tag} o ON o_orderkey = l_orderkey GROUP BY ALL
+        UNION ALL
+        SELECT series_id, trade_date, who, metric, kind, is_long, (base + 37 * cell) % 1000 + 1
+        FROM (SELECT series_id, trade_date, CAST(sum(o_orderkey % 1000) AS BIGINT) AS base FROM ord_{tag}
+              WHERE day(trade_date) NOT IN (5, 6) GROUP BY ALL),
+             (SELECT w.i + 4 * h.i + 8 * k.i + 32 * l.i AS cell, who, metric, kind, is_long
+              FROM (VALUES (0, 'FII'), (1, 'Client'), (2, 'DII'), (3, 'Pro')) w(i, who),
+                   (VALUES (0, 'OI'), (1, 'VOL')) h(i, metric),
+                   (VALUES (0, 'INDEX_NA'), (1, 'STOCK_NA'), (2, 'INDEX_CE'), (3, 'INDEX_PE')) k(i, kind),
+                   (VALUES (0, true), (1, false)) l(i, is_long))"""
     buckets = {"idx_fut": "INDEX_NA", "stk_fut": "STOCK_NA", "idx_ce": "INDEX_CE", "idx_pe": "INDEX_PE"}
     sums = ",\n".join(
         f"CAST(coalesce(sum(contracts) FILTER (kind = '{kind}' AND is_long = {flag}), 0) AS BIGINT) AS {name}_{side}"
@@ -263,11 +272,12 @@ RELATIONS |= {
         FROM xy JOIN members USING (series_id, trade_date) WHERE role = 'train' GROUP BY ALL""",
     "predictions": """
         SELECT m.model_name, feature_variant, series_id, fold_id, trade_date,
-               round(CASE m.model_name WHEN 'last_label' THEN newest ELSE intercept + slope * x END, 6) AS prediction,
+               round(CASE m.model_name WHEN 'last_label' THEN newest WHEN 'moved_label' THEN newest + x / 10000.0::DOUBLE
+                   ELSE intercept + slope * x END, 6) AS prediction,
                y AS label
         FROM xy JOIN members USING (series_id, trade_date)
         JOIN lines USING (series_id, feature_variant, fold_id)
-        CROSS JOIN (VALUES ('last_label'), ('least_squares')) m(model_name)
+        CROSS JOIN (VALUES ('last_label'), ('moved_label'), ('least_squares')) m(model_name)
         WHERE role = 'test'""",
     "firsts": f"""
         SELECT *, first_value(prediction) OVER w AS p0, first_value(label) OVER w AS y0 FROM predictions
@@ -355,7 +365,7 @@ RELATIONS |= {
         FROM forecast0""",
     "dframe": f"""
         SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY trade_date) - 1 AS pos FROM daily_1
-        WHERE {' AND '.join(f'{c} IS NOT NULL' for c in ['fwd_ret_20d', *FOLD_FEATURES])}""",
+        WHERE {' AND '.join(f'{c} IS NOT NULL' for c in ['fwd_ret_20d', *BASE_FEATURES])}""",
     "sframe": f"""
         SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY trade_date) - 1 AS pos
         FROM ({_returns('segment', horizons=(5,))}) WHERE fwd_ret_5d IS NOT NULL""",
@@ -384,9 +394,36 @@ def _sql(final: str) -> str:
 _DAILY = f"SELECT {', '.join(SNAPSHOT.fieldNames())}"
 _GARCH8 = "round(sigma, 8) AS garch_sigma, round(chg, 8) AS garch_sigma_chg"
 _REPORT = """SELECT model_name AS model, feature_variant, mean_ic_pearson, positive_fold_pct, ic_t_stat, n_folds,
-    meets_threshold FROM summary"""
+    meets_threshold,
+    row_number() OVER (ORDER BY mean_ic_pearson DESC NULLS LAST, model_name, feature_variant) AS place FROM summary"""
 _gap_columns = ["fii_fut_net_pct", "client_fut_net_pct", "fii_pe_net_pct", "adv_decl_ratio", "pcr"]
-_missing = ", ".join(f"CASE WHEN {c} IS NULL THEN '{c}' END" for c in BASE_FEATURES)
+_missing = ", ".join(
+    f"CASE WHEN ({c} IS NULL AND day(trade_date) <> 1) {'OR day(trade_date) = 13' if c == 'basis' else ''} THEN '{c}' END"
+    for c in BASE_FEATURES
+)
+_complete = " AND ".join(f"{c} IS NOT NULL" for c in BASE_FEATURES)
+
+
+def _stump(rows: str, keys: str) -> str:
+    """The best single split on x for the y of some rows: the threshold and the two means, by keys."""
+    by, using = (f"PARTITION BY {keys}", f"GROUP BY {keys}") if keys else ("", "")
+    columns = f"{keys}, " if keys else ""
+    return f"""
+        SELECT {columns}arg_max(x, score) AS cut, arg_max(sl / nl, score) AS low, arg_max((s - sl) / (n - nl), score) AS high
+        FROM (SELECT *, sl * sl / nl + (s - sl) * (s - sl) / (n - nl) AS score FROM (
+            SELECT {columns}x, sum(c) OVER ({by} ORDER BY x) AS nl, sum(t) OVER ({by} ORDER BY x) AS sl,
+                   sum(c) OVER ({by}) AS n, sum(t) OVER ({by}) AS s
+            FROM (SELECT {columns}x, count(*) AS c, sum(y) AS t FROM ({rows}) GROUP BY ALL))
+        WHERE nl < n) {using}"""
+
+
+_stump_rows = f"""
+    SELECT train_end, month(trade_date) AS x, fwd_ret_20d AS y
+    FROM pfolds JOIN members USING (series_id, fold_id) JOIN pframe USING (series_id, trade_date)
+    WHERE role = 'train' AND train_end IN (SELECT DISTINCT train_end FROM pfolds ORDER BY 1 LIMIT {STUMP_BOUNDARIES})"""
+_stump_scores = f"""
+    SELECT series_id, trade_date, round(CASE WHEN month(trade_date) <= cut THEN low ELSE high END, 6) AS prediction
+    FROM pfeat, ({_stump('SELECT month(trade_date) AS x, fwd_ret_20d AS y FROM pframe', '')}) WHERE day(trade_date) <> 13"""
 
 FINAL = {
     "forward_returns": _returns("(SELECT series_id, trade_date, close FROM levels_1)"),
@@ -461,16 +498,20 @@ FINAL = {
     "experiment_grid": f"""
         SELECT model_name || '__' || feature_variant AS run_name, model_name, feature_variant, series_id, fold_id,
                strftime(test_start, '%Y-%m-%d') AS test_start
-        FROM pfolds, (VALUES ('last_label'), ('least_squares')) m(model_name),
+        FROM pfolds, (VALUES ('last_label'), ('moved_label'), ('least_squares')) m(model_name),
              (VALUES {', '.join(f"('{c}')" for c in LINE_INPUTS)}) v(feature_variant)""",
     "rank_experiments": _REPORT,
     "report_csv": _REPORT,
     "report_json": _REPORT,
-    "run_log": """
+    "run_log": f"""
         SELECT 'cv__' || model_name || '__' || feature_variant AS run_id, model_name, feature_variant,
-               feature_variant AS feature_cols, CASE WHEN n_folds > 0 THEN 'ok' ELSE 'no_valid_folds' END AS status,
-               meets_threshold, n_folds, mean_rmse
-        FROM summary""",
+               feature_variant AS feature_cols, '6' AS places, 'fwd_ret_20d' AS target, 1::INTEGER AS n_features,
+               (SELECT count(DISTINCT train_end) FROM pfolds) AS n_folds_requested,
+               CASE WHEN s.model_name IS NULL THEN 'no_valid_folds' ELSE 'ok' END AS status,
+               coalesce(meets_threshold, false) AS meets_threshold, coalesce(n_folds, 0) AS n_folds, mean_rmse
+        FROM (SELECT * FROM (VALUES ('last_label'), ('moved_label'), ('least_squares'), ('never_fitted')) m(model_name),
+             (VALUES {', '.join(f"('{c}')" for c in LINE_INPUTS)}) v(feature_variant)) g
+        LEFT JOIN summary s USING (model_name, feature_variant)""",
     "winner": """
         SELECT model_name, feature_variant, mean_ic_pearson, positive_fold_pct, meets_threshold, n_folds FROM best""",
     "production_lookup": """
@@ -485,11 +526,11 @@ FINAL = {
             FROM summary LEFT JOIN production ON true)""",
     "registry_publish": f"""
         SELECT name, version, CASE WHEN stage = 'Production' THEN 'Archived' ELSE stage END AS stage, tag_ic,
-               NULL::VARCHAR AS source_run_id
+               NULL::DOUBLE AS tag_share, NULL::VARCHAR AS source_run_id
         FROM registry
         UNION ALL
         SELECT '{REGISTERED_MODEL_NAME}', CAST((SELECT max(version) + 1 FROM registry) AS INTEGER), 'Production',
-               mean_ic_pearson, run_id
+               mean_ic_pearson, positive_fold_pct, run_id
         FROM best""",
     "log_returns": "SELECT series_id, trade_date, round(log_ret, 10) AS log_ret FROM rets",
     "garch_path_fixed": f"SELECT series_id, trade_date, {_GARCH8} FROM path",
@@ -506,6 +547,20 @@ FINAL = {
         LEFT JOIN (SELECT * FROM path QUALIFY row_number() OVER (PARTITION BY series_id ORDER BY pos DESC) = 1)
         USING (series_id)""",
     "missing_features": f"SELECT series_id, trade_date, concat_ws(',', {_missing}) AS missing FROM daily_1",
+    "sample_row": f"""{_DAILY} FROM daily_1 WHERE {_complete}
+        ORDER BY md5(series_id || '|' || CAST(trade_date AS VARCHAR) || '|7'), series_id, trade_date LIMIT 1""",
+    "garch_fit_checks": """
+        SELECT series_id, fold_id, count(*) AS n_returns, true AS sound FROM pfolds JOIN rets USING (series_id)
+        WHERE trade_date <= embargo_date AND log_ret IS NOT NULL GROUP BY ALL""",
+    "stump_cv": f"""
+        SELECT n.model_name, 'month' AS feature_variant, series_id, fold_id, trade_date,
+               round(CASE WHEN month(trade_date) <= cut THEN low ELSE high END, 6) AS prediction
+        FROM ({_stump(_stump_rows, 'train_end')}) JOIN pfolds USING (train_end)
+        JOIN members USING (series_id, fold_id),
+             (VALUES ('random_forest'), ('xgboost'), ('lightgbm'), ('catboost')) n(model_name)
+        WHERE role = 'test'""",
+    "stump_refit_score": _stump_scores,
+    "stump_stream": _stump_scores,
 }
 
 ORACLES = {name: _sql(final) for name, final in FINAL.items()}

@@ -45,6 +45,8 @@ def promote(
 ) -> list[str]:
     """Refit and publish the challenger if it passes; returns the reasons it did not, and then writes nothing."""
     verdict = selection.promotion_gate(challenger, selection.current_production(registry), gate).first()
+    if verdict is None:
+        return ["no challenger"]
     if not verdict.passed:
         return list(verdict.reasons)
     columns = list(verdict.feature_cols)

@@ -11,6 +11,7 @@ _KINDS = {
     "int": T.IntegerType(),
     "string": T.StringType(),
     "boolean": T.BooleanType(),
+    "timestamp": T.TimestampType(),
     "doubles": T.ArrayType(T.DoubleType()),
     "strings": T.ArrayType(T.StringType()),
     "tags": T.MapType(T.StringType(), T.StringType()),
@@ -82,13 +83,16 @@ PREDICTIONS = _schema(
     model_name="string", feature_variant="string", series_id="string", fold_id="int", trade_date="date",
     prediction="double", label="double",
 )
+FIT_OUTCOMES = _schema(
+    model_name="string", feature_variant="string", boundary="date", status="string", finished="timestamp",
+)
 FOLD_RESULTS = _schema(
     run_id="string", model_name="string", feature_variant="string", series_id="string", fold="int",
     test_start="string", ic_pearson="double", ic_spearman="double", rmse="double", dir_acc="double", n_test="long",
 )
 RUNS = _schema(
-    run_id="string", model_name="string", feature_variant="string", feature_cols="strings", status="string",
-    meets_threshold="boolean", n_folds="long", mean_ic_pearson="double", mean_ic_spearman="double",
+    run_id="string", model_name="string", feature_variant="string", feature_cols="strings", params="tags",
+    target="string", n_features="int", n_folds_requested="long", status="string", meets_threshold="boolean", n_folds="long", mean_ic_pearson="double", mean_ic_spearman="double",
     ic_t_stat="double", positive_fold_pct="double", mean_rmse="double", mean_dir_acc="double",
 )
 CHALLENGER = _schema(

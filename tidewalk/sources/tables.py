@@ -29,17 +29,18 @@ def read_market_tables(spark: SparkSession, root: str, series_id: str | None = N
 
 def read_market_tables_jdbc(
     spark: SparkSession, url: str, first_day: str, last_day: str, partitions: int, schema: str = "nse",
-    properties: dict | None = None,
+    properties: dict | None = None, fetch_rows: int = 10_000,
 ) -> dict[str, DataFrame]:
-    """The same tables from a database, read in parallel date slices (the bounds slice, they do not filter)."""
+    """The same tables from a database, read in parallel date slices (the bounds slice, they do not filter) with the
+    declared types. Instruments are sliced by expiry; rows with a null day are in the first slice."""
     tables = {}
     for name, declared in schemas.SOURCE_TABLES.items():
-        options = {"url": url, "dbtable": f"{schema}.{name}", **(properties or {})}
-        if "trade_date" in declared.fieldNames():
-            options |= {
-                "partitionColumn": "trade_date", "lowerBound": first_day, "upperBound": last_day,
-                "numPartitions": str(partitions),
-            }
+        typed = ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in declared)
+        options = {
+            "url": url, "dbtable": f"{schema}.{name}", "customSchema": typed, "fetchsize": str(fetch_rows),
+            "partitionColumn": "trade_date" if "trade_date" in declared.fieldNames() else "expiry",
+            "lowerBound": first_day, "upperBound": last_day, "numPartitions": str(partitions), **(properties or {}),
+        }
         tables[name] = spark.read.format("jdbc").options(**options).load()
     return tables
 
