@@ -39,7 +39,7 @@ def test_every_stage_decides_as_the_plain_rules_do(spark, folder):
     expected = []
     for r in docs.collect():
         names, scores = model.predict([r["text"]])
-        if names[0] != "und" and scores[0] >= 0.5:
+        if names[0] != "und" and scores[0] >= corpus_pipeline.LEAST_SHARE:
             expected.append(tuple(r))
     assert Counter(map(tuple, known.collect())) == Counter(expected)
     assert not {300, 301} & {r["doc_id"] for r in known.collect()}

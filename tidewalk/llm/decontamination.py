@@ -157,9 +157,9 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def decontaminate(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that hold no item."""
-    keys = matches(documents, benchmark).select(F.col("key").alias("_key"), F.col("doc_id").alias("_doc")).distinct()
+    keys = matches(documents, benchmark).select(F.col("key").alias("__key"), F.col("doc_id").alias("__doc")).distinct()
     found = materialise(keys, "contaminated")
     removed = F.broadcast(found) if found.count() <= REMOVED_ROWS else found
-    keyed = documents.withColumn("_own", key_of(documents))
-    same = (F.col("_own") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_doc"))
-    return keyed.join(removed, same, "left_anti").drop("_own")
+    keyed = documents.withColumn("__own", key_of(documents))
+    same = (F.col("__own") == F.col("__key")) & F.col("doc_id").eqNullSafe(F.col("__doc"))
+    return keyed.join(removed, same, "left_anti").drop("__own")

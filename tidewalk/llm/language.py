@@ -147,20 +147,20 @@ def held_out(documents: DataFrame) -> DataFrame:
     return documents.withColumn("held_out", F.coalesce(rest == 2, F.lit(False)))
 
 
-def identify(documents: DataFrame, model: Model) -> DataFrame:
-    """The documents with lang_pred and score: the language with the largest share in the text, and its share.
+def identify(documents: DataFrame, model: Model, language: str = "lang_pred", share: str = "score") -> DataFrame:
+    """The documents with the language that has the largest share in the text, and its share, in these two columns.
 
-    `und`, with score 0, for a null text, for one without a letter and when nothing was learned. All columns of
-    `documents` stay; its own columns named lang_pred or score are replaced.
+    `und`, with share 0, for a null text, for one without a letter and when nothing was learned. All columns of
+    `documents` stay, but any of the two names are replaced.
     """
-    names = [c for c in documents.columns if c not in ("lang_pred", "score")]
+    names = [c for c in documents.columns if c not in (language, share)]
 
     def predict(batches):
         for batch in slices(batches, TEXTS):
             lang, score = model.predict(batch.column("text").to_pylist())
             columns = {c: batch.column(c) for c in names}
-            columns |= {"lang_pred": pa.array(lang, pa.string()), "score": pa.array(score, pa.float64())}
+            columns |= {language: pa.array(lang, pa.string()), share: pa.array(score, pa.float64())}
             yield pa.RecordBatch.from_pydict(columns)
 
-    schema = documents.select(*names).schema.add("lang_pred", "string").add("score", "double")
+    schema = documents.select(*names).schema.add(language, "string").add(share, "double")
     return documents.select(*names).mapInArrow(predict, schema)

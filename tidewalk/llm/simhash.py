@@ -133,9 +133,9 @@ def deduplicate(documents: DataFrame, words_per_shingle: int = 3, max_bits: int
 
     Rows are numbered in a written copy, so rows that repeat an id, or have none, are told apart.
     """
-    numbered = materialise(documents.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    rows = materialise(fingerprints(numbered, words_per_shingle, "_row"), "fingerprints")
-    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")
+    numbered = materialise(documents.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    rows = materialise(fingerprints(numbered, words_per_shingle, "__row"), "fingerprints")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__row")
     least = rows.groupBy("fp").agg(F.min(order).alias("least"))
     kept = groups(rows, max_bits).join(least, "fp").groupBy("root").agg(F.min("least").alias("least"))
-    return numbered.join(kept.select(F.col("least._row").alias("_row")), "_row", "left_semi").drop("_row")
+    return numbered.join(kept.select(F.col("least.__row").alias("__row")), "__row", "left_semi").drop("__row")
