@@ -19,8 +19,9 @@ LEAST_SHARE = 0.4  # of its main language, in a document that stays: one with a
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose main language is known and has at least `LEAST_SHARE` of the text stay."""
     model = language.learn(language.held_out(docs).where("NOT held_out"))
-    found = language.identify(docs, model)
-    return found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SHARE)).select(docs.columns)
+    found = language.identify(docs, model, "__language", "__share")
+    known = (F.col("__language") != language.UNKNOWN) & (F.col("__share") >= LEAST_SHARE)
+    return found.where(known).select(docs.columns)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
