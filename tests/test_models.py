@@ -210,6 +210,7 @@ def test_promotion_writes_artifact_and_registry(spark, promoted):
     model, meta = promotion.load_artifact(spark, f"{root}/model-1")
     assert meta["uses_garch"] and meta["target"] == TARGET and meta["feature_cols"] == VARIANTS["plain_garch"]
     assert meta["train_rows"] == 980 - 2 and meta["walk_forward_n_folds"] == 3
+    assert meta["n_features"] == 4 and meta["params"]["numTrees"] == "5" and meta["params"]["maxDepth"] == "4"
     latest = spark.read.schema(schemas.REGISTRY).parquet(f"{root}/registry-1").collect()
     assert [(r.name, r.version, r.stage) for r in latest] == [(REGISTERED_MODEL_NAME, 1, "Production")]
     assert len(model.stages) == 2
@@ -224,6 +225,13 @@ def test_failed_gate_writes_nothing(spark, snapshot, promoted, tmp_path):
     assert reasons == ["mean_ic_pearson below floor"] and list(tmp_path.iterdir()) == []
 
 
+def test_no_challenger_is_a_reason(spark, snapshot, tmp_path):
+    none = spark.createDataFrame([], schemas.CHALLENGER)
+    registry = spark.createDataFrame([], schemas.REGISTRY)
+    assert promotion.promote(none, registry, snapshot, f"{tmp_path}/m", f"{tmp_path}/r") == ["no challenger"]
+    assert list(tmp_path.iterdir()) == []
+
+
 def test_missing_features_are_named_in_order(spark):
     df = spark.createDataFrame([(1, 1.0, None), (2, 1.0, 2.0)], "id int, b double, a double")
     valid, rejected = scoring.split_valid(df, ["b", "a"])

@@ -12,6 +12,7 @@ from tidewalk import schemas
 from tidewalk.config import BASE_FEATURES, GARCH_FEATURES, TARGET, GateSettings, variant_uses_garch
 from tidewalk.operators import folds as fold_ops
 from tidewalk.operators import models, selection, volatility
+from tidewalk.plans.cross_validation import run_parameters
 from tidewalk.sources import tables
 
 
@@ -60,7 +61,10 @@ def promote(
     metadata = challenger.select(
         "model_name", "feature_variant", "feature_cols", F.lit(TARGET).alias("target"),
         F.lit(variant_uses_garch(verdict.feature_variant)).alias("uses_garch"),
-        F.lit(frame.count()).alias("train_rows"),
+        F.lit(frame.count()).alias("train_rows"), F.lit(len(columns)).alias("n_features"),
+        F.create_map(*[
+            F.lit(part) for pair in run_parameters(verdict.model_name, overrides).items() for part in pair
+        ]).alias("params"),
         F.col("mean_ic_pearson").alias("walk_forward_mean_ic_pearson"),
         F.col("positive_fold_pct").alias("walk_forward_positive_fold_pct"),
         F.col("n_folds").alias("walk_forward_n_folds"),

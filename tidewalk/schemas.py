@@ -102,6 +102,6 @@ CHALLENGER = _schema(
 REGISTRY = _schema(name="string", version="int", stage="string", tags="tags")
 ARTIFACT = _schema(
     model_name="string", feature_variant="string", feature_cols="strings", target="string", uses_garch="boolean",
-    train_rows="long", walk_forward_mean_ic_pearson="double", walk_forward_positive_fold_pct="double",
+    train_rows="long", n_features="int", params="tags", walk_forward_mean_ic_pearson="double", walk_forward_positive_fold_pct="double",
     walk_forward_n_folds="long", source_run_id="string",
 )
