@@ -59,14 +59,9 @@ def test_another_order_of_rows_is_noticed(spark, tmp_path, monkeypatch):
     docs = spark.createDataFrame([(i, f"text {i}") for i in range(50)], "doc_id long, text string").repartition(3)
     docs.write.parquet(f"{tmp_path}/docs")
     first = spark.read.parquet(f"{tmp_path}/docs")
-    changed = [0]
-    plain = token_output._cut
-
-    def other(documents, *args, **kwargs):
-        changed[0] += 1
-        return plain(documents.where("doc_id <> 7") if changed[0] > 1 else documents, *args, **kwargs)
-
-    monkeypatch.setattr(token_output, "_cut", other)
+    plain = token_output._sequences
+    other = lambda documents, *args: plain(documents.where("doc_id <> 7"), *args)
+    monkeypatch.setattr(token_output, "_sequences", other)
     with pytest.raises(Exception, match="other documents"):
         token_output.write_training_order(first, f"{tmp_path}/out", PATH, 9)
 

@@ -13,21 +13,21 @@ file: a record is one line, whose last byte is a line feed and whose other bytes
 from __future__ import annotations
 
 import zlib
+from array import array
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
 
 from tidewalk.llm.common import slices
 from tidewalk.llm.tokens import encoder
 
 ROUNDS = 6
-PAD = 0  # fills the last record of a document; records carry their length
+END_ID = 0  # closes every document; zeros also fill its last record, which carries its length
+OTHER_ROWS = "a task saw other documents than when it counted; write the table first"
 RECORDS_AT_ONCE = 512
 MOST_TASKS = 100_000
 
@@ -72,50 +72,77 @@ class Layout:
         ])
 
 
-def _cut(documents: DataFrame, tokenizer: str, layout: Layout, ids: bool):
-    """Rows of the sequences of every document, counted from 0 in each task; without ids, one row per task."""
-    end_id = 0
+class _Seen:
+    """How many sequences a task has cut, and a checksum of its texts."""
+
+    def __init__(self):
+        self.count, self.crc = 0, 0
+
+    def add(self, text: str, pieces: int) -> None:
+        self.count += pieces
+        self.crc = zlib.crc32(text.encode("utf-8", "replace"), zlib.crc32(b"|", self.crc))
+
+
+def _texts(documents: DataFrame) -> DataFrame:
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
+def _counts(documents: DataFrame, tokenizer: str, layout: Layout) -> DataFrame:
+    """(task, n, crc): what each task will cut."""
+
+    def count(batches):
+        ids, seen = encoder(tokenizer).ids, _Seen()
+        for batch in slices(batches):
+            for text in batch.column("text").to_pylist():
+                seen.add(text or "", len(ids(text or "")) // layout.tokens + 1)
+        yield pa.RecordBatch.from_pydict(
+            {"task": [TaskContext.get().partitionId()], "n": [seen.count], "crc": [seen.crc]},
+            schema=pa.schema({"task": pa.int32(), "n": pa.int64(), "crc": pa.int64()}),
+        )
+
+    return _texts(documents).mapInArrow(count, "task int, n long, crc long")
+
+
+def _sequences(
+    documents: DataFrame, tokenizer: str, layout: Layout, first: dict[int, int], told: dict[int, tuple[int, int]],
+    total: int, key: int,
+) -> DataFrame:
+    """(shard, slot, doc_id, piece, n_tokens, ids) of every sequence, the ids compressed.
+
+    `first` has the index of each task's first sequence, `told` what it counted.
+    """
+    code = "I" if layout.wide else "H"
 
     def cut(batches):
-        encode = encoder(tokenizer).encode
-        end, task = np.array([end_id], "<u4").tobytes(), TaskContext.get().partitionId()
-        count, seen = 0, 0
+        import zstandard
+
+        ids, seen, press = encoder(tokenizer).ids, _Seen(), zstandard.ZstdCompressor(level=1).compress
+        task, step = TaskContext.get().partitionId(), layout.tokens * layout.record()["ids"].base.itemsize
         for batch in slices(batches):
-            rows, piece, length, index, data = [], [], [], [], []
-            for row, doc in enumerate(encode([t or "" for t in batch.column("text").to_pylist()])):
-                doc = np.frombuffer(doc + end, "<u4")
-                seen = zlib.crc32(doc.tobytes(), seen)
-                pieces = -(-len(doc) // layout.tokens)
-                if ids:
-                    for number in range(pieces):
-                        part = doc[number * layout.tokens: (number + 1) * layout.tokens]
-                        rows.append(row)
-                        piece.append(number)
-                        length.append(len(part))
-                        index.append(count + number)
-                        data.append(zlib.compress(part.astype("<u4" if layout.wide else "<u2").tobytes(), 1))
-                count += pieces
-            if ids:
-                yield pa.RecordBatch.from_pydict({
-                    "doc_id": batch.column("doc_id").take(pa.array(rows, pa.int64())), "piece": pa.array(piece, pa.int32()),
-                    "n_tokens": pa.array(length, pa.int32()), "task": pa.array([task] * len(rows), pa.int32()),
-                    "local": pa.array(index, pa.int64()), "ids": pa.array(data, pa.binary()),
-                    "seen": pa.array([None] * len(rows), pa.int64()),
-                })
-        if not ids:
-            yield pa.RecordBatch.from_pydict({"task": [task], "n": [count], "seen": [seen]}, schema=pa.schema(
-                {"task": pa.int32(), "n": pa.int64(), "seen": pa.int64()}))
-        elif count:
-            yield pa.RecordBatch.from_pydict({  # what the task has seen, to be held against the first pass
-                "doc_id": pa.nulls(1, pa.int64()), "piece": pa.array([-1], pa.int32()), "n_tokens": pa.array([0], pa.int32()),
-                "task": pa.array([task], pa.int32()), "local": pa.array([count], pa.int64()),
-                "ids": pa.array([b""], pa.binary()), "seen": pa.array([seen], pa.int64()),
+            rows, piece, length, data, start = [], [], [], [], seen.count
+            for row, text in enumerate(batch.column("text").to_pylist()):
+                found = ids(text or "")
+                found.append(END_ID)
+                whole = memoryview(array(code, found).tobytes())
+                pieces = -(-len(found) // layout.tokens)
+                seen.add(text or "", pieces)
+                rows += [row] * pieces
+                piece += range(pieces)
+                length += [layout.tokens] * (pieces - 1) + [len(found) - layout.tokens * (pieces - 1)]
+                data += [press(whole[at: at + step]) for at in range(0, len(whole), step)]
+            index = np.arange(start, seen.count) + first.get(task, 0)
+            if len(index) and index[-1] >= total:
+                raise RuntimeError(OTHER_ROWS)
+            slot = slots(index, total, key)
+            yield pa.RecordBatch.from_pydict({
+                "shard": pa.array(slot // layout.records, pa.int64()), "slot": pa.array(slot, pa.int64()),
+                "doc_id": batch.column("doc_id").take(pa.array(rows, pa.int64())), "piece": pa.array(piece, pa.int32()),
+                "n_tokens": pa.array(length, pa.int32()), "ids": pa.array(data, pa.binary()),
             })
+        if (seen.count, seen.crc) != told.get(task, (0, 0)):
+            raise RuntimeError(OTHER_ROWS)
 
-    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    schema = "doc_id long, piece int, n_tokens int, task int, local long, ids binary, seen long" if ids else (
-        "task int, n long, seen long")
-    return texts.mapInArrow(cut, schema)
+    return _texts(documents).mapInArrow(cut, "shard long, slot long, doc_id long, piece int, n_tokens int, ids binary")
 
 
 def write_training_order(documents: DataFrame, folder: str, tokenizer: str, key: int, layout: Layout | None = None) -> int:
@@ -123,54 +150,42 @@ def write_training_order(documents: DataFrame, folder: str, tokenizer: str, key:
 
     Documents are tokenized twice: once to count, so that the ids themselves are neither stored nor shuffled before
     their slot is known. The table must give the same rows in the same order both times, as a Parquet scan does; a task
-    that sees other rows the second time ends the job. A null text is empty; every document ends in id 0.
+    that sees other rows the second time ends the job. A null text is empty; every document ends in `END_ID`. An empty
+    table writes nothing.
     """
     layout = layout or Layout()
     if encoder(tokenizer).tokenizer.get_vocab_size() > (1 << (32 if layout.wide else 16)):
         raise ValueError("this vocabulary needs wide records")
-    counted = sorted(_cut(documents, tokenizer, layout, ids=False).collect())  # one row per task
-    offsets, seen, total = {}, {}, 0
-    for task, n, crc in counted:
-        offsets[task], seen[task], total = total, (n, crc), total + n
+    first, told, total = {}, {}, 0
+    for task, n, crc in sorted(_counts(documents, tokenizer, layout).collect()):  # one row per task
+        first[task], told[task], total = total, (n, crc), total + n
     if not total:
         return 0
-
-    @pandas_udf("long")
-    def slot_of(task: pd.Series, local: pd.Series, crc: pd.Series) -> pd.Series:
-        for t, n, c in zip(task[crc.notna()], local[crc.notna()], crc.dropna().astype("int64"), strict=True):
-            if seen.get(t) != (n, c):
-                raise RuntimeError(f"task {t} saw other documents than when it counted; write the table first")
-        index = task.map(offsets).to_numpy() + local.to_numpy()
-        marks = crc.notna().to_numpy()
-        out = np.full(len(index), -1, np.int64)
-        out[~marks] = slots(index[~marks], total, key)
-        return pd.Series(out)
-
     shards = -(-total // layout.records)
-    cut = _cut(documents, tokenizer, layout, ids=True).withColumn("slot", slot_of("task", "local", "seen"))
-    placed = cut.where("slot >= 0").select(
-        F.floor(F.col("slot") / layout.records).cast("int").alias("shard"), "slot", "doc_id", "piece", "n_tokens", "ids"
-    )
+    placed = _sequences(documents, tokenizer, layout, first, told, total, key)
     record = layout.record()
 
     def fill(batches):
+        import zstandard
+
+        unpress = zstandard.ZstdDecompressor().decompress
         for batch in slices(batches, RECORDS_AT_ONCE):
             out = np.zeros(batch.num_rows, record)
             out["slot"], out["piece"], out["n_tokens"] = (batch.column(c).to_numpy() for c in ("slot", "piece", "n_tokens"))
             out["has_id"] = batch.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
             out["doc_id"] = batch.column("doc_id").fill_null(0).to_numpy()
             for row, ids in enumerate(batch.column("ids").to_pylist()):
-                part = np.frombuffer(zlib.decompress(ids), record["ids"].base)
+                part = np.frombuffer(unpress(ids), record["ids"].base)
                 out["ids"][row, : len(part)] = part
             size = record.itemsize - 1  # the writer adds the line feed
             data = out.tobytes()
             yield pa.RecordBatch.from_pydict({
-                "shard": batch.column("shard"), "slot": batch.column("slot"),
+                "shard": batch.column("shard").cast(pa.int32()), "slot": batch.column("slot"),
                 "record": pa.array([data[i: i + size] for i in range(0, len(data), size + 1)], pa.binary()),
             })
 
     tasks = min(shards, MOST_TASKS)  # each writes a range of shards
-    dealt = placed.repartitionById(tasks, F.expr(f"cast(cast(shard AS long) * {tasks} div {shards} AS int)"))
+    dealt = placed.repartitionById(tasks, F.expr(f"cast(shard * {tasks} div {shards} AS int)"))
     ranged = dealt.mapInArrow(fill, "shard int, slot long, record binary")
     lines = ranged.sortWithinPartitions("shard", "slot").select("shard", F.col("record").cast("string").alias("value"))
     lines.write.partitionBy("shard").option("lineSep", "\n").text(folder)

@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 from array import array
+from functools import cached_property
 
 # The word pattern of byte-level tokenizers, and the bytes that stand for themselves in their vocabulary.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -44,14 +45,18 @@ def _merger(path: str):
 
 
 class Encoder:
-    """Unsigned 32-bit ids of texts, as bytes in the little-endian order of the machines that Spark runs on."""
+    """Ids of texts, as lists or as bytes in the byte order of the machine (little-endian where Spark runs)."""
 
     def __init__(self, path: str):
+        self.path = path
+        self.fast, self.special = _merger(path) or (None, [])
+
+    @cached_property
+    def tokenizer(self):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.fast, self.special = _merger(path) or (None, [])
+        return Tokenizer.from_file(self.path)
 
     def _alike(self, text: str) -> bool:
         if self.fast is None or any(s in text for s in self.special):
@@ -62,13 +67,17 @@ class Encoder:
             return False
         return True
 
+    def ids(self, text: str) -> list[int]:
+        if self._alike(text):
+            return self.fast.encode_ordinary(text)
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
     def plain(self, texts: list[str]) -> list[bytes]:
         return [array("I", self.tokenizer.encode(t, add_special_tokens=False).ids).tobytes() for t in texts]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        return [
-            array("I", self.fast.encode_ordinary(t)).tobytes() if self._alike(t) else self.plain([t])[0] for t in texts
-        ]
+        """Unsigned 32-bit ids."""
+        return [array("I", self.ids(t)).tobytes() for t in texts]
 
 
 def encoder(path: str) -> Encoder:
