@@ -54,6 +54,30 @@ def test_pages_without_article_lose_the_texts_that_all_pages_share():
     assert text_of(pages[0]) == "Welcome to us\nstory 0"
 
 
+def test_a_block_that_one_page_alone_has_is_kept():
+    plain = [page(f"<div>Welcome to us</div><div><p>story {i}</p></div>") for i in range(9)]
+    special = page("<div>Welcome to us</div><div><h2>once</h2><p>story 9</p><blockquote>said once</blockquote></div>")
+    for pages in ([special, *plain], [special, *plain[:2]], [special]):
+        assert text_of(pages[0], *pages[1:]).endswith("once\nstory 9\nsaid once")
+    assert text_of(special, *plain) == "once\nstory 9\nsaid once"  # the shared text still goes
+
+
+def test_copies_of_a_page_count_once():
+    copy, other = (page(f"<div>Welcome to us</div><div><p>story {name}</p></div>") for name in ("a", "b"))
+    assert text_of(copy, *[copy] * 9) == "Welcome to us\nstory a"
+    assert text_of(copy, *[copy] * 9, other) == "Welcome to us\nstory a"
+    assert text_of(copy, *[copy.replace("<div>", f"<div data-n={i}>") for i in range(9)]) == "Welcome to us\nstory a"
+
+
+def test_hosts_of_copies_and_optional_blocks(spark):
+    copy = page("<div>Welcome</div><div><p>same</p></div>")
+    rows = [(i, "http://copies.example/x", copy) for i in range(6)]
+    rows += [(10 + i, "http://many.example/x", page(f"<div>Welcome</div><div><p>story {i}</p>{'<h2>once</h2>' * (i == 3)}</div>")) for i in range(8)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    got = {r["page_id"]: r["text"] for r in wrappers.extract(pages).collect()}
+    assert got == {i: "Welcome\nsame" for i in range(6)} | {10 + i: f"story {i}" + "\nonce" * (i == 3) for i in range(8)}
+
+
 @pytest.mark.parametrize("source", [
     "", "plain text", "<", "<p", "<article", "<article><p>x", "</p></article>", "<!-- open", "<script>never closed", "a < b > c",
     "<p class='x>y</p>", "<a b=\"c>d", "<p>" * 2000, "<p>x</p>" * 5000, "<div><div>" * 500 + "x", "<b>" + "x" * 300_000, "&#0;&#x110000;&bad;",

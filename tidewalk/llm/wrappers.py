@@ -4,11 +4,13 @@ A page is a stream of tags and texts. Adjacent copies of a group of tokens fold
 a host are aligned: what only one of them has becomes optional, a group that repeats in one is a repeated group in
 both, and texts meet in slots, which keep their text as long as it is the same on all pages. Aligning all streams of a
 host gives its wrapper. A slot's zone (article, page furniture, other) is what most pages say of it; a page's main text
-is its texts in article slots, or, if it has none, those in other slots that are not the same on every page.
+is its texts in article slots, or, if it has none, those in other slots that are not constants of the host. A constant
+is the same on all pages that have the slot, and these are at least `LEAST_PAGES` pages with different texts.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import json
 import re
@@ -22,7 +24,7 @@ from pyspark.sql import functions as F
 from tidewalk.llm.common import lower_ascii, materialise, slices
 
 LONGEST_GROUP = 12  # tokens in one copy of a repeated group; longer groups are found once shorter ones inside are folded
-LEAST_PAGES = 3  # a text is a constant of the host only after so many pages
+LEAST_PAGES = 3  # a text is a constant of the host only if so many different pages have it
 WRAPPERS_BROADCAST = 32 << 20  # bytes of all wrappers sent to every task; more are joined by a shuffle
 
 MAIN, FURNITURE, OTHER = 0, 1, 2
@@ -73,6 +75,11 @@ class Page:
                 self._tag(tag, bool(m[2] or m[5]), m[4] or m[7] or "")
         self._text(source[at:])
 
+    def mark(self) -> int:
+        """A number for the page's texts in order: equal pages, and such that differ in markup only, have the same."""
+        raws = "\0".join(raw for _, raw in self.texts.values())
+        return int.from_bytes(hashlib.blake2b(raws.encode("utf-8", "replace"), digest_size=8).digest())
+
     def _zone(self) -> int:
         zone = OTHER
         for _, opened, sticky in self._open:
@@ -223,7 +230,8 @@ def align(a: list[str], b: list[str]) -> list[tuple[int | None, int | None]]:
 
 class Wrapper:
     """A host's nodes, which of them are optional, how many pages they stand for, and their slots: the pages' votes
-    for the three zones, and the checksum of the text as long as that is constant."""
+    for the three zones, the checksum of the text as long as that is constant, and the smallest `LEAST_PAGES` marks of
+    the different pages that have it."""
 
     def __init__(self, nodes: list[Node], optional: list[bool], pages: int):
         self.nodes, self.optional, self.pages = nodes, optional, pages
@@ -231,11 +239,11 @@ class Wrapper:
     @classmethod
     def of(cls, page: Page) -> Wrapper:
         nodes, first = fold(page)
-        slots = {}
+        slots, mark = {}, page.mark()
         for i, (_, raw) in page.texts.items():
-            votes = slots.setdefault(first[i], [0, 0, 0, zlib.crc32(raw.encode("utf-8", "replace")) if first[i] == i else None])
+            votes = slots.setdefault(first[i], [0, 0, 0, _checksum(raw), [mark]] if first[i] == i else [0, 0, 0, None, []])
             if first[i] != i:
-                votes[3] = None
+                votes[3:] = None, []
             votes[page.zones[i]] = 1
         for n in nodes:
             n.slots = [slots[s] for s in n.slots]
@@ -269,10 +277,15 @@ class Wrapper:
         return cls([Node(a, b, tuple(c)) for a, b, c, _ in nodes], [bool(o) for *_, o in nodes], pages)
 
 
+def _checksum(raw: str) -> int:
+    return zlib.crc32(raw.encode("utf-8", "replace"))
+
+
 def _unite(a: Node, b: Node) -> None:
     for x, y in zip(a.slots, b.slots, strict=True):
         x[:3] = [p + q for p, q in zip(x[:3], y[:3], strict=True)]
-        x[3] = x[3] if x[3] == y[3] else None
+        same = x[3] is not None and x[3] == y[3]
+        x[3:] = (x[3], sorted({*x[4], *y[4]})[:LEAST_PAGES]) if same else (None, [])
 
 
 def _regrouped(w: Wrapper, groups) -> Wrapper:
@@ -292,7 +305,7 @@ def main_text(page: Page, wrapper: Wrapper | None) -> str:
         alias.update(zip(b.slots, a.slots, strict=True))
 
     zones: dict[int, int] = {}
-    constant: set[int] = set()
+    constant: dict[int, int] = {}  # the checksum of the host's constant in a slot
     if wrapper is not None:
         groups = sorted(_groups(wrapper.nodes) | _groups(nodes), key=lambda g: (len(g[0]), g))
         nodes = regroup(nodes, groups, join)
@@ -300,8 +313,8 @@ def main_text(page: Page, wrapper: Wrapper | None) -> str:
             if i is not None and j is not None:
                 for own, slot in zip(nodes[i].slots, wrapper.nodes[j].slots, strict=True):
                     zones[own] = max(range(3), key=lambda z: (slot[z], -z))
-                    if slot[3] is not None and wrapper.pages >= LEAST_PAGES:
-                        constant.add(own)
+                    if slot[3] is not None and len(slot[4]) >= LEAST_PAGES:
+                        constant[own] = slot[3]
 
     def slot_of(i: int) -> int:
         i = first[i]
@@ -313,7 +326,10 @@ def main_text(page: Page, wrapper: Wrapper | None) -> str:
     if MAIN in found.values():
         chosen = [i for i in page.texts if found[i] == MAIN]
     else:
-        chosen = [i for i in page.texts if found[i] == OTHER and slot_of(i) not in constant]
+        chosen = [
+            i for i, (_, raw) in page.texts.items()
+            if found[i] == OTHER and not (slot_of(i) in constant and constant[slot_of(i)] == _checksum(raw))
+        ]
     blocks: dict[int, str] = {}
     for i in chosen:
         block, raw = page.texts[i]
