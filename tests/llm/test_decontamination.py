@@ -79,3 +79,19 @@ def test_awkward_documents(spark):
     nothing = benchmark.where("item_id < 0")
     assert decontamination.contaminated(docs, nothing).collect() == []
     assert decontamination.decontaminate(docs, nothing).count() == len(cases.awkward())
+
+
+SENTENCES = "Tom has 5 apples. Sue has 3 pears. Ann has 9 plums. Tom gives Sue 2 apples. How many apples has Tom now?"
+
+
+def test_names_at_the_start_of_sentences(spark):
+    renamed = SENTENCES.replace("Tom", "Bob").replace("Sue", "Eva").replace("Ann", "Joe").replace("5", "8")
+    got = found(spark, [renamed, "he said: (" + renamed + ")", SENTENCES], [SENTENCES])
+    assert got == {(0, 0): False, (1, 0): False, (2, 0): True}
+
+
+def test_copies_in_other_case_or_after_other_words(spark):
+    short = "Marie went to Paris with seven friends"
+    texts = [NAMED.lower(), NAMED.upper(), "and then " + short + " of old", "And. " + short, short.lower(), "some " + SENTENCES.lower()]
+    got = found(spark, texts, [NAMED, short, SENTENCES])
+    assert got == {(0, 0): True, (1, 0): True, (2, 1): True, (3, 1): True, (4, 1): True, (5, 2): True}

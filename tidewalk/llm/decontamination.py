@@ -5,6 +5,10 @@ give place to typed placeholders, one word for one word, so a template's positio
 words are joined on their hash with those of the benchmark. A hit's slots must be consistent: over one alignment of an
 item with a document, equal values in the item stand for equal values in the document. That finds an item with other
 numbers or names as well as a literal copy.
+
+Whether a capitalised word is a name depends on the words before it, so every window is made in three forms: with the
+capitalised words inside a sentence as names, with all capitalised words as names (sentences that begin with one), and
+without names, in lower case (copies in other case). A window meets windows of its own form only.
 """
 
 from __future__ import annotations
@@ -25,6 +29,7 @@ REMOVED_ROWS = 1_000_000  # keys broadcast at most to remove documents; more are
 
 MARK = "\ue000"  # a private-use character
 NAME, NUMBER, UNIT = "<name>", "<number>", "<unit>"
+INSIDE, ALL, NONE = FORMS = range(3)  # which capitalised words are names
 # Units that may follow a number.
 UNITS = (
     "mm cm m km in inch inches ft foot feet yard yards mile miles mg g gram grams kg kilogram kilograms ton tons oz "
@@ -52,20 +57,42 @@ def template(worded: Column) -> Column:
     return F.regexp_replace(numbered, rf"(?<=<number> )(?:{'|'.join(UNITS)})(?= |$)", UNIT)
 
 
-def _hash(hashes: str, at: Column | int, length: int) -> Column:
+def plain(word: Column) -> Column:
+    return F.lower(F.replace(word, F.lit(MARK), F.lit("")))
+
+
+def in_forms(raw: Column | str, tmpl: Column | str, name, unit, other) -> list[Column]:
+    """The template words, or what stands for them, in all forms, from the words and those of the form `INSIDE`."""
+    capital = rf"^{MARK}?\p{{Lu}}\p{{Ll}}"
+    return [
+        F.col(tmpl) if isinstance(tmpl, str) else tmpl,
+        F.zip_with(raw, tmpl, lambda r, t: F.when(r.rlike(capital) & (t != unit), name).otherwise(t)),
+        F.zip_with(raw, tmpl, lambda r, t: F.when(t == name, other(plain(r))).otherwise(t)),
+    ]
+
+
+def _template_in(form: Column, raw: Column, tmpl: Column) -> Column:
+    forms = in_forms(raw, tmpl, F.lit(NAME), F.lit(UNIT), lambda w: w)
+    return F.when(form == INSIDE, forms[INSIDE]).when(form == ALL, forms[ALL]).otherwise(forms[NONE])
+
+
+def _hash(hashes: str, at: Column | int, length: int, form: Column) -> Column:
     """The hash of the window of `length` words at a position from 0, from the words' hashes."""
-    return F.xxhash64(*(F.get(hashes, at + k) for k in range(length)))
+    return F.xxhash64(form, *(F.get(hashes, at + k) for k in range(length)))
 
 
 def _split(frame: DataFrame, *keys: str) -> DataFrame:
-    """raw and tmpl, the words and the template words, and the latter's hashes."""
+    """raw and tmpl, the words and the template words, and the latter's hashes in all forms, one form after the other."""
     worded = frame.select(*keys, words(F.col("text").cast("string")).alias("worded"))
     split = worded.select(*keys, F.split("worded", " ").alias("raw"), F.split(template(F.col("worded")), " ").alias("tmpl"))
-    return split.withColumn("hashes", F.transform("tmpl", lambda w: F.xxhash64(w)))
+    inside = split.withColumn("inside", F.transform("tmpl", lambda w: F.xxhash64(w)))
+    forms = in_forms("raw", "inside", F.xxhash64(F.lit(NAME)), F.xxhash64(F.lit(UNIT)), F.xxhash64)
+    return inside.withColumn("hashes", F.concat(*forms)).drop("inside")
 
 
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """One row per window of every different item: item_id (the smallest of equal items), its windows, place, template.
+    """One row per window of every different item and form: item_id (the smallest of equal items), its windows in the
+    form, place, template.
 
     Items shorter than `LEAST_WORDS` and windows of fewer than `LEAST_LITERALS` plain words are left out; an item
     shorter than the window is one window. Null texts have no words.
@@ -74,17 +101,20 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
     items = _split(once.withColumn("item", F.sha2("text", 256)), "item", "item_id").where(F.size("tmpl") >= LEAST_WORDS)
     items = items.withColumn("length", F.least(F.size("tmpl"), F.lit(WINDOW)))
     placed = items.withColumn("item_at", F.explode(F.expr("sequence(1, size(tmpl) - length + 1)")))
+    placed = placed.withColumn("form", F.explode(F.array(*map(F.lit, FORMS))))
+    place = F.col("form") * F.size("tmpl") + F.col("item_at") - 1
     hashed = F.coalesce(*(
-        F.when(F.col("length") == n, _hash("hashes", F.col("item_at") - 1, n)) for n in range(LEAST_WORDS, WINDOW + 1)
+        F.when(F.col("length") == n, _hash("hashes", place, n, F.col("form"))) for n in range(LEAST_WORDS, WINDOW + 1)
     ))
+    tmpl, raw = F.expr("slice(tmpl, item_at, length)"), F.expr("slice(raw, item_at, length)")
     cut = placed.select(
-        "item", "item_id", "length", "item_at", F.expr("slice(tmpl, item_at, length)").alias("item_tmpl"),
-        F.expr("slice(raw, item_at, length)").alias("item_raw"), hashed.alias("h"),
+        "item", "item_id", "length", "form", "item_at", _template_in(F.col("form"), raw, tmpl).alias("item_tmpl"),
+        raw.alias("item_raw"), hashed.alias("h"),
     )
-    plain = F.size(F.filter("item_tmpl", lambda w: ~w.isin(NAME, NUMBER, UNIT)))
-    kept = cut.where(plain >= LEAST_LITERALS)
-    count = kept.groupBy("item").agg(F.count(F.lit(1)).alias("item_windows"))
-    return kept.join(count, "item").drop("item")
+    literals = F.size(F.filter("item_tmpl", lambda w: ~w.isin(NAME, NUMBER, UNIT)))
+    kept = cut.where(literals >= LEAST_LITERALS)
+    count = kept.groupBy("item", "form").agg(F.count(F.lit(1)).alias("item_windows"))
+    return kept.join(count, ["item", "form"]).drop("item")
 
 
 def key_of(documents: DataFrame) -> Column:
@@ -106,14 +136,16 @@ def matches(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     for length in lengths:
         # The windows are made, hashed and joined in one generated loop that copies no array of a document. The outer
         # form keeps Spark from testing the array's size below, where it would make all words a second time.
-        each = docs.select("*", F.posexplode_outer("hashes").alias("at", "word"))
-        each = each.where(F.col("at") + length <= F.size("hashes"))
-        at = each.withColumn("h", _hash("hashes", F.col("at"), length))
+        each = docs.select("*", F.posexplode_outer("hashes").alias("place", "word"))
+        each = each.withColumn("at", F.col("place") % F.size("raw")).where(F.col("at") + length <= F.size("raw"))
+        form = F.floor(F.col("place") / F.size("raw")).cast("int")
+        at = each.withColumn("h", _hash("hashes", F.col("place"), length, form))
         for block in range(blocks):
-            part = index.where((F.col("length") == length) & (F.pmod(F.xxhash64("item_id", "item_at"), F.lit(blocks)) == block))
+            chosen = F.pmod(F.xxhash64("item_id", "item_at", "form"), F.lit(blocks)) == block
+            part = index.where((F.col("length") == length) & chosen)
             hit = at.join(F.broadcast(part), "h")
             found.append(hit.select(
-                "doc_id", "key", "item_id", "item_windows", "item_at", "item_tmpl", "item_raw",
+                "doc_id", "key", "item_id", "item_windows", "form", "item_at", "item_tmpl", "item_raw",
                 (F.col("at") + 1 - F.col("item_at")).alias("shift"),
                 F.slice("tmpl", F.col("at") + 1, F.lit(length)).alias("doc_tmpl"),
                 F.slice("raw", F.col("at") + 1, F.lit(length)).alias("doc_raw"),
@@ -124,14 +156,16 @@ def matches(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
                 "windows int, literal boolean"
         )
     hits = reduce(DataFrame.unionByName, found)
-    # At most one window for every place of the item.
-    aligned = hits.groupBy("doc_id", "key", "item_id", "item_windows", "shift").agg(
+    hits = hits.withColumn("doc_tmpl", _template_in(F.col("form"), F.col("doc_raw"), F.col("doc_tmpl")))
+    # At most one window for every place of the item in every form.
+    aligned = hits.groupBy("doc_id", "key", "item_id", "item_windows", "form", "shift").agg(
         F.collect_set(F.struct("item_at", "item_tmpl", "item_raw", "doc_tmpl", "doc_raw")).alias("found")
     )
     aligned = aligned.withColumn("found", F.filter("found", lambda f: f["item_tmpl"] == f["doc_tmpl"]))
     slots = F.expr(
         "array_distinct(flatten(transform(found, f -> filter(zip_with(zip_with(f.item_tmpl, f.item_raw, "
-        "(t, i) -> struct(t, lower(i) AS item)), f.doc_raw, (s, d) -> struct(s.t AS t, s.item AS item, lower(d) AS doc)), "
+        f"(t, i) -> struct(t, lower(replace(i, '{MARK}', '')) AS item)), f.doc_raw, "
+        f"(s, d) -> struct(s.t AS t, s.item AS item, lower(replace(d, '{MARK}', '')) AS doc)), "
         f"s -> s.t IN ('{NAME}', '{NUMBER}', '{UNIT}')))))"
     )
     aligned = aligned.select("doc_id", "key", "item_id", "item_windows", F.size("found").alias("windows"), slots.alias("slots"))
@@ -139,8 +173,8 @@ def matches(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     enough = F.col("windows") >= F.least(F.lit(LEAST_WINDOWS), F.col("item_windows"))
     literal = ~F.exists("slots", lambda s: s["item"] != s["doc"])
     best = aligned.where(consistent & enough).withColumn("literal", literal)
-    return best.groupBy("doc_id", "key", "item_id", "item_windows").agg(
-        F.max("windows").alias("windows"), F.max("literal").alias("literal")
+    return best.groupBy("doc_id", "key", "item_id").agg(
+        F.max("windows").alias("windows"), F.max("item_windows").alias("item_windows"), F.max("literal").alias("literal")
     )
 
 
