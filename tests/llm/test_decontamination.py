@@ -95,3 +95,14 @@ def test_copies_in_other_case_or_after_other_words(spark):
     texts = [NAMED.lower(), NAMED.upper(), "and then " + short + " of old", "And. " + short, short.lower(), "some " + SENTENCES.lower()]
     got = found(spark, texts, [NAMED, short, SENTENCES])
     assert got == {(0, 0): True, (1, 0): True, (2, 1): True, (3, 1): True, (4, 1): True, (5, 2): True}
+
+
+def test_items_without_a_plain_window_are_found_as_a_whole(spark):
+    items = [
+        "Solve 3 x 4 + 5", "Ann Bob Eva Joe Tom Sue Max Kim Ray Lee Amy", "12 km 13 km 14 km 15 km 16 km 17 km", "too short",
+        "今天天气很好，我们去公园散步吧", "テキストを3回読む", "ทดสอบภาษาไทย", "###",
+    ]
+    texts = [f"so {item.lower()} it is" for item in items] + ["我说" + items[4] + "你呢", "彼は" + items[5] + "と言った"]
+    clean = ["solve 3 x 4 + 6", "今天天气很好我们去公园", "too long and short", "12 km 13 km 14 km", "", None]
+    got = found(spark, texts + clean, items)
+    assert got == {(i, i): True for i in range(7)} | {(8, 4): True, (9, 5): True}

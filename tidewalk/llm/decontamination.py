@@ -9,6 +9,9 @@ numbers or names as well as a literal copy.
 Whether a capitalised word is a name depends on the words before it, so every window is made in three forms: with the
 capitalised words inside a sentence as names, with all capitalised words as names (sentences that begin with one), and
 without names, in lower case (copies in other case). A window meets windows of its own form only.
+
+Items without a window that is long and plain enough (short ones, formulas, tables, lists of names, scripts without
+spaces) are found as a whole by their words in lower case, where a letter of a script without spaces is a word.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ from pyspark.sql import functions as F
 from tidewalk.llm.common import materialise
 
 WINDOW = 8  # template words
-LEAST_WORDS = 5  # shorter items are common phrases
+LEAST_WORDS = 5  # shorter items are common phrases, found as a whole only
 LEAST_LITERALS = 4  # words of a window that are no placeholders
 LEAST_WINDOWS = 3  # consecutive or not, in one alignment; all windows of shorter items
 INDEX_ROWS = 500_000  # benchmark windows broadcast at once, under 200 MB; a larger index is joined in such blocks
@@ -39,6 +42,8 @@ UNITS = (
 ).split()
 
 
+# Letters of scripts without spaces, and the marks that Japanese writes among them.
+UNSPACED = "".join(rf"\p{{Is{s}}}" for s in "Han Hiragana Katakana Thai Lao Khmer Myanmar".split()) + "ー々"
 LETTER = r"a-zA-Z0-9\p{L}\p{N}"  # the plain ranges first: they are tested faster
 
 
@@ -71,14 +76,26 @@ def in_forms(raw: Column | str, tmpl: Column | str, name, unit, other) -> list[C
     ]
 
 
+def exact_words(text: Column) -> Column:
+    """The text's words in lower case, as an array; letters of scripts without spaces stand alone."""
+    apart = F.regexp_replace(plain(words(text)), f"([{UNSPACED}])", " $1 ")
+    return F.split(F.trim(F.regexp_replace(apart, "  +", " ")), " ")
+
+
 def _template_in(form: Column, raw: Column, tmpl: Column) -> Column:
     forms = in_forms(raw, tmpl, F.lit(NAME), F.lit(UNIT), lambda w: w)
     return F.when(form == INSIDE, forms[INSIDE]).when(form == ALL, forms[ALL]).otherwise(forms[NONE])
 
 
-def _hash(hashes: str, at: Column | int, length: int, form: Column) -> Column:
+def _hash(hashes: str, at: Column | int, length: int, *form: Column) -> Column:
     """The hash of the window of `length` words at a position from 0, from the words' hashes."""
-    return F.xxhash64(form, *(F.get(hashes, at + k) for k in range(length)))
+    return F.xxhash64(*form, *(F.get(hashes, at + k) for k in range(length)))
+
+
+def _once(benchmark: DataFrame) -> DataFrame:
+    """text, item (its checksum) and item_id of every different item."""
+    once = benchmark.groupBy(F.col("text").cast("string").alias("text")).agg(F.min("item_id").alias("item_id"))
+    return once.withColumn("item", F.sha2("text", 256))
 
 
 def _split(frame: DataFrame, *keys: str) -> DataFrame:
@@ -94,11 +111,10 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
     """One row per window of every different item and form: item_id (the smallest of equal items), its windows in the
     form, place, template.
 
-    Items shorter than `LEAST_WORDS` and windows of fewer than `LEAST_LITERALS` plain words are left out; an item
-    shorter than the window is one window. Null texts have no words.
+    Items shorter than `LEAST_WORDS` and windows of fewer than `LEAST_LITERALS` plain words are left out (`left_out`
+    has items without a window); an item shorter than the window is one window. Null texts have no words.
     """
-    once = benchmark.groupBy(F.col("text").cast("string").alias("text")).agg(F.min("item_id").alias("item_id"))
-    items = _split(once.withColumn("item", F.sha2("text", 256)), "item", "item_id").where(F.size("tmpl") >= LEAST_WORDS)
+    items = _split(_once(benchmark), "item", "item_id").where(F.size("tmpl") >= LEAST_WORDS)
     items = items.withColumn("length", F.least(F.size("tmpl"), F.lit(WINDOW)))
     placed = items.withColumn("item_at", F.explode(F.expr("sequence(1, size(tmpl) - length + 1)")))
     placed = placed.withColumn("form", F.explode(F.array(*map(F.lit, FORMS))))
@@ -114,7 +130,43 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
     literals = F.size(F.filter("item_tmpl", lambda w: ~w.isin(NAME, NUMBER, UNIT)))
     kept = cut.where(literals >= LEAST_LITERALS)
     count = kept.groupBy("item", "form").agg(F.count(F.lit(1)).alias("item_windows"))
-    return kept.join(count, ["item", "form"]).drop("item")
+    return kept.join(count, ["item", "form"])
+
+
+def left_out(benchmark: DataFrame, index: DataFrame) -> DataFrame:
+    """item_id, item_words, length and hash of the first window of every different item that the index has no window of.
+
+    Items without any word (nothing but signs) are not there.
+    """
+    rest = _once(benchmark).join(index.select("item").distinct(), "item", "left_anti").where("text IS NOT NULL")
+    items = rest.select("item_id", exact_words(F.col("text")).alias("item_words")).where(F.get("item_words", F.lit(0)) != "")
+    items = items.withColumn("length", F.least(F.size("item_words"), F.lit(WINDOW)))
+    items = items.withColumn("hashes", F.transform("item_words", lambda w: F.xxhash64(w)))
+    hashed = F.coalesce(*(F.when(F.col("length") == n, _hash("hashes", F.lit(0), n)) for n in range(1, WINDOW + 1)))
+    return items.withColumn("h", hashed).drop("hashes")
+
+
+def exact_matches(documents: DataFrame, items: DataFrame) -> list[DataFrame]:
+    """The rows of `matches` for items that are found as a whole: one window of one, literal."""
+    lengths = [r["length"] for r in items.select("length").distinct().collect()]  # at most WINDOW different ones
+    n_words = items.agg(F.sum(F.size("item_words"))).first()[0] or 0
+    blocks = max(1, -(-n_words // (INDEX_ROWS * WINDOW)))
+    docs = documents.select("doc_id", key_of(documents).alias("key"), exact_words(F.col("text").cast("string")).alias("raw"))
+    docs = docs.withColumn("hashes", F.transform("raw", lambda w: F.xxhash64(w)))
+    found = []
+    for length in lengths:
+        each = docs.select("*", F.posexplode_outer("hashes").alias("at", "word"))
+        each = each.where(F.col("at") + length <= F.size("hashes"))
+        at = each.withColumn("h", _hash("hashes", F.col("at"), length))
+        for block in range(blocks):
+            chosen = F.pmod(F.xxhash64("item_id", "item_words"), F.lit(blocks)) == block
+            hit = at.join(F.broadcast(items.where((F.col("length") == length) & chosen)), "h")
+            whole = hit.where(F.slice("raw", F.col("at") + 1, F.size("item_words")) == F.col("item_words"))
+            found.append(whole.select(
+                "doc_id", "key", "item_id", F.lit(1).alias("windows"), F.lit(1).cast("long").alias("item_windows"),
+                F.lit(True).alias("literal"),
+            ))
+    return found
 
 
 def key_of(documents: DataFrame) -> Column:
@@ -128,6 +180,7 @@ def matches(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     alignment, `literal` tells that no slot differs there. Rows without words match nothing.
     """
     index = materialise(benchmark_windows(benchmark), "benchmark-windows")
+    whole = exact_matches(documents, materialise(left_out(benchmark, index), "benchmark-left-out"))
     rows = index.count()
     lengths = [r["length"] for r in index.select("length").distinct().collect()]  # at most WINDOW different ones
     docs = _split(documents.withColumn("key", key_of(documents)), "doc_id", "key")
@@ -150,12 +203,19 @@ def matches(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
                 F.slice("tmpl", F.col("at") + 1, F.lit(length)).alias("doc_tmpl"),
                 F.slice("raw", F.col("at") + 1, F.lit(length)).alias("doc_raw"),
             ))
-    if not found:
+    if not found and not whole:
         return documents.sparkSession.createDataFrame(
             [], f"doc_id {documents.schema['doc_id'].dataType.simpleString()}, key long, item_id long, item_windows long, "
                 "windows int, literal boolean"
         )
-    hits = reduce(DataFrame.unionByName, found)
+    every = whole if not found else [*whole, _consistent(reduce(DataFrame.unionByName, found))]
+    return reduce(DataFrame.unionByName, every).groupBy("doc_id", "key", "item_id").agg(
+        F.max("windows").alias("windows"), F.max("item_windows").alias("item_windows"), F.max("literal").alias("literal")
+    )
+
+
+def _consistent(hits: DataFrame) -> DataFrame:
+    """The rows of `matches`, one per alignment of enough windows with consistent slots."""
     hits = hits.withColumn("doc_tmpl", _template_in(F.col("form"), F.col("doc_raw"), F.col("doc_tmpl")))
     # At most one window for every place of the item in every form.
     aligned = hits.groupBy("doc_id", "key", "item_id", "item_windows", "form", "shift").agg(
@@ -173,9 +233,7 @@ def matches(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     enough = F.col("windows") >= F.least(F.lit(LEAST_WINDOWS), F.col("item_windows"))
     literal = ~F.exists("slots", lambda s: s["item"] != s["doc"])
     best = aligned.where(consistent & enough).withColumn("literal", literal)
-    return best.groupBy("doc_id", "key", "item_id").agg(
-        F.max("windows").alias("windows"), F.max("item_windows").alias("item_windows"), F.max("literal").alias("literal")
-    )
+    return best.select("doc_id", "key", "item_id", "windows", "item_windows", "literal")
 
 
 def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
