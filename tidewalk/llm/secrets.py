@@ -1,9 +1,9 @@
 """Secret scans: known forms, and windows of high entropy.
 
-A candidate is a run of characters that keys are written in. Its class (hexadecimal, letters and digits, or all of
+A candidate is a run of characters that keys are written in, without the known forms inside it. Its class (hexadecimal, letters and digits, or all of
 base64) sets a bound for the Shannon entropy of a sliding window. Moving the window by one character changes two
 counts, so a candidate costs one step per character. Candidates of the allow-list (words, numbers, addresses, dates,
-paths) and those that touch a known form give nothing.
+paths) give nothing.
 """
 
 from __future__ import annotations
@@ -82,6 +82,17 @@ def random_looking(candidate: str) -> bool:
     return any(e > bound for e in entropies(candidate))
 
 
+def outside(start: int, end: int, base: list[tuple[int, int]], at: int) -> Iterator[tuple[int, int]]:
+    """The runs of at least `WINDOW` characters from start to end that no span covers; the sorted spans from `at` on."""
+    while at < len(base) and base[at][0] < end:
+        if base[at][0] - start >= WINDOW:
+            yield start, base[at][0]
+        start = max(start, base[at][1])
+        at += 1
+    if end - start >= WINDOW:
+        yield start, end
+
+
 def scan(text: str | None) -> list[tuple[int, int, int]]:
     """(start, kind's number, end) of all secrets, in code points; at the same start in the order of KINDS."""
     if not text:
@@ -92,13 +103,17 @@ def scan(text: str | None) -> list[tuple[int, int, int]]:
         found += [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= LEAST_VALUE]
     found += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text)]
     found += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
-    base = [(a, b) for a, _, b in found]
+    base = sorted((a, b) for a, _, b in found)
+    next_base = 0
     for m in CANDIDATE.finditer(text):
-        candidate = m[0]
-        if not candidate.isalpha() and not allowed(candidate) and not any(
-            a < m.end() and m.start() < b for a, b in base
-        ) and random_looking(candidate):
-            found.append((m.start(), 3, m.end()))
+        if m[0].isalpha() and not base:
+            continue
+        while next_base < len(base) and base[next_base][1] <= m.start():
+            next_base += 1
+        for start, end in outside(m.start(), m.end(), base, next_base):
+            candidate = text[start:end]
+            if not candidate.isalpha() and not allowed(candidate) and random_looking(candidate):
+                found.append((start, 3, end))
     return sorted(found)
 
 
