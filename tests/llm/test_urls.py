@@ -78,3 +78,19 @@ def test_entropy_and_counts(spark):
     assert abs(row["entropy"] + sum(c / n * math.log2(c / n) for c in Counter(url).values())) < 1e-9
     assert (row["depth"], row["parameters"], row["hyphens"], row["labels"], row["fragment"]) == (2, 2, 1, 2, 1)
     assert (row["of_tld"], row["of_domain"], row["of_ending"], row["of_segment"]) == ("com", "example.com", ".html", "x")
+
+
+def test_suffix_statistics_count_all_labelled_urls(spark, monkeypatch):
+    rows = [(f"http://h{i % 40}.site{i % 40}.{'com' if i % 4 else 'net'}/s{i % 3}/{i}", int(i % 5 == 0)) for i in range(400)]
+    labelled = spark.createDataFrame(rows, "url string, label int")
+    whole = urls.train(labelled)
+    monkeypatch.setattr(urls, "TRAINING_URLS", 60)
+    part = urls.train(labelled)
+    assert part.blocked == whole.blocked == 0.2
+    for name in urls.SUFFIXES:
+        assert sorted(map(tuple, part.statistics[name].collect())) == sorted(map(tuple, whole.statistics[name].collect()))
+    assert part.statistics["domain"].count() == 40
+    held = urls.with_parts(labelled.select("url"))
+    once = sorted(map(tuple, urls.predict(held, part).collect()))
+    monkeypatch.setattr(urls, "SUFFIXES_BROADCAST", 0)
+    assert sorted(map(tuple, urls.predict(held, part).collect())) == once

@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from tidewalk.llm.common import lower_ascii, materialise
 
 ALLOW, BLOCK = "allow", "block"
-TRAINING_URLS = 50_000  # different labelled URLs that the trees learn from, chosen by hash; the statistics' tables are no longer
+TRAINING_URLS = 50_000  # different labelled URLs that the trees learn from, chosen by hash; the statistics count all
+SUFFIXES_BROADCAST = 200_000  # suffixes of a statistics table sent to every task; more are joined by a shuffle
 SMOOTHING = 4.0  # URLs of average label added to every suffix
 TREES, DEPTH, STEP, SEED = 20, 4, 0.3, 7
 
@@ -106,7 +107,7 @@ def with_features(frame: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Model:
-    """Trees, the blocked share of every suffix seen in training, and that of all; no trees if one verdict is all."""
+    """Trees, the blocked share of every suffix of the labelled URLs, and that of all; no trees if one verdict is all."""
 
     trees: GBTClassificationModel | None
     statistics: dict[str, DataFrame]
@@ -114,8 +115,9 @@ class Model:
 
 
 def _with_statistics(frame: DataFrame, statistics: dict[str, DataFrame], blocked: float) -> DataFrame:
-    for name, table in statistics.items():  # at most TRAINING_URLS rows each, so they may be broadcast
-        frame = frame.join(F.broadcast(table), f"of_{name}", "left")
+    for name, table in statistics.items():
+        small = table.count() <= SUFFIXES_BROADCAST
+        frame = frame.join(F.broadcast(table) if small else table, f"of_{name}", "left")
     return frame.fillna(blocked, [f"rate_{name}" for name in statistics])
 
 
@@ -127,8 +129,8 @@ def _assembled(frame: DataFrame, statistics: dict[str, DataFrame]) -> DataFrame:
 def train(labelled: DataFrame) -> Model:
     """Fit the trees to labelled URLs (url, label 1 for block); null URLs and labels teach nothing.
 
-    Each URL counts once, with its mean label; of more than `TRAINING_URLS` URLs those with the smallest hashes are taken,
-    that many in expectation. Without labelled URLs everything is allowed.
+    Each URL counts once, with its mean label. The suffixes' shares are of all URLs; of more than `TRAINING_URLS` URLs the
+    trees learn from those with the smallest hashes, that many in expectation. Without labelled URLs everything is allowed.
     """
     once = labelled.where("url IS NOT NULL AND label IS NOT NULL").groupBy("url").agg(
         (F.avg("label") >= 0.5).cast("double").alias("label")
@@ -137,14 +139,14 @@ def train(labelled: DataFrame) -> Model:
     count = once.count()
     span = 1 << 40
     chosen = once.where(F.pmod(F.xxhash64("url"), F.lit(span)) < F.lit(span * min(1.0, TRAINING_URLS / max(1, count))))
-    featured = materialise(with_features(with_parts(chosen)), "url-features")
-    total = featured.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("blocked")).first()
-    blocked = (total["blocked"] or 0.0) / max(1, total["n"])
+    blocked = (once.agg(F.sum("label")).first()[0] or 0.0) / max(1, count)
     if blocked in (0.0, 1.0):
         return Model(None, {}, blocked)
+    featured = materialise(with_features(with_parts(chosen)), "url-features")
+    suffixes = with_features(with_parts(once)).select("label", *(f"of_{name}" for name in SUFFIXES))
     statistics = {
         name: materialise(
-            featured.groupBy(f"of_{name}").agg(
+            suffixes.groupBy(f"of_{name}").agg(
                 ((F.sum("label") + SMOOTHING * blocked) / (F.count(F.lit(1)) + SMOOTHING)).alias(f"rate_{name}")
             ),
             "url-suffixes",
