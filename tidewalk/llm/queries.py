@@ -7,10 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewalk.llm import (
-    decontamination, language, lattice, packing, secrets, sharding, simhash, token_output, urls, wrappers,
+    decontamination, filter_audit, language, lattice, lexical, packing, secrets, sharding, simhash, token_counts,
+    token_output, urls, wrappers,
 )
 from tidewalk.llm.common import read
-from tidewalk.llm.tokens import default_tokenizer
+from tidewalk.llm.oracles import ORACLES
+from tidewalk.llm.tokens import default_tokenizer, word_tokenizer
 from tidewalk.sources.tables import new_working_path
 
 # The rules of the URL query.
@@ -79,12 +81,26 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents, default_tokenizer(), capacity=2048)
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, items = read(spark, sf_dir, "documents", "doc_id", "text"), read(spark, sf_dir, "benchmark", "item_id", "text")
+    return lexical.search(documents, items, k=10)
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    return filter_audit.audit(documents, read(spark, sf_dir, "labels", "doc_id", "quality", "toxic"))
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(read(spark, sf_dir, "documents", "doc_id", "text"), word_tokenizer(), limit=2048)
+
+
 QUERIES = {
     query.__name__: query
     for query in (
         op1_training_order, op2_simhash_near_dedup, op3_secret_scans, op4_url_filters, op5_language_id,
         op6_html_extraction, op7_benchmark_decontamination, op8_embedding_near_dedup, op9_sharding,
-        op10_best_fit_packing,
+        op10_best_fit_packing, op11_lexical_search, op12_filter_audit, op13_token_counts,
     )
 }
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]

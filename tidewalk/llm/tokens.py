@@ -18,7 +18,7 @@ VISIBLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _ENCODERS: dict = {}
 
 
-def _byte_of() -> dict[str, int]:
+def byte_of() -> dict[str, int]:
     """The vocabulary's character for every byte: itself if visible, else the next free one from 256 on."""
     hidden = [b for b in range(256) if b not in VISIBLE]
     return {chr(b): b for b in VISIBLE} | {chr(256 + n): b for n, b in enumerate(hidden)}
@@ -33,7 +33,7 @@ def _merger(path: str):
     if model.get("type") != "BPE" or not plain or told.get("normalizer"):
         return None
     special = [t["content"] for t in told.get("added_tokens", [])]
-    byte = _byte_of()
+    byte = byte_of()
     ranks = {bytes(byte[c] for c in w): i for w, i in model["vocab"].items() if w not in special}
     merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
     made = [model["vocab"][a + b] for a, b in merges]
@@ -92,3 +92,10 @@ def default_tokenizer() -> str:
     import public_tokenizers
 
     return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def word_tokenizer() -> str:
+    """The 49k vocabulary with word ends of the public tokenizer files."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
