@@ -2,9 +2,9 @@
 
 A tokenizer cuts a text into pre-tokens and merges each by itself, so a text's token count is the sum over its distinct
 pre-tokens of how often each occurs times its number of pieces. Documents are read once, in blocks: a block writes its
-vocabulary (pre-token, place) and every document's frequencies over those places. Pieces are counted once for every
-distinct pre-token of the corpus and joined back to the blocks' vocabularies; the frequencies stay packed and meet the
-counts of their block. What moves by pre-token is a block's vocabulary, not its words.
+vocabulary and every document's frequencies over the places in it, packed. The vocabularies of all blocks are brought
+together by pre-token, pieces are counted once for each, and the counts go back to their blocks and meet the
+frequencies there. What moves by pre-token is a block's vocabulary, not its words.
 """
 
 from __future__ import annotations
@@ -14,16 +14,21 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewalk.llm.common import materialise, slices
 from tidewalk.llm.tokens import byte_of
 
-BLOCK_CHARS = 4 << 20  # characters of the documents of one block; a longer document is a block of its own
+BLOCK_CHARS = 16 << 20  # characters of the documents of one block; a longer document is a block of its own
+PIECES_A_ROW, DOCUMENTS_A_ROW = 4096, 512  # of a block, in one row
+COUNTS_AT_ONCE = 1 << 20  # counts gathered before they are sent to their blocks
 CHARS_AT_ONCE = 1 << 20  # characters split into words at a time
 # The rules of the files with word ends. White space only parts words, so it need not be made equal.
 WORD_RULES = {
@@ -36,7 +41,8 @@ LATIN_WORDS = re.compile(
     f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_DIGIT}]|[^{_SPACE}{_LETTER}{_DIGIT}]+"
 )
 _GAP = re.compile(r"[ \t\n\r]")
-BLOCKS = "block string, slot int, piece string, doc_id long, n_bytes long, slots array<int>, times array<int>"
+BLOCKS = "block long, first int, pieces array<string>, doc_ids array<long>, n_bytes array<long>, words array<int>, packed binary"
+COUNTS = "of long, slots array<int>, n array<int>"
 
 
 def parts(text: str, size: int = CHARS_AT_ONCE) -> Iterator[str]:
@@ -132,15 +138,28 @@ class _Latin(dict):
         self.vocabulary, self.letters = vocabulary, letters
 
     def __missing__(self, word: str) -> int:
-        place = self[word] = self.vocabulary.setdefault(word.translate(self.letters), len(self.vocabulary))
+        written = word if word.isascii() and word.isprintable() else word.translate(self.letters)
+        place = self[word] = self.vocabulary.setdefault(written, len(self.vocabulary))
         return place
 
 
+def pack(slots: np.ndarray, times: np.ndarray) -> bytes:
+    """Rising places and frequencies of some documents: differences and frequencies by byte planes, compressed."""
+    planes = np.concatenate([np.diff(slots, prepend=0), times]).astype("<i4").view(np.uint8).reshape(-1, 4).T
+    return zstandard.compress(np.ascontiguousarray(planes).tobytes(), 1)
+
+
+def unpack(data: bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(4, 2 * n)
+    both = np.ascontiguousarray(planes.T).view("<i4").reshape(-1).astype(np.int64)
+    return np.cumsum(both[:n]), both[n:]
+
+
 class _Block:
     """Documents whose frequencies count places in one vocabulary."""
 
-    def __init__(self, name: str, splitter: PreTokens):
-        self.name, self.splitter, self.chars, self.vocabulary, self.documents = name, splitter, 0, {}, []
+    def __init__(self, number: int, splitter: PreTokens):
+        self.number, self.splitter, self.chars, self.vocabulary, self.documents = number, splitter, 0, {}, []
         self.latin = _Latin(self.vocabulary, splitter.letters)
 
     def add(self, doc_id, n_bytes, text: str) -> None:
@@ -154,45 +173,44 @@ class _Block:
         self.chars += len(text)
 
     def batches(self) -> Iterator[pa.RecordBatch]:
-        words, n = list(self.vocabulary), len(self.vocabulary)
-        yield _batch(self.name, n, slot=pa.array(range(n), pa.int32()), piece=pa.array(words, pa.string()))
-        for start in range(0, len(self.documents), 256):
-            ids, sizes, slots, times = zip(*self.documents[start:start + 256])
-            ends = np.cumsum([0, *map(len, slots)]).astype(np.int32)
-            arrays = (pa.ListArray.from_arrays(ends, np.concatenate(side)) for side in (slots, times))
-            packed = dict(zip(("slots", "times"), arrays))
-            yield _batch(self.name, len(ids), doc_id=pa.array(ids, pa.int64()), n_bytes=pa.array(sizes, pa.int64()), **packed)
+        words = list(self.vocabulary)
+        for first in range(0, len(words), PIECES_A_ROW):
+            yield self._row(first=first, pieces=words[first:first + PIECES_A_ROW])
+        for first in range(0, len(self.documents), DOCUMENTS_A_ROW):
+            ids, sizes, slots, times = map(list, zip(*self.documents[first:first + DOCUMENTS_A_ROW]))
+            yield self._row(
+                doc_ids=ids, n_bytes=sizes, words=[len(s) for s in slots],
+                packed=pack(np.concatenate(slots), np.concatenate(times)),
+            )
+
+    def _row(self, **values) -> pa.RecordBatch:
+        told = {"block": self.number, **values}
+        return pa.RecordBatch.from_arrays([pa.array([told.get(f.name)], f.type) for f in _FIELDS], schema=_FIELDS)
 
 
 _FIELDS = pa.schema([
-    ("block", pa.string()), ("slot", pa.int32()), ("piece", pa.string()), ("doc_id", pa.int64()), ("n_bytes", pa.int64()),
-    ("slots", pa.list_(pa.int32())), ("times", pa.list_(pa.int32())),
+    ("block", pa.int64()), ("first", pa.int32()), ("pieces", pa.list_(pa.string())), ("doc_ids", pa.list_(pa.int64())),
+    ("n_bytes", pa.list_(pa.int64())), ("words", pa.list_(pa.int32())), ("packed", pa.binary()),
 ])
 
 
-def _batch(block: str, n: int, **columns) -> pa.RecordBatch:
-    given = {"block": pa.array([block] * n, pa.string()), **columns}
-    return pa.RecordBatch.from_arrays(
-        [given[f.name] if f.name in given else pa.nulls(n, f.type) for f in _FIELDS], schema=_FIELDS
-    )
-
-
 def frequencies(documents: DataFrame, path: str) -> DataFrame:
-    """Vocabulary rows (block, slot, piece) and document rows (block, doc_id, n_bytes, slots, times) of all blocks.
+    """Rows of vocabulary (block, first, pieces) and of documents (block, doc_ids, n_bytes, words, packed).
 
-    A block's name is drawn by the task attempt that writes it, and all its rows are committed with that attempt, so a
-    task that runs again leaves no mixture.
+    `pieces` take the places from `first` on; a document has as many of the packed frequencies as it has distinct
+    `words`. Blocks are numbered by task and order. All rows of a task are committed together, so a task that runs
+    again leaves no mixture.
     """
     def split(batches):
-        import uuid
-
-        splitter, block = pre_tokens(path), None
+        splitter, task = pre_tokens(path), TaskContext.get().partitionId()
+        numbers = count(task << 32)
+        block = None
         for batch in slices(batches):
             for doc_id, n_bytes, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "n_bytes", "text"))):
                 if block is not None and block.chars + len(text) > BLOCK_CHARS:
                     yield from block.batches()
                     block = None
-                block = block or _Block(uuid.uuid4().hex, splitter)
+                block = block or _Block(next(numbers), splitter)
                 block.add(doc_id, n_bytes, text)
         if block is not None:
             yield from block.batches()
@@ -203,34 +221,66 @@ def frequencies(documents: DataFrame, path: str) -> DataFrame:
     return materialise(texts.mapInArrow(split, BLOCKS), "pre-tokens")
 
 
-def piece_counts(pieces: DataFrame, path: str) -> DataFrame:
-    """(piece, n) of every distinct pre-token."""
+def piece_counts(vocabulary: DataFrame, path: str) -> DataFrame:
+    """(of, slots, n): the piece counts of the blocks' places, from (piece, block, slot).
+
+    The rows of a pre-token come one after the other, so its pieces are counted once. A frequent one has a row per
+    block at most.
+    """
     def merge(batches):
-        splitter = pre_tokens(path)
+        splitter, gathered, size = pre_tokens(path), [], 0
+        last, last_n = None, 0
         for batch in batches:
-            words = batch.column("piece")
-            counted = [splitter.pieces(w) for w in words.to_pylist()]
-            yield pa.RecordBatch.from_pydict({"piece": words, "n": pa.array(counted, pa.int32())})
-
-    return pieces.select("piece").distinct().mapInArrow(merge, "piece string, n int")
+            words = batch.column("piece").dictionary_encode()
+            distinct = words.dictionary.to_pylist()
+            counted = np.array([last_n if w == last else splitter.pieces(w) for w in distinct], np.int32)
+            if distinct:
+                last, last_n = distinct[-1], int(counted[-1])
+            gathered.append((
+                batch.column("block").to_numpy(), batch.column("slot").to_numpy(), counted[words.indices.to_numpy()]
+            ))
+            size += batch.num_rows
+            if size >= COUNTS_AT_ONCE:
+                yield _by_block(gathered)
+                gathered, size = [], 0
+        if size:
+            yield _by_block(gathered)
+
+    ordered = vocabulary.repartition("piece").sortWithinPartitions("piece")
+    return ordered.select("piece", "block", "slot").mapInArrow(merge, COUNTS)
+
+
+def _by_block(gathered: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    """One row per block of the counts gathered."""
+    blocks, slots, n = (np.concatenate(side) for side in zip(*gathered))
+    order = np.argsort(blocks, kind="stable")
+    starts = np.flatnonzero(np.diff(blocks[order], prepend=-1))
+    ends = pa.array([*starts, len(blocks)], pa.int32())
+    lists = (pa.ListArray.from_arrays(ends, pa.array(side[order], pa.int32())) for side in (slots, n))
+    return pa.RecordBatch.from_arrays([pa.array(blocks[order][starts], pa.int64()), *lists], names=["of", "slots", "n"])
 
 
 def _sums(documents: pa.Table, counts: pa.Table) -> pa.Table:
     """The token counts of a block's documents from the counts of its vocabulary."""
-    n = np.zeros(counts.num_rows, np.int64)
-    n[counts.column("slot").to_numpy()] = counts.column("n").to_numpy()
-    totals = []
-    for chunk in documents.to_batches():
-        ends = chunk.column("slots").offsets.to_numpy().astype(np.int64)
-        slots, times = (chunk.column(c).values.to_numpy() for c in ("slots", "times"))
-        running = np.concatenate([[0], np.cumsum(n[slots] * times.astype(np.int64))])
-        totals.append(running[ends[1:]] - running[ends[:-1]])
+    slots, n = (_flat(counts, c) for c in ("slots", "n"))
+    of = np.zeros(len(slots), np.int64)
+    of[slots] = n
+    totals = [np.empty(0, np.int64)]
+    for words, packed in zip(documents.column("words").to_pylist(), documents.column("packed").to_pylist()):
+        ends = np.cumsum(words)
+        places, times = unpack(packed, int(ends[-1]))
+        running = np.concatenate([[0], np.cumsum(of[places] * times)])
+        totals.append(np.diff(running[ends], prepend=0))
     return pa.table({
-        "doc_id": documents.column("doc_id"), "n_bytes": documents.column("n_bytes"),
-        "n_tokens": pa.array(np.concatenate(totals) if totals else [], pa.int64()),
+        "doc_id": pa.array([i for ids in documents.column("doc_ids").to_pylist() for i in ids], pa.int64()),
+        "n_bytes": pa.array(_flat(documents, "n_bytes"), pa.int64()), "n_tokens": pa.array(np.concatenate(totals), pa.int64()),
     })
 
 
+def _flat(table: pa.Table, column: str) -> np.ndarray:
+    return table.column(column).combine_chunks().flatten().to_numpy(zero_copy_only=False)
+
+
 def count_tokens(documents: DataFrame, path: str, limit: int) -> DataFrame:
     """(doc_id, n_bytes, n_tokens, over_limit) of every row of `documents` (doc_id, text), other columns left out.
 
@@ -239,10 +289,10 @@ def count_tokens(documents: DataFrame, path: str, limit: int) -> DataFrame:
     vocabulary (`BLOCK_CHARS`) are what one task holds at a time, however often a word occurs in the corpus.
     """
     table = frequencies(documents, path)
-    vocabulary = table.where("piece IS NOT NULL").select("block", "slot", "piece")
-    counted = vocabulary.join(piece_counts(vocabulary, path), "piece").select(F.col("block").alias("of"), "slot", "n")
-    held = table.where("piece IS NULL").select("block", "doc_id", "n_bytes", "slots", "times")
-    sums = held.groupBy("block").cogroup(counted.groupBy("of")).applyInArrow(
+    places = table.where("pieces IS NOT NULL").select("block", "first", F.posexplode("pieces").alias("at", "piece"))
+    vocabulary = places.select("piece", "block", (F.col("first") + F.col("at")).alias("slot"))
+    held = table.where("packed IS NOT NULL").select("block", "doc_ids", "n_bytes", "words", "packed")
+    sums = held.groupBy("block").cogroup(piece_counts(vocabulary, path).groupBy("of")).applyInArrow(
         _sums, "doc_id long, n_bytes long, n_tokens long"
     )
     return sums.withColumn("over_limit", F.col("n_tokens") > limit)
