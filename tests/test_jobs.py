@@ -4,6 +4,7 @@ import pytest
 
 from tidewalk import jobs, schemas
 from tidewalk.config import BASE_FEATURES, GARCH_FEATURES, TARGET
+from tidewalk.sources import commits
 from tidewalk.sources.proxies import market_tables
 
 REQUIRED = jobs.REQUIRED
@@ -35,23 +36,23 @@ def test_stages(spark, places, monkeypatch):
     runs = spark.read.schema(schemas.RUNS).parquet(f"{places['runs']}/runs").collect()
     assert {r.feature_variant for r in runs} == set(VARIANTS) and all(r.n_folds > 40 for r in runs)
 
-    args = pick(places, "features", "runs", "registry", "models")
+    args = {**pick(places, "features", "runs", "registry", "models"), "group": "g"}
     monkeypatch.setenv("PROMOTION_MIN_MEAN_IC", "2")
     assert "mean_ic_pearson below floor" in jobs.promote(spark, **args, required=REQUIRED, overrides=QUICK)
-    assert jobs.registry_snapshots(spark, places["registry"])[1] == 0
+    assert commits.newest(spark, places["registry"], schemas.REGISTRY)[1] == 0
     with pytest.raises(RuntimeError, match="no Production model"):
-        jobs.score(spark, **pick(places, "features", "registry", "models", "out"), rows=places["features"])
+        jobs.score(spark, **pick(places, "features", "registry", "out"), rows=places["features"])
 
     monkeypatch.setenv("PROMOTION_MIN_MEAN_IC", "-2")
     monkeypatch.setenv("PROMOTION_MIN_POSITIVE_FOLD_PCT", "0")
     for expected in (1, 2):
         assert jobs.promote(spark, **args, required=REQUIRED, overrides=QUICK) == []
-        registry, number = jobs.registry_snapshots(spark, places["registry"])
+        registry, number = commits.newest(spark, places["registry"], schemas.REGISTRY)
         stages = {r.version: r.stage for r in registry.collect()}
         assert number == expected and stages[expected] == "Production" and len(stages) == expected
     assert stages[1] == "Archived"
 
-    jobs.score(spark, **pick(places, "features", "registry", "models", "out"), rows=places["features"])
+    jobs.score(spark, **pick(places, "features", "registry", "out"), rows=places["features"])
     scored = spark.read.parquet(f"{places['out']}/scored")
     rejected = spark.read.parquet(f"{places['out']}/rejected")
     assert scored.count() + rejected.count() == spark.read.parquet(places["features"]).count()

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from tidewalk import schemas
 from tidewalk.config import BASE_FEATURES, FEATURE_VARIANTS, GARCH_FEATURES, MODELS, REGISTERED_MODEL_NAME, TARGET, GateSettings
-from tidewalk.operators import models, scoring
+from tidewalk.operators import models, scoring, selection, tree_tables
 from tidewalk.plans import cross_validation, promotion
-from tidewalk.sources import tables
+from tidewalk.sources import commits, tables
 from tidewalk.streaming.scoring import read_stream, score_stream
 
 FEATURES = ["x1", "x2"]
@@ -139,14 +139,14 @@ def test_a_failed_fit_is_recorded_and_repeated_alone(spark, work, starts, tmp_pa
 
     monkeypatch.setattr(models, "run_fold", broken)
     args = (work.ranged, starts[:1], experiments, None, QUICK)
-    first = models.run_experiments(*args, folder=str(tmp_path))
+    first = models.run_experiments(*args, in_flight=1, folder=str(tmp_path))
     assert {r.feature_variant for r in first.collect()} == {"plain"}
     status = {r.feature_variant: r.status for r in models.outcomes(spark, str(tmp_path)).collect()}
     assert status == {"plain": "fitted", "other": "failed: no fit"}
-    again = models.run_experiments(*args, folder=str(tmp_path))
+    again = models.run_experiments(*args, in_flight=1, folder=str(tmp_path))
     assert calls == ["plain", "other", "other"]
     assert {r.feature_variant for r in again.collect()} == {"plain", "other"}
-    assert models.run_experiments(*args, folder=str(tmp_path)).count() == again.count() and len(calls) == 3
+    assert models.run_experiments(*args, in_flight=1, folder=str(tmp_path)).count() == again.count() and len(calls) == 3
 
 
 @pytest.fixture(scope="module")
@@ -180,12 +180,12 @@ def test_run_log_and_reports(spark, logged):
     assert fitted.target == TARGET and fitted.n_folds_requested > 3 == fitted.n_folds
     fold_rows = spark.read.schema(schemas.FOLD_RESULTS).parquet(f"{root}/fold_results")
     assert fold_rows.count() == 6 and fold_rows.filter("test_start is null or ic_pearson is null").isEmpty()
-    report = spark.read.option("header", True).csv(f"{root}/csv/cv_metrics")
+    report = spark.read.option("header", True).csv(f"{root}/csv/cv_metrics/run_group=t")
     assert report.columns == [
         "model", "feature_variant", "mean_ic_pearson", "positive_fold_pct", "ic_t_stat", "n_folds", "meets_threshold"
     ]
-    assert spark.read.option("header", True).csv(f"{root}/csv/fold_results").count() == 6
-    best = tables.read_json(spark, f"{root}/json/best_config", schemas.CHALLENGER).first()
+    assert spark.read.option("header", True).csv(f"{root}/csv/fold_results/run_group=t").count() == 6
+    best = tables.read_json(spark, f"{root}/json/best_config/run_group=t", schemas.CHALLENGER).first()
     assert best.mean_ic_pearson == summary.agg(F.max("mean_ic_pearson")).first()[0]
     assert best.feature_cols == VARIANTS[best.feature_variant]
 
@@ -193,33 +193,100 @@ def test_run_log_and_reports(spark, logged):
 @pytest.fixture(scope="module")
 def promoted(spark, snapshot, logged, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("artifact"))
-    challenger = tables.read_json(spark, f"{logged[3]}/json/best_config", schemas.CHALLENGER)
+    challenger = tables.read_json(spark, f"{logged[3]}/json/best_config/run_group=t", schemas.CHALLENGER)
     challenger = challenger.withColumns({
         "feature_variant": F.lit("plain_garch"), "feature_cols": F.array(*[F.lit(c) for c in VARIANTS["plain_garch"]])
     })
-    empty = spark.createDataFrame([], schemas.REGISTRY)
     reasons = promotion.promote(
-        challenger, empty, snapshot, f"{root}/model-1", f"{root}/registry-1", required=(TARGET, *FEATURES), overrides=QUICK
+        challenger, f"{root}/registry", snapshot, f"{root}/models", required=(TARGET, *FEATURES), overrides=QUICK
     )
     assert reasons == []
-    return root, challenger
+    registry, _ = commits.newest(spark, f"{root}/registry", schemas.REGISTRY)
+    return selection.production_artifact(registry), challenger, root
 
 
 def test_promotion_writes_artifact_and_registry(spark, promoted):
-    root, _ = promoted
-    model, meta = promotion.load_artifact(spark, f"{root}/model-1")
+    artifact, _, root = promoted
+    model, meta = promotion.load_artifact(spark, artifact)
     assert meta["uses_garch"] and meta["target"] == TARGET and meta["feature_cols"] == VARIANTS["plain_garch"]
     assert meta["train_rows"] == 980 - 2 and meta["walk_forward_n_folds"] == 3
     assert meta["n_features"] == 4 and meta["params"]["numTrees"] == "5" and meta["params"]["maxDepth"] == "4"
-    latest = spark.read.schema(schemas.REGISTRY).parquet(f"{root}/registry-1").collect()
-    assert [(r.name, r.version, r.stage) for r in latest] == [(REGISTERED_MODEL_NAME, 1, "Production")]
+    registry, number = commits.newest(spark, f"{root}/registry", schemas.REGISTRY)
+    latest = registry.collect()
+    assert number == 1 and [(r.name, r.version, r.stage) for r in latest] == [(REGISTERED_MODEL_NAME, 1, "Production")]
     assert len(model.stages) == 2
 
 
+def test_a_second_group_leaves_the_first_ones_reports(spark, logged, tmp_path):
+    _, results, summary, _ = logged
+    folds = spark.createDataFrame([("A", i, dt.date(2020, 1, 1) + dt.timedelta(i), dt.date(2020, 1, 1)) for i in range(100)],
+                                  "series_id string, fold_id int, train_end date, test_start date")
+    for group in ("a", "b"):
+        only = summary.filter(F.col("feature_variant") == {"a": "plain", "b": "plain_garch"}[group])
+        cross_validation.log_runs(results, only, folds, VARIANTS, group, str(tmp_path), ["random_forest"])
+    for group, variant in (("a", "plain"), ("b", "plain_garch")):
+        of = [cross_validation.of_group(str(tmp_path), name, group) for name in ("json/best_config", "csv/cv_metrics")]
+        assert tables.read_json(spark, of[0], schemas.CHALLENGER).first().feature_variant == variant
+        assert [r.feature_variant for r in spark.read.option("header", True).csv(of[1]).collect()] == [variant]
+    both = spark.read.json(f"{tmp_path}/json/cv_metrics")
+    assert {r.run_group for r in both.collect()} == {"a", "b"}
+
+
+def test_a_run_that_was_cut_off_is_repeated(spark, snapshot, promoted, tmp_path, monkeypatch):
+    """Files of a snapshot without a commit are in nobody's way."""
+    _, challenger, _ = promoted
+    args = (challenger, f"{tmp_path}/r", snapshot, f"{tmp_path}/m", GateSettings(min_mean_ic=-1.0), (TARGET, *FEATURES), QUICK)
+
+    def dies(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as cut:
+        cut.setattr(commits, "put_if_absent", dies)
+        with pytest.raises(OSError):
+            promotion.promote(*args)
+    assert commits.newest(spark, f"{tmp_path}/r", schemas.REGISTRY)[1] == 0
+    assert len(list((tmp_path / "r" / "data").iterdir())) == 1
+    assert promotion.promote(*args) == []
+    registry, number = commits.newest(spark, f"{tmp_path}/r", schemas.REGISTRY)
+    assert number == 1 and [r.version for r in registry.collect()] == [1]
+
+
+@pytest.mark.parametrize("name, overrides", [
+    ("random_forest", {"numTrees": 7}), ("xgboost", {"maxIter": 7}), ("lightgbm", {"maxIter": 7}), ("catboost", {"maxIter": 7}),
+])
+def test_both_ways_of_scoring_agree(spark, snapshot, name, overrides):
+    frame = snapshot.na.drop()
+    model = models.refit(frame, name, FEATURES, overrides)
+    nodes = tables.materialise(tree_tables.node_table(spark, model), "nodes")
+    assert nodes.select("tree").distinct().count() == 7 and nodes.filter("left = -1 and feature is not null").isEmpty()
+    keys = ["series_id", "trade_date"]
+    scored = scoring.score(snapshot, model, name, "v", FEATURES)
+    own = tree_tables.score_by_nodes(snapshot, nodes, FEATURES, keys, model.stages[-1].getMaxDepth())
+    compared = tree_tables.scoring_difference(scored, own, keys)
+    assert [tuple(r) for r in compared.groupBy("difference").count().collect()] == [(0.0, 1000)]
+    moved = nodes.withColumn("value", F.col("value") + F.when(F.col("tree") == 3, 0.5).otherwise(0.0))
+    own = tree_tables.score_by_nodes(snapshot, moved, FEATURES, keys, 4)
+    assert tree_tables.scoring_difference(scored, own, keys).filter("difference = 0").isEmpty()
+    short = tree_tables.score_by_nodes(snapshot, nodes, FEATURES, keys, 0)
+    assert tree_tables.scoring_difference(scored, short, keys).filter("difference = 0").isEmpty()
+
+
+def test_fits_in_flight_share_a_boundarys_rows(spark, work, starts, monkeypatch):
+    """Every (boundary, experiment) is fitted once, whatever the width of the queue."""
+    plain, read = models.run_fold, []
+    monkeypatch.setattr(models, "fold_rows", lambda *a, rows=models.fold_rows: read.append(a[1]) or rows(*a))
+    experiments = [("random_forest", name, columns) for name, columns in VARIANTS.items()]
+    wide, narrow = (
+        models.run_experiments(work.ranged, starts[:3], experiments, work.garch, QUICK, in_flight=n) for n in (6, 1)
+    )
+    assert sorted(read) == sorted([*starts[:3], *starts[:3]]) and models.run_fold is plain
+    assert rows(wide, "feature_variant", "trade_date") == rows(narrow, "feature_variant", "trade_date")
+
+
 def test_failed_gate_writes_nothing(spark, snapshot, promoted, tmp_path):
-    _, challenger = promoted
+    _, challenger, _ = promoted
     reasons = promotion.promote(
-        challenger, spark.createDataFrame([], schemas.REGISTRY), snapshot, f"{tmp_path}/m", f"{tmp_path}/r",
+        challenger, f"{tmp_path}/r", snapshot, f"{tmp_path}/m",
         GateSettings(min_mean_ic=2.0), (TARGET, *FEATURES), QUICK,
     )
     assert reasons == ["mean_ic_pearson below floor"] and list(tmp_path.iterdir()) == []
@@ -227,8 +294,7 @@ def test_failed_gate_writes_nothing(spark, snapshot, promoted, tmp_path):
 
 def test_no_challenger_is_a_reason(spark, snapshot, tmp_path):
     none = spark.createDataFrame([], schemas.CHALLENGER)
-    registry = spark.createDataFrame([], schemas.REGISTRY)
-    assert promotion.promote(none, registry, snapshot, f"{tmp_path}/m", f"{tmp_path}/r") == ["no challenger"]
+    assert promotion.promote(none, f"{tmp_path}/r", snapshot, f"{tmp_path}/m") == ["no challenger"]
     assert list(tmp_path.iterdir()) == []
 
 
@@ -250,8 +316,7 @@ def test_supplied_volatility_is_overwritten(spark):
 
 
 def test_stream_scores_like_batch_and_rejects_incomplete_rows(spark, snapshot, promoted, tmp_path):
-    root, _ = promoted
-    model, meta = promotion.load_artifact(spark, f"{root}/model-1")
+    model, meta = promotion.load_artifact(spark, promoted[0])
     state = tables.materialise(promotion.serving_state(snapshot), "test-state")
     day = F.dayofmonth("trade_date")
     requests = snapshot.withColumn("x2", F.when(day == 14, float("nan")).when(day != 13, F.col("x2")))

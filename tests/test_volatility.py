@@ -47,8 +47,9 @@ def test_start_variance_is_a_weighted_mean_of_the_first_75():
 
 
 def test_fit_recovers_known_parameters():
-    params, loglik, converged = garch_math.fit(simulate(6000))
-    assert converged
+    found = garch_math.fit(simulate(6000))
+    params, loglik = found.params, found.loglik
+    assert found.certified and found.steps < 200
     assert params["alpha"] == pytest.approx(TRUE.alpha, abs=0.03)
     assert params["beta"] == pytest.approx(TRUE.beta, abs=0.04)
     assert params["nu"] == pytest.approx(TRUE.nu, abs=1.5)
@@ -69,7 +70,7 @@ def test_failed_fit_keeps_its_row_and_says_why(spark):
     flat = price_frame(spark, np.zeros(50)).union(price_frame(spark, np.ones(3), "B"))
     fits = volatility.garch_fit(volatility.full_window(volatility.log_returns(flat)))
     status = {r.series_id: r.status for r in fits.collect()}
-    assert status == {"A": "failed: constant returns", "B": "failed: too few returns"}
+    assert status == {"A": "failed: constant returns", "B": "failed: constant returns"}
     assert volatility.garch_path(fits).isEmpty()
 
 
@@ -113,11 +114,69 @@ def test_training_windows_stop_at_the_embargo(spark):
         "series_id string, fold_id int, train_end date, embargo_date date",
     )
     windows = volatility.training_windows(volatility.log_returns(frame), folds)
-    assert {(r.fold_id, len(r.history), r.history[-1].day) for r in windows.collect()} == {
-        (0, 30, days[30]), (1, 45, days[45])
+    series = windows.collect()
+    assert [(r.series_id, len(r.history)) for r in series] == [("A", 60)]  # the history once, not once per fold
+    assert [tuple(w) for w in series[0].windows] == [(days[30], 0, days[50]), (days[45], 1, days[55])]
+    fits = volatility.garch_fit(windows, GarchParams(0.0, 0.1, 0.1, 0.8)).orderBy("fold_id").collect()
+    assert [(r.fold_id, r.train_end, r.days, len(r.sigma)) for r in fits] == [
+        (0, days[50], days[1:31], 30), (1, days[55], days[1:46], 45)
+    ]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_score_is_the_derivative_of_the_likelihood(seed):
+    rng = np.random.default_rng(seed)
+    y = simulate(int(rng.integers(3, 400)), seed=seed)
+    params = dict(mu=0.03, omega=0.03, alpha=0.1, beta=float(rng.uniform(0, 0.88)), nu=float(rng.uniform(2.2, 40)))
+    by = garch_math.scores(y, **params).sum(axis=1)
+    for name, slope in zip(garch_math.PARAMETERS, by):
+        up, down = ({**params, name: params[name] + h} for h in (1e-6, -1e-6))
+        measured = (garch_math.neg_loglik(y, **down) - garch_math.neg_loglik(y, **up)) / 2e-6
+        assert slope == pytest.approx(measured, rel=1e-4, abs=1e-3)
+
+
+def test_nested_windows_find_what_single_fits_find_in_fewer_steps(spark):
+    y = simulate(900)
+    frame = price_frame(spark, y)
+    days = [r.trade_date for r in frame.orderBy("trade_date").collect()]
+    ends = list(range(100, 900, 40))
+    folds = spark.createDataFrame(
+        [("A", i, days[e + 1], days[e]) for i, e in enumerate(ends)],
+        "series_id string, fold_id int, train_end date, embargo_date date",
+    )
+    fits = volatility.garch_fit(volatility.training_windows(volatility.log_returns(frame), folds)).orderBy("fold_id").collect()
+    assert {r.status for r in fits} == {"ok"} and all(r.score <= garch_math.LARGEST_SCORE for r in fits)
+    alone = [garch_math.fit(y[:e]) for e in ends]
+    assert all(r.loglik >= one.loglik - 1e-3 for r, one in zip(fits, alone))
+    assert sum(r.steps for r in fits) < sum(one.steps for one in alone)
+
+
+def test_a_wrong_place_has_no_certificate():
+    y = simulate(500)
+    found = garch_math.fit(y)
+    spread = float(y.var())
+    assert garch_math.certificate(y, found.place, spread, found.loglik)[1]
+    for i in range(5):
+        off = found.place + 0.3 * np.eye(5)[i]
+        assert not garch_math.certificate(y, off, spread, -garch_math.neg_loglik(y, *garch_math._unpack(off, spread)))[1]
+
+
+def test_log_likelihoods_of_given_parameters(spark):
+    y = simulate(120)
+    windows = volatility.full_window(volatility.log_returns(price_frame(spark, y)))
+    sets = [TRUE, GarchParams(0.0, 0.1, 0.1, 0.8, 5.0)]
+    row = volatility.garch_loglik(windows, sets).first()
+    assert row.asDict() == {"series_id": "A"} | {
+        f"loglik_{n}": pytest.approx(-garch_math.neg_loglik(y, p.mu, p.omega, p.alpha, p.beta, p.nu))
+        for n, p in enumerate(sets, 1)
     }
 
 
+@pytest.mark.parametrize("n", [2, 3, 5, 12, 19])
+def test_short_histories_are_fitted_too(n):
+    assert garch_math.fit(simulate(n)).loglik > -1e9
+
+
 def test_last_state(spark):
     days = business_days(2)
     path = spark.createDataFrame(

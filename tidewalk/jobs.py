@@ -2,8 +2,8 @@
 
     python -m tidewalk.jobs extract --market <dir> --features <dir> --boundaries <dir>
     python -m tidewalk.jobs train   --features <dir> --boundaries <dir> --runs <dir> --group <name>
-    python -m tidewalk.jobs promote --features <dir> --runs <dir> --registry <dir> --models <dir>
-    python -m tidewalk.jobs score   --features <dir> --registry <dir> --models <dir> --rows <dir> --out <dir>
+    python -m tidewalk.jobs promote --features <dir> --runs <dir> --group <name> --registry <dir> --models <dir>
+    python -m tidewalk.jobs score   --features <dir> --registry <dir> --rows <dir> --out <dir>
 
 On a cluster submit this file with the package: spark-submit --py-files tidewalk.zip tidewalk/jobs.py <stage> ...
 """
@@ -14,9 +14,7 @@ import argparse
 import sys
 from collections.abc import Mapping, Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 
 from tidewalk import schemas
 from tidewalk.config import BASE_FEATURES, FEATURE_VARIANTS, MODELS, TARGET, GateSettings, MarketNames
@@ -25,7 +23,7 @@ from tidewalk.operators.folds import monthly_boundaries
 from tidewalk.plans import cross_validation, promotion
 from tidewalk.plans.daily_features import daily_features
 from tidewalk.session import SETTINGS
-from tidewalk.sources import tables
+from tidewalk.sources import commits, tables
 
 REQUIRED = (TARGET, *BASE_FEATURES)
 
@@ -42,7 +40,7 @@ def extract(spark: SparkSession, market: str, features: str, boundaries: str, se
 def train(
     spark: SparkSession, features: str, boundaries: str, runs: str, group: str, required: Sequence[str] = REQUIRED,
     model_names: Sequence[str] = tuple(MODELS), variants: Mapping[str, Sequence[str]] = FEATURE_VARIANTS,
-    overrides: dict | None = None, parallelism: int = 4,
+    overrides: dict | None = None, in_flight: int | None = None,
 ) -> None:
     """Snapshot -> cross-validated experiments, their log and reports, and the winning configuration.
 
@@ -52,7 +50,7 @@ def train(
         tables.read_snapshot(spark, features), tables.read_boundaries(spark, boundaries), required
     )
     predicted = cross_validation.predictions(
-        work, model_names, variants, overrides=overrides, parallelism=parallelism, folder=f"{runs}/fits/{group}"
+        work, model_names, variants, overrides=overrides, in_flight=in_flight, folder=f"{runs}/fits/{group}"
     )
     if predicted is None:
         raise RuntimeError("no experiment produced a valid fold")
@@ -62,39 +60,25 @@ def train(
     )
 
 
-def registry_snapshots(spark: SparkSession, root: str) -> tuple[DataFrame, int]:
-    """The newest registry snapshot under `root` and its number; an empty registry is number 0."""
-    try:
-        written = spark.read.parquet(root)
-    except AnalysisException as cause:
-        if cause.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schemas.REGISTRY), 0
-    number = written.agg(F.max("snapshot")).first()[0]
-    return written.filter(F.col("snapshot") == number).select(*schemas.REGISTRY.fieldNames()), number
-
-
 def promote(
-    spark: SparkSession, features: str, runs: str, registry: str, models: str, required: Sequence[str] = REQUIRED,
-    overrides: dict | None = None,
+    spark: SparkSession, features: str, runs: str, group: str, registry: str, models: str,
+    required: Sequence[str] = REQUIRED, overrides: dict | None = None,
 ) -> list[str]:
-    """Winning configuration -> gate -> refit, artifact and a new registry snapshot; returns the reasons against."""
-    challenger = tables.read_json(spark, f"{runs}/json/best_config", schemas.CHALLENGER)
-    current, number = registry_snapshots(spark, registry)
-    following = number + 1
+    """A group's winning configuration -> gate -> refit, artifact and a new registry snapshot; returns the reasons
+    against."""
+    challenger = tables.read_json(spark, cross_validation.of_group(runs, "json/best_config", group), schemas.CHALLENGER)
     return promotion.promote(
-        challenger, current, tables.read_snapshot(spark, features), f"{models}/{following}",
-        f"{registry}/snapshot={following}", GateSettings.from_env(), required, overrides,
+        challenger, registry, tables.read_snapshot(spark, features), models, GateSettings.from_env(), required, overrides
     )
 
 
-def score(spark: SparkSession, features: str, registry: str, models: str, rows: str, out: str) -> None:
+def score(spark: SparkSession, features: str, registry: str, rows: str, out: str) -> None:
     """Score feature rows with the Production model; rejected rows and their missing names go beside the scores."""
-    current, _ = registry_snapshots(spark, registry)
-    production = selection.current_production(current).first()
-    if production is None:
+    current, _ = commits.newest(spark, registry, schemas.REGISTRY)
+    artifact = selection.production_artifact(current)
+    if artifact is None:
         raise RuntimeError("no Production model")
-    model, meta = promotion.load_artifact(spark, f"{models}/{production.production_version}")
+    model, meta = promotion.load_artifact(spark, artifact)
     state = None
     if meta["uses_garch"]:
         state = tables.materialise(promotion.serving_state(tables.read_snapshot(spark, features)), "garch-state")
@@ -112,15 +96,15 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     needed = {
         "extract": ("market", "features", "boundaries"),
         "train": ("features", "boundaries", "runs", "group"),
-        "promote": ("features", "runs", "registry", "models"),
-        "score": ("features", "registry", "models", "rows", "out"),
+        "promote": ("features", "runs", "group", "registry", "models"),
+        "score": ("features", "registry", "rows", "out"),
     }
     for stage, names in needed.items():
         one = stages.add_parser(stage)
         for name in names:
             one.add_argument(f"--{name}", required=True)
     stages.choices["extract"].add_argument("--series-id", dest="series_id")
-    stages.choices["train"].add_argument("--parallelism", type=int, default=4)
+    stages.choices["train"].add_argument("--in-flight", dest="in_flight", type=int)
     return parser.parse_args(argv)
 
 

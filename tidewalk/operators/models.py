@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime, timezone
+from threading import Lock, get_ident
 
 from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
@@ -61,6 +62,11 @@ def usable_rows(rows: DataFrame, feature_cols: Sequence[str]) -> DataFrame:
     return rows.na.drop(subset=needed) if needed else rows
 
 
+def in_few_tasks(rows: DataFrame) -> DataFrame:
+    """Few rows in few tasks, since every level of a tree is a job. `rows` are persisted or come from files."""
+    return rows.coalesce(max(1, rows.count() // ROWS_PER_TASK))
+
+
 def run_fold(
     train: DataFrame, test: DataFrame, model_name: str, variant: str, feature_cols: Sequence[str],
     overrides: dict | None = None,
@@ -76,6 +82,28 @@ def run_fold(
     )
 
 
+class _Boundary:
+    """The train and test rows of a boundary, read and joined once and kept while fits at it are left to do."""
+
+    def __init__(self, start: date, fits: int, read: Callable[[], tuple[DataFrame, DataFrame]]):
+        self.start, self.left, self.read, self.sides, self.lock = start, fits, read, None, Lock()
+
+    def open(self) -> tuple[DataFrame, DataFrame]:
+        with self.lock:
+            if self.sides is None:
+                train, test = (side.persist() for side in self.read())
+                self.sides = in_few_tasks(train), test, train
+            return self.sides[:2]
+
+    def close(self) -> None:
+        with self.lock:
+            self.left -= 1
+            if not self.left and self.sides is not None:
+                for side in self.sides[1:]:
+                    side.unpersist()
+                self.sides = None
+
+
 def outcomes(spark: SparkSession, folder: str) -> DataFrame:
     """What has become of every fit in the folder."""
     try:
@@ -88,15 +116,17 @@ def outcomes(spark: SparkSession, folder: str) -> DataFrame:
 
 def run_experiments(
     ranged: DataFrame, boundaries: Sequence[date], experiments: Sequence[tuple[str, str, Sequence[str]]],
-    garch: DataFrame | None = None, overrides: dict | None = None, parallelism: int = 4, folder: str | None = None,
+    garch: DataFrame | None = None, overrides: dict | None = None, in_flight: int | None = None,
+    folder: str | None = None,
 ) -> DataFrame | None:
     """Test predictions of every (model, variant, columns) at every boundary; None when none had enough rows.
 
-    A boundary's rows are read and joined once and kept while all experiments are fitted on them. Each fit is a set of
-    cluster-wide jobs; up to `parallelism` boundaries are in flight, a number that should follow the cluster. Predictions
-    are written as each fit finishes and read back as one table, so they neither pile up in a plan nor pass the driver.
-    A failed fit is recorded in `outcomes` and the others go on. Called again with the same `folder`, only fits that are
-    missing there or failed are run.
+    The fits wait in one queue, the latest boundaries, whose training sets are longest, first. A fit is a chain of small
+    jobs, so as many are in flight as the cluster has cores for them (`in_flight`, by default a fit per core divided by
+    the tasks of the largest fit), each in a pool of its own: under the FAIR scheduler none waits for another's stages.
+    A boundary's rows are kept while its fits are under way. Predictions are written as each fit finishes and read back
+    as one table, so they neither pile up in a plan nor pass the driver. A failed fit is recorded in `outcomes` and the
+    others go on. Called again with the same `folder`, only fits that are missing there or failed are run.
     """
     spark = ranged.sparkSession
     base = folder or new_working_path(spark, "predictions")
@@ -104,37 +134,39 @@ def run_experiments(
     columns = list(dict.fromkeys(c for *_, names in experiments for c in names))
     uses_garch = bool(set(GARCH_FEATURES) & set(columns))
 
-    def at(boundary: date) -> list[tuple]:
+    def sides(boundary: date) -> tuple[DataFrame, DataFrame]:
+        train, test = fold_rows(ranged, boundary, garch if uses_garch else None)
+        kept = [SERIES, DATE, TARGET, *columns]
+        return train.select(kept), test.select(*kept, "fold_id")
+
+    queue = []
+    for boundary in sorted(set(boundaries), reverse=True):
         left = [e for e in experiments if done.get((e[0], e[1], boundary), FAILED).startswith(FAILED)]
-        if not left:
-            return []
-        train, test = (
-            side.select(SERIES, DATE, TARGET, *columns, *(["fold_id"] if number else [])).persist()
-            for number, side in enumerate(fold_rows(ranged, boundary, garch if uses_garch else None))
-        )
-        # few rows need few tasks: every tree level is a job
-        small = train.coalesce(max(1, train.count() // ROWS_PER_TASK))
-        results = []
+        shared = _Boundary(boundary, len(left), lambda boundary=boundary: sides(boundary))
+        queue += [(shared, experiment) for experiment in left]
+
+    def fit(job: tuple[_Boundary, tuple]) -> str:
+        shared, (name, variant, names) = job
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"fit-{get_ident()}")
         try:
-            for name, variant, names in left:
-                try:
-                    predicted = run_fold(small, test, name, variant, names, overrides)
-                    if predicted is not None:
-                        predicted.write.mode("overwrite").parquet(f"{base}/predictions/{name}/{variant}/{boundary}")
-                    status = TOO_FEW if predicted is None else FITTED
-                except Exception as cause:  # noqa: BLE001  one bad fit must not cost the others
-                    status = f"{FAILED}: {str(cause)[:300]}"
-                row = [(name, variant, boundary, status, datetime.now(timezone.utc))]
-                told = spark.createDataFrame(row, FIT_OUTCOMES).coalesce(1)
-                told.write.mode("overwrite").parquet(f"{base}/outcomes/{name}/{variant}/{boundary}")
-                results.append(status)
+            predicted = run_fold(*shared.open(), name, variant, names, overrides)
+            if predicted is not None:
+                predicted.write.mode("overwrite").parquet(f"{base}/predictions/{name}/{variant}/{shared.start}")
+            status = TOO_FEW if predicted is None else FITTED
+        except Exception as cause:  # noqa: BLE001  one bad fit must not cost the others
+            status = f"{FAILED}: {str(cause)[:300]}"
         finally:
-            train.unpersist()
-            test.unpersist()
-        return results
-
-    with ThreadPoolExecutor(parallelism) as pool:
-        statuses = [s for found in pool.map(at, boundaries) for s in found] + list(done.values())
+            shared.close()
+        row = [(name, variant, shared.start, status, datetime.now(timezone.utc))]
+        told = spark.createDataFrame(row, FIT_OUTCOMES).coalesce(1)
+        told.write.mode("overwrite").parquet(f"{base}/outcomes/{name}/{variant}/{shared.start}")
+        return status
+
+    if in_flight is None:
+        tasks = max(1, ranged.count() // ROWS_PER_TASK) if queue else 1
+        in_flight = max(1, spark.sparkContext.defaultParallelism // tasks)
+    with ThreadPoolExecutor(in_flight) as pool:
+        statuses = list(pool.map(fit, queue)) + list(done.values())
     if FITTED not in statuses:
         return None
     reader = spark.read.schema(PREDICTIONS).option("recursiveFileLookup", True)
@@ -142,5 +174,9 @@ def run_experiments(
 
 
 def refit(frame: DataFrame, model_name: str, feature_cols: Sequence[str], overrides: dict | None = None) -> PipelineModel:
-    """The final fit on all history."""
-    return make_pipeline(model_name, feature_cols, overrides).fit(frame)
+    """The final fit on all history, read once."""
+    kept = frame.persist()
+    try:
+        return make_pipeline(model_name, feature_cols, overrides).fit(in_few_tasks(kept))
+    finally:
+        kept.unpersist()

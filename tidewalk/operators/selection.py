@@ -87,15 +87,24 @@ def promotion_gate(
     )
 
 
-def publish(registry: DataFrame, challenger: DataFrame, name: str = REGISTERED_MODEL_NAME) -> DataFrame:
+def production_artifact(registry: DataFrame, name: str = REGISTERED_MODEL_NAME) -> str | None:
+    """Where the latest Production version's model is; None when there is none."""
+    latest = registry.filter((F.col("name") == name) & (F.col("stage") == PRODUCTION)).orderBy(F.desc("version")).first()
+    return None if latest is None else latest.tags["artifact"]
+
+
+def publish(
+    registry: DataFrame, challenger: DataFrame, name: str = REGISTERED_MODEL_NAME, artifact: str | None = None
+) -> DataFrame:
     """The next registry snapshot: the challenger as a new Production version, earlier ones archived.
 
-    Write it to a new path; a snapshot is never changed in place.
+    `artifact` is where its model is. A snapshot is never changed in place; `sources.commits` makes it visible.
     """
     tags = F.create_map(
         F.lit("mean_ic_pearson"), F.col("mean_ic_pearson").cast("string"),
         F.lit("positive_fold_pct"), F.col("positive_fold_pct").cast("string"),
         F.lit("source_run_id"), F.col("run_id"),
+        *([F.lit("artifact"), F.lit(artifact)] if artifact is not None else []),
     )
     entry = challenger.select(
         F.lit(name).alias("name"), F.lit(None).cast("int").alias("version"), F.lit(PRODUCTION).alias("stage"),

@@ -1,18 +1,21 @@
 """GARCH(1,1) volatility with Student-t errors, fitted per series and fold.
 
-Spark holds one row per (series, fold) with the training returns as an array of doubles (at most one a day), spreads
-those rows over the cluster and fits them in Arrow batches. Nothing else leaves the JVM: forecasts are a closed form
-over row numbers.
+Spark holds one row per series with its returns (at most one a day) and the ends of its nested training windows, deals
+the series to the cluster and fits a series' windows in one pass, each from the one before. Nothing else leaves the
+JVM: forecasts are a closed form over row numbers.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import asdict
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import ArrayType, DateType, DoubleType, StructField, StructType
 
 from tidewalk.config import DATE, SERIES, GarchParams
 from tidewalk.functions.numeric import ratio
@@ -45,62 +48,105 @@ def history_by_series(returns: DataFrame) -> DataFrame:
     )
 
 
-FITS_PER_TASK = 500  # some tens of seconds
+SERIES_PER_TASK = 50  # some tens of seconds for a decade of monthly folds each
 
 
-def fit_partitions(spark: SparkSession, fits: int = 0) -> int:
-    return max(spark.sparkContext.defaultParallelism, -(-fits // FITS_PER_TASK))
+def fit_partitions(spark: SparkSession, series: int) -> int:
+    return max(spark.sparkContext.defaultParallelism, -(-series // SERIES_PER_TASK))
 
 
-def training_windows(returns: DataFrame, folds: DataFrame, fits: int | None = None) -> DataFrame:
-    """(series, fold) with the returns up to the fold's embargo date, spread evenly for fitting.
+def _spread(windows: DataFrame) -> DataFrame:
+    """Series dealt evenly to tasks. The width is explicit: adaptive execution would merge partitions by their few bytes,
+    but a fit costs CPU, not bytes."""
+    n = windows.select(SERIES).distinct().count()
+    return windows.repartition(fit_partitions(windows.sparkSession, n), SERIES)
 
-    The shuffle moves one packed array per fold instead of a row per fold and day. Its width is explicit: adaptive
-    execution would merge partitions by their few bytes, but a fit costs CPU, not bytes. `fits` is the number of folds;
-    they are counted if it is not given.
+
+def training_windows(returns: DataFrame, folds: DataFrame) -> DataFrame:
+    """One row per series: its history and its windows (upto, fold_id, train_end), by the day they end.
+
+    A series' training sets are nested, so its history travels once, whatever the number of folds; a window is the part
+    of it up to the fold's embargo date. A calendar bounds both arrays.
     """
-    fits = folds.count() if fits is None else fits
-    upto = F.filter("history", lambda p: p["day"] <= F.col("embargo_date"))
-    return (
-        folds.select(SERIES, "fold_id", "train_end", "embargo_date")
-        .join(history_by_series(returns), SERIES)
-        .select(SERIES, "fold_id", "train_end", upto.alias("history"))
-        .repartition(fit_partitions(folds.sparkSession, fits), SERIES, "fold_id")
-    )
+    window = F.struct(F.col("embargo_date").alias("upto"), "fold_id", "train_end")
+    by_series = folds.groupBy(SERIES).agg(F.array_sort(F.collect_list(window)).alias("windows"))
+    return _spread(history_by_series(returns).join(by_series, SERIES))
 
 
 def full_window(returns: DataFrame) -> DataFrame:
-    """The whole history as one training window per series."""
-    series = returns.select(SERIES).distinct().count()
-    return history_by_series(returns).repartition(fit_partitions(returns.sparkSession, series), SERIES)
+    """One row per series whose one window is the whole history."""
+    whole = F.array(F.struct(F.element_at("history", -1)["day"].alias("upto")))
+    return _spread(history_by_series(returns).withColumn("windows", whole))
+
+
+def _window_keys(windows: DataFrame) -> list[StructField]:
+    """The columns that tell a window from the others of its series."""
+    return [field for field in windows.schema["windows"].dataType.elementType if field.name != "upto"]
+
+
+def _per_window(windows: DataFrame, result: StructType, run: Callable[[np.ndarray, list[int]], Iterator[dict]]) -> DataFrame:
+    """One row per series and window: keys and what `run` gives for the window, from one pass over the series.
 
+    `run` gets a series' percent returns and the lengths of its windows, in order. `days` are those of the window where
+    `result` has them. Rows leave the task as they are made, so it holds one history and one window's arrays at a time.
+    """
+    keys = _window_keys(windows)
+    schema = StructType([windows.schema[SERIES], *keys, *result.fields])
+    arrow, with_days = to_arrow_schema(schema), "days" in result.fieldNames()
 
-@F.pandas_udf(GARCH_FIT)
-def _fit(returns: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([garch_math.fit_row(np.asarray(r, dtype=float)) for r in returns])
+    def passes(batches):
+        for batch in batches:
+            for row in range(batch.num_rows):
+                history, ends = batch.column("history")[row].values, batch.column("windows")[row].as_py()
+                days = history.field("day").to_numpy(zero_copy_only=False)
+                returns = history.field("ret").to_numpy(zero_copy_only=False)
+                sizes = np.searchsorted(days, np.array([w["upto"] for w in ends], days.dtype), side="right").tolist()
+                for window, size, found in zip(ends, sizes, run(returns, sizes)):
+                    told = {SERIES: batch.column(SERIES)[row], **window, **found}
+                    if with_days:
+                        told["days"] = history.field("day").slice(0, size)
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array([_plain(told[field.name])], field.type) for field in arrow
+                    ], schema=arrow)
 
+    return windows.select(SERIES, "history", "windows").mapInArrow(passes, schema)
 
-def _filter_with(params: GarchParams):
-    @F.pandas_udf(GARCH_FIT)
-    def run(returns: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([
-            garch_math.describe(np.asarray(r, dtype=float), asdict(params), "fixed", None) for r in returns
-        ])
 
-    return run
+def _plain(value):
+    return value.as_py() if isinstance(value, pa.Scalar) else value
 
 
 def garch_fit(windows: DataFrame, fixed: GarchParams | None = None) -> DataFrame:
-    """Parameters, in-sample volatility path and next-step variance per window.
+    """Parameters, certificate, in-sample volatility path and next-step variance per window.
 
+    A window's search starts, among others, at the estimate of the window before it, which holds most of its returns.
     A failed fit keeps its row: NULL parameters, NULL path, and the cause in `status`. Give `fixed` to run the
-    recursion with known parameters.
+    recursion with known parameters; a window with at least the start-up rows is then a prefix of one path.
     """
-    run = _filter_with(fixed) if fixed else _fit
-    values = F.transform("history", lambda p: p["ret"])
-    return windows.withColumn("fit", run(values)).select(
-        *[c for c in windows.columns if c != "history"], F.transform("history", lambda p: p["day"]).alias("days"), "fit.*"
-    )
+    def fitted(returns: np.ndarray, sizes: list[int]) -> Iterator[dict]:
+        near = None
+        for size in sizes:
+            row, found = garch_math.fit_row(returns[:size], near)
+            near = found or near
+            yield row
+
+    def filtered(returns: np.ndarray, sizes: list[int]) -> Iterator[dict]:
+        for size in sizes:
+            yield garch_math.describe(returns[:size], asdict(fixed), "fixed")
+
+    days = StructField("days", ArrayType(DateType()))
+    return _per_window(windows, StructType([days, *GARCH_FIT.fields]), filtered if fixed else fitted)
+
+
+def garch_loglik(windows: DataFrame, sets: Sequence[GarchParams]) -> DataFrame:
+    """The log likelihood of every window under each of some parameter sets, as `loglik_1`, `loglik_2` and so on."""
+    names = [f"loglik_{n}" for n in range(1, len(sets) + 1)]
+
+    def told(returns: np.ndarray, sizes: list[int]) -> Iterator[dict]:
+        for size in sizes:
+            yield {name: -garch_math.neg_loglik(returns[:size], **asdict(params)) for name, params in zip(names, sets)}
+
+    return _per_window(windows, StructType([StructField(name, DoubleType()) for name in names]), told)
 
 
 def garch_path(fits: DataFrame) -> DataFrame:

@@ -14,12 +14,13 @@ from pyspark.sql import functions as F
 
 from tidewalk.config import (
     BASE_FEATURES, FEATURE_VARIANTS, KNOWN_GAPS, REGISTERED_MODEL_NAME, TARGET, FoldSettings, GapPatch, GarchParams, MarketNames,
+    variant_uses_garch,
 )
 from tidewalk.functions import round_f
 from tidewalk.operators import (
-    assembly, derivatives, folds, metrics, models, participants, returns, scoring, selection, volatility,
+    assembly, derivatives, folds, metrics, models, participants, returns, scoring, selection, tree_tables, volatility,
 )
-from tidewalk.plans import cross_validation, promotion
+from tidewalk.plans import cross_validation, promotion, refresh
 from tidewalk.plans.daily_features import DELTAS, daily_features, joined_features, participant_columns
 from tidewalk.schemas import PREDICTIONS, RUNS, SNAPSHOT
 from tidewalk.sources import proxies, tables
@@ -28,14 +29,18 @@ from tidewalk.streaming.scoring import read_stream, score_stream
 NAMES = MarketNames()
 MANY = 16
 GARCH = GarchParams(mu=0.05, omega=2.0, alpha=0.1, beta=0.85)
+GARCH_RIVALS = (
+    GarchParams(mu=0.05, omega=2.0, alpha=0.1, beta=0.85, nu=8.0), GarchParams(mu=0.0, omega=50.0, alpha=0.2, beta=0.5, nu=5.0),
+    GarchParams(mu=-0.1, omega=500.0, alpha=0.02, beta=0.4, nu=30.0),
+)
 TEST_GAPS = (
     GapPatch("1996-06-08", "fii_fut_net_pct", ("fii_fut_net_pct", "client_fut_net_pct", "fii_pe_net_pct"),
              ("1996-06-07", "1996-06-09")),
     GapPatch("1997-03-17", "adv_decl_ratio", ("adv_decl_ratio", "pcr"), ("1997-03-16", "1997-03-18")),
 )
+FIRST_DAYS = ("1996-06-08", "1997-06-30")
 SHORT_FOLDS = FoldSettings(min_train_boundaries=12, embargo_rows=5, min_train_rows=20, min_test_rows=1)
 LINE_INPUTS = ("close", "close_chg_5d")
-STUMP_BOUNDARIES = 12
 LINE_MODELS = ("last_label", "moved_label", "least_squares")
 
 QUERIES = {}
@@ -313,6 +318,30 @@ def snapshot_roundtrip(spark, sf_dir):
     return tables.read_snapshot(spark, path)
 
 
+@query
+def snapshot_order(spark, sf_dir):
+    """The keys of an ordered snapshot in the order in which they lie in its files."""
+    path = tables.new_working_path(spark, "ordered")
+    tables.write_ordered(joined_features(_market(spark, sf_dir, MANY)).select("series_id", "trade_date", "nifty_close"), path)
+    return tables.in_file_order(spark.read.parquet(path)).select("series_id", "trade_date", "place")
+
+
+@query
+def daily_features_refreshed(spark, sf_dir):
+    """Many series, written up to two days in the past one after the other and then brought up to date: a day before the
+    neighbour of a patched day, and a year later."""
+    path, patches = tables.new_working_path(spark, "monthly"), (*KNOWN_GAPS, *TEST_GAPS)
+    market = _market(spark, sf_dir, MANY)
+
+    def upto(day):
+        return {n: t.where(F.col("trade_date") <= day) if "trade_date" in t.columns else t for n, t in market.items()}
+
+    refresh.write_monthly(daily_features(upto(FIRST_DAYS[0]), patches=patches), path)
+    for sources in (upto(FIRST_DAYS[1]), market):
+        refresh.refresh(sources, path, patches=patches)
+    return refresh.read_monthly(spark, path).drop(refresh.MONTH)
+
+
 # -- boundaries and folds ---------------------------------------------------------------------------------------
 
 @query
@@ -544,22 +573,27 @@ def garch_fill(spark, sf_dir):
 
 @query
 def garch_fit(spark, sf_dir):
-    """Fitted parameters of every walk-forward fold."""
+    """Fitted parameters of every walk-forward fold, with the size of the score there and the steps of the search."""
     fits = volatility.garch_fit(_fold_windows(spark, sf_dir))
     return fits.select(
-        "series_id", "fold_id", "status", "mu", "omega", "alpha", "beta", "nu", "loglik",
+        "series_id", "fold_id", "status", "mu", "omega", "alpha", "beta", "nu", "loglik", "score", "steps",
         F.size("sigma").alias("n_returns"),
     )
 
 
 @query
 def garch_fit_checks(spark, sf_dir):
-    """What must hold for the fit of every fold: its returns are all used and its parameters are stationary."""
-    fits = volatility.garch_fit(_fold_windows(spark, sf_dir))
+    """What must hold for the fit of every fold: its returns are all used, its parameters are stationary, it is certified
+    as a maximum, and its log likelihood is above those of three given parameter sets, which are told."""
+    windows = tables.materialise(_fold_windows(spark, sf_dir), "windows")
     stationary = (F.col("omega") > 0) & (F.col("alpha") >= 0) & (F.col("beta") >= 0) & (F.col("alpha") + F.col("beta") < 1)
+    rivals = [f"loglik_{n}" for n in range(1, len(GARCH_RIVALS) + 1)]
+    fits = volatility.garch_fit(windows).join(volatility.garch_loglik(windows, GARCH_RIVALS), ["series_id", "fold_id", "train_end"])
     return fits.select(
         "series_id", "fold_id", F.size("sigma").cast("long").alias("n_returns"),
         (stationary & (F.col("nu") > 2) & F.col("loglik").isNotNull()).alias("sound"),
+        (F.col("status") == "ok").alias("certified"), (F.col("loglik") >= F.greatest(*rivals)).alias("beats_all"),
+        *[round_f(F.col(name), 6).alias(name) for name in rivals],
     )
 
 
@@ -572,20 +606,39 @@ def _walk_forward(spark, sf_dir, with_garch):
     return cross_validation.prepare(snapshot, boundaries, (TARGET, *BASE_FEATURES), with_garch=with_garch)
 
 
+def _forest_cv(spark, sf_dir, variant):
+    work = _walk_forward(spark, sf_dir, variant_uses_garch(variant))
+    predicted = cross_validation.predictions(work, ["random_forest"], {variant: FEATURE_VARIANTS[variant]})
+    return metrics.fold_metrics(spark.createDataFrame([], PREDICTIONS) if predicted is None else predicted)
+
+
 @query
 def cv_random_forest(spark, sf_dir):
-    """The forest with its published settings over all folds, with and without volatility."""
-    work = _walk_forward(spark, sf_dir, True)
-    predicted = cross_validation.predictions(work, ["random_forest"], FEATURE_VARIANTS)
-    return metrics.fold_metrics(spark.createDataFrame([], PREDICTIONS) if predicted is None else predicted)
+    """The forest with its published settings over all folds."""
+    return _forest_cv(spark, sf_dir, "baseline_full")
+
+
+@query
+def cv_random_forest_garch(spark, sf_dir):
+    """The same with the folds' volatility."""
+    return _forest_cv(spark, sf_dir, "baseline_full_garch")
+
+
+def _audited(spark, scored, rows, model, columns):
+    """The scored rows with the difference to scores by the model's table of nodes."""
+    keys, levels = ["series_id", "trade_date"], model.stages[-1].getMaxDepth()
+    nodes = tables.materialise(tree_tables.node_table(spark, model), "nodes")
+    valid, _ = scoring.split_valid(rows, columns)
+    return tree_tables.scoring_difference(scored, tree_tables.score_by_nodes(valid, nodes, columns, keys, levels), keys)
 
 
 def _boosted(spark, sf_dir, name):
-    """One fit of a boosted family with its published settings on all history, and its score of every complete day."""
+    """One fit of a boosted family with its published settings on all history, and its score of every complete day,
+    told as the difference to the score by the table of its nodes."""
     snapshot = tables.materialise(daily_features(_market(spark, sf_dir)), "snapshot")
-    frame = folds.model_frame(snapshot, [TARGET, *BASE_FEATURES])
-    model = models.refit(tables.materialise(frame.coalesce(1), "refit"), name, BASE_FEATURES)
-    return scoring.score(snapshot, model, name, "baseline_full", BASE_FEATURES)
+    model = models.refit(folds.model_frame(snapshot, [TARGET, *BASE_FEATURES]), name, BASE_FEATURES)
+    scored = scoring.score(snapshot, model, name, "baseline_full", BASE_FEATURES)
+    return _audited(spark, scored, snapshot, model, BASE_FEATURES)
 
 
 @query
@@ -609,18 +662,21 @@ def _fitted(spark, sf_dir):
         folds.model_frame(snapshot, [TARGET, *BASE_FEATURES]), "baseline_full_garch"
     )
     columns = FEATURE_VARIANTS["baseline_full_garch"]
-    model = models.refit(tables.materialise(frame.coalesce(1), "refit"), "random_forest", columns)
+    model = models.refit(frame, "random_forest", columns)
     return snapshot, model, columns, tables.materialise(promotion.serving_state(snapshot), "garch-state")
 
 
 @query
 def refit_and_score(spark, sf_dir):
+    """The forest with volatility, fitted on all history: its scores' difference to those by the table of its nodes."""
     snapshot, model, columns, state = _fitted(spark, sf_dir)
-    return scoring.score(snapshot, model, "random_forest", "baseline_full_garch", columns, state)
+    scored = scoring.score(snapshot, model, "random_forest", "baseline_full_garch", columns, state)
+    return _audited(spark, scored, scoring.fill_garch(snapshot, state), model, columns)
 
 
 @query
 def stream_score(spark, sf_dir):
+    """The same of rows that a stream scores from files and writes to files."""
     snapshot, model, columns, state = _fitted(spark, sf_dir)
     inbox, base = (tables.new_working_path(spark, label) for label in ("inbox", "stream"))
     tables.write_snapshot(snapshot, inbox)
@@ -631,7 +687,7 @@ def stream_score(spark, sf_dir):
     )
     for stream in running:
         stream.awaitTermination()
-    return spark.read.parquet(f"{base}/scored")
+    return _audited(spark, spark.read.parquet(f"{base}/scored"), scoring.fill_garch(snapshot, state), model, columns)
 
 
 @query
@@ -668,11 +724,11 @@ def _stump_frame(spark, sf_dir):
 
 @query
 def stump_cv(spark, sf_dir):
-    """Every family as one split, over the first folds of all series: the fits' predictions."""
+    """Every family as one split, over all folds of all series: the fits' predictions."""
     frame = _stump_frame(spark, sf_dir)
     built = tables.materialise(folds.build_folds(frame, _priority_boundaries(spark, sf_dir)), "folds")
     ranged = tables.materialise(folds.with_fold_ranges(frame, built), "ranged", ["trade_date"])
-    starts = cross_validation.WalkForward(ranged, built, None).boundaries()[:STUMP_BOUNDARIES]
+    starts = cross_validation.WalkForward(ranged, built, None).boundaries()
     found = [
         models.run_experiments(ranged, starts, [(name, "month", ["month"])], overrides=settings)
         for name, settings in STUMP.items()

@@ -63,13 +63,13 @@ def prepare(
 def predictions(
     work: WalkForward, model_names: Sequence[str] = tuple(MODELS),
     variants: Mapping[str, Sequence[str]] = FEATURE_VARIANTS, boundaries: Sequence[date] | None = None,
-    overrides: dict | None = None, parallelism: int = 4, folder: str | None = None,
+    overrides: dict | None = None, in_flight: int | None = None, folder: str | None = None,
 ) -> DataFrame | None:
     """Test predictions of all experiments; give `folder` to resume a run that was cut off."""
     experiments = [(name, variant, columns) for name in model_names for variant, columns in variants.items()]
     return models.run_experiments(
         work.ranged, work.boundaries() if boundaries is None else boundaries, experiments, work.garch, overrides,
-        parallelism, folder,
+        in_flight, folder,
     )
 
 
@@ -92,8 +92,8 @@ def log_runs(
     """Write one row per experiment to `runs` and its folds to `fold_results`; returns the rows of `runs`.
 
     Every experiment of the grid has a row: `no_valid_folds` without any prediction, else `ok`, also when no fold has
-    an information coefficient. Writing a group again replaces that group and no other. The fold results also go out as
-    CSV, and the ranked report as CSV and JSON.
+    an information coefficient. Writing a group again replaces that group and no other: every output has a folder
+    `run_group=` of its own. The fold results also go out as CSV, and the ranked report as CSV and JSON.
     """
     spark = summary.sparkSession
     requested = folds.select("train_end").distinct().count()
@@ -117,16 +117,21 @@ def log_runs(
         run_id, "model_name", "feature_variant", "series_id", F.col("fold_id").alias("fold"), "test_start",
         *metrics.METRICS, "n_test",
     )
-    runs.write.mode("overwrite").parquet(f"{root}/runs/run_group={run_group}")
-    fold_rows.write.mode("overwrite").parquet(f"{root}/fold_results/run_group={run_group}")
-    tables.write_csv(fold_rows, f"{root}/csv/fold_results")
-    tables.write_csv(selection.report(summary), f"{root}/csv/cv_metrics")
-    tables.write_json(selection.report(summary), f"{root}/json/cv_metrics")
+    runs.write.mode("overwrite").parquet(of_group(root, "runs", run_group))
+    fold_rows.write.mode("overwrite").parquet(of_group(root, "fold_results", run_group))
+    tables.write_csv(fold_rows, of_group(root, "csv/fold_results", run_group))
+    tables.write_csv(selection.report(summary), of_group(root, "csv/cv_metrics", run_group))
+    tables.write_json(selection.report(summary), of_group(root, "json/cv_metrics", run_group))
     tables.write_json(
         selection.pick_winner(runs).select(
             "run_id", "model_name", "feature_variant", "feature_cols", "mean_ic_pearson", "positive_fold_pct",
             "meets_threshold", "n_folds",
         ),
-        f"{root}/json/best_config",
+        of_group(root, "json/best_config", run_group),
     )
     return runs
+
+
+def of_group(root: str, output: str, run_group: str) -> str:
+    """Where an output of a run group is; reading the folder above gives all groups with a `run_group` column."""
+    return f"{root}/{output}/run_group={run_group}"

@@ -7,10 +7,11 @@ timeline, its counterpart here is a plain range join or a correlated count. `REL
 
 from __future__ import annotations
 
+import math
 import re
 
 from tidewalk.config import BASE_FEATURES, KNOWN_GAPS, REGISTERED_MODEL_NAME
-from tidewalk.plans.catalog import GARCH, LINE_INPUTS, MANY, SHORT_FOLDS, STUMP_BOUNDARIES, TEST_GAPS
+from tidewalk.plans.catalog import GARCH, GARCH_RIVALS, LINE_INPUTS, MANY, SHORT_FOLDS, TEST_GAPS
 from tidewalk.plans.daily_features import DELTAS, PIVOT_COLUMNS
 from tidewalk.schemas import SNAPSHOT
 
@@ -363,6 +364,25 @@ RELATIONS |= {
         SELECT series_id, fold_id, trade_date, sigma,
                sigma - coalesce(lag(sigma) OVER (PARTITION BY series_id, fold_id ORDER BY h), last_sigma) AS chg
         FROM forecast0""",
+    "rivals": "SELECT * FROM (VALUES " + ", ".join(
+        f"('loglik_{n}', {p.mu}::DOUBLE, {p.omega}::DOUBLE, {p.alpha}::DOUBLE, {p.beta}::DOUBLE, {p.nu}::DOUBLE)"
+        for n, p in enumerate(GARCH_RIVALS, 1)
+    ) + ") r(rival, mu, omega, alpha, beta, nu)",
+    "rivals_resid": "SELECT rival, series_id, trade_date, pos, log_ret * 100 - mu AS e FROM rets, rivals WHERE pos > 0",
+    "rivals_past": """
+        SELECT rival, series_id, sum(e * e * pow(0.94::DOUBLE, pos - 1)) / sum(pow(0.94::DOUBLE, pos - 1)) AS v0
+        FROM rivals_resid WHERE pos <= 75 GROUP BY ALL""",
+    # A fold has at least 99 returns, so its variances are the first ones of its series.
+    "rivals_variance": """
+        SELECT rival, series_id, 1::BIGINT AS pos, omega + (alpha + beta) * v0 AS v FROM rivals_past JOIN rivals USING (rival)
+        UNION ALL
+        SELECT rival, series_id, p.pos + 1, r.omega + r.alpha * d.e * d.e + r.beta * p.v
+        FROM rivals_variance p JOIN rivals_resid d USING (rival, series_id, pos) JOIN rivals r USING (rival)""",
+    "rivals_loglik": f"""
+        SELECT rival, series_id, trade_date,
+               lgamma((nu + 1) / 2) - lgamma(nu / 2) - 0.5 * ln({math.pi!r}::DOUBLE * (nu - 2)) - 0.5 * ln(v)
+                   - (nu + 1) / 2 * ln(1 + e * e / (v * (nu - 2))) AS l
+        FROM rivals_variance JOIN rivals_resid USING (rival, series_id, pos) JOIN rivals USING (rival)""",
     "dframe": f"""
         SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY trade_date) - 1 AS pos FROM daily_1
         WHERE {' AND '.join(f'{c} IS NOT NULL' for c in ['fwd_ret_20d', *BASE_FEATURES])}""",
@@ -417,14 +437,24 @@ def _stump(rows: str, keys: str) -> str:
         WHERE nl < n) {using}"""
 
 
-_stump_rows = f"""
+_stump_rows = """
     SELECT train_end, month(trade_date) AS x, fwd_ret_20d AS y
     FROM pfolds JOIN members USING (series_id, fold_id) JOIN pframe USING (series_id, trade_date)
-    WHERE role = 'train' AND train_end IN (SELECT DISTINCT train_end FROM pfolds ORDER BY 1 LIMIT {STUMP_BOUNDARIES})"""
+    WHERE role = 'train'"""
 _stump_scores = f"""
     SELECT series_id, trade_date, round(CASE WHEN month(trade_date) <= cut THEN low ELSE high END, 6) AS prediction
     FROM pfeat, ({_stump('SELECT month(trade_date) AS x, fwd_ret_20d AS y FROM pframe', '')}) WHERE day(trade_date) <> 13"""
 
+
+
+def _no_difference(model: str, variant: str) -> str:
+    """Every complete day, scored alike in both ways."""
+    return f"""
+        SELECT series_id, trade_date, 'fwd_ret_20d' AS target, '{model}' AS model_name, '{variant}' AS feature_variant,
+               0::DOUBLE AS difference
+        FROM daily_1 WHERE {_complete}"""
+
+
 FINAL = {
     "forward_returns": _returns("(SELECT series_id, trade_date, close FROM levels_1)"),
     "forward_returns_many_series": _returns("segment"),
@@ -463,6 +493,9 @@ FINAL = {
     "daily_features_single": f"{_DAILY} FROM daily_1",
     "daily_features_many_series": f"{_DAILY} FROM daily_m",
     "snapshot_roundtrip": f"{_DAILY} FROM daily_1",
+    "snapshot_order": """
+        SELECT series_id, trade_date, row_number() OVER (ORDER BY trade_date, series_id) AS place FROM joined_m""",
+    "daily_features_refreshed": f"{_DAILY} FROM daily_m",
     "monthly_boundaries": "SELECT * FROM pbounds",
     "model_frame": "SELECT series_id, trade_date, pos, fwd_ret_20d, pcr, basis_chg_5d FROM dframe",
     "asof_position": f"""
@@ -546,12 +579,19 @@ FINAL = {
         SELECT p.series_id, p.trade_date, close, {_GARCH8} FROM pfeat p
         LEFT JOIN (SELECT * FROM path QUALIFY row_number() OVER (PARTITION BY series_id ORDER BY pos DESC) = 1)
         USING (series_id)""",
+    **{f"refit_{name}": _no_difference(name, "baseline_full") for name in ("xgboost", "lightgbm", "catboost")},
+    "refit_and_score": _no_difference("random_forest", "baseline_full_garch"),
+    "stream_score": _no_difference("random_forest", "baseline_full_garch"),
     "missing_features": f"SELECT series_id, trade_date, concat_ws(',', {_missing}) AS missing FROM daily_1",
     "sample_row": f"""{_DAILY} FROM daily_1 WHERE {_complete}
         ORDER BY md5(series_id || '|' || CAST(trade_date AS VARCHAR) || '|7'), series_id, trade_date LIMIT 1""",
-    "garch_fit_checks": """
-        SELECT series_id, fold_id, count(*) AS n_returns, true AS sound FROM pfolds JOIN rets USING (series_id)
-        WHERE trade_date <= embargo_date AND log_ret IS NOT NULL GROUP BY ALL""",
+    "garch_fit_checks": f"""
+        SELECT series_id, fold_id, n_returns, true AS sound, true AS certified, true AS beats_all,
+               {', '.join(f'round(loglik_{n}, 6) AS loglik_{n}' for n in range(1, len(GARCH_RIVALS) + 1))}
+        FROM (SELECT series_id, fold_id, rival, count(*) AS n_returns, sum(l) AS l
+              FROM pfolds JOIN rivals_loglik USING (series_id) WHERE trade_date <= embargo_date GROUP BY ALL)
+        PIVOT (any_value(l) FOR rival IN ({', '.join(f"'loglik_{n}'" for n in range(1, len(GARCH_RIVALS) + 1))})
+               GROUP BY series_id, fold_id, n_returns)""",
     "stump_cv": f"""
         SELECT n.model_name, 'month' AS feature_variant, series_id, fold_id, trade_date,
                round(CASE WHEN month(trade_date) <= cut THEN low ELSE high END, 6) AS prediction

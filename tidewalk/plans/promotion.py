@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
@@ -13,7 +14,7 @@ from tidewalk.config import BASE_FEATURES, GARCH_FEATURES, TARGET, GateSettings,
 from tidewalk.operators import folds as fold_ops
 from tidewalk.operators import models, selection, volatility
 from tidewalk.plans.cross_validation import run_parameters
-from tidewalk.sources import tables
+from tidewalk.sources import commits, tables
 
 
 def garch_final(frame: DataFrame, price: str = "nifty_close") -> DataFrame:
@@ -40,11 +41,18 @@ def load_artifact(spark: SparkSession, path: str) -> tuple[PipelineModel, dict]:
 
 
 def promote(
-    challenger: DataFrame, registry: DataFrame, snapshot: DataFrame, artifact_path: str, registry_path: str,
+    challenger: DataFrame, registry_root: str, snapshot: DataFrame, models_root: str,
     gate: GateSettings = GateSettings(), required: Sequence[str] = (TARGET, *BASE_FEATURES),
     overrides: dict | None = None,
 ) -> list[str]:
-    """Refit and publish the challenger if it passes; returns the reasons it did not, and then writes nothing."""
+    """Refit and publish the challenger if it passes; returns the reasons it did not, and then writes nothing.
+
+    The model goes to a folder of its own and is named in the new version's tags; the registry's commit comes last. A
+    run that was cut off leaves files that nobody reads, and is simply run again. If another run published meanwhile,
+    `commits.NumberTaken` is raised: the gate must then judge against that one.
+    """
+    spark = snapshot.sparkSession
+    registry, number = commits.newest(spark, registry_root, schemas.REGISTRY)
     verdict = selection.promotion_gate(challenger, selection.current_production(registry), gate).first()
     if verdict is None:
         return ["no challenger"]
@@ -70,8 +78,9 @@ def promote(
         F.col("n_folds").alias("walk_forward_n_folds"),
         F.col("run_id").alias("source_run_id"),
     )
-    save_artifact(model, metadata, artifact_path)
-    selection.publish(registry, challenger).write.mode("errorifexists").parquet(registry_path)
+    artifact = f"{models_root}/{number + 1}-{uuid.uuid4().hex}"
+    save_artifact(model, metadata, artifact)
+    commits.commit(selection.publish(registry, challenger, artifact=artifact), registry_root, number + 1)
     return []
 
 

@@ -77,7 +77,7 @@ FOLDS = _schema(
 )
 GARCH_FIT = _schema(
     status="string", mu="double", omega="double", alpha="double", beta="double", nu="double", loglik="double",
-    next_variance="double", sigma="doubles",
+    score="double", steps="int", next_variance="double", sigma="doubles",
 )
 PREDICTIONS = _schema(
     model_name="string", feature_variant="string", series_id="string", fold_id="int", trade_date="date",

@@ -6,7 +6,8 @@ import os
 
 from pyspark.sql import SparkSession
 
-# Adaptive execution sizes shuffle partitions and splits skewed join partitions. The call-site capture of the Python
+# Adaptive execution sizes shuffle partitions and splits skewed join partitions. Model fits run side by side in pools of
+# their own. The call-site capture of the Python
 # DataFrame API costs milliseconds per expression, more than planning does.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -15,6 +16,7 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.python.sql.dataFrameDebugging.enabled": "false",
+    "spark.scheduler.mode": "FAIR",
     "spark.ui.enabled": "false",
 }
 
