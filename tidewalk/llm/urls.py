@@ -19,6 +19,7 @@ from tidewalk.llm.common import lower_ascii, materialise
 ALLOW, BLOCK = "allow", "block"
 TRAINING_URLS = 50_000  # different labelled URLs that the trees learn from, chosen by hash; the statistics count all
 SUFFIXES_BROADCAST = 200_000  # suffixes of a statistics table sent to every task; more are joined by a shuffle
+PARTS = 5  # of the labelled URLs; a URL learns from the suffix shares of the parts it is not in
 SMOOTHING = 4.0  # URLs of average label added to every suffix
 TREES, DEPTH, STEP, SEED = 20, 4, 0.3, 7
 
@@ -114,10 +115,10 @@ class Model:
     blocked: float
 
 
-def _with_statistics(frame: DataFrame, statistics: dict[str, DataFrame], blocked: float) -> DataFrame:
+def _with_statistics(frame: DataFrame, statistics: dict[str, DataFrame], blocked: float, *keys: str) -> DataFrame:
     for name, table in statistics.items():
         small = table.count() <= SUFFIXES_BROADCAST
-        frame = frame.join(F.broadcast(table) if small else table, f"of_{name}", "left")
+        frame = frame.join(F.broadcast(table) if small else table, [f"of_{name}", *keys], "left")
     return frame.fillna(blocked, [f"rate_{name}" for name in statistics])
 
 
@@ -130,7 +131,9 @@ def train(labelled: DataFrame) -> Model:
     """Fit the trees to labelled URLs (url, label 1 for block); null URLs and labels teach nothing.
 
     Each URL counts once, with its mean label. The suffixes' shares are of all URLs; of more than `TRAINING_URLS` URLs the
-    trees learn from those with the smallest hashes, that many in expectation. Without labelled URLs everything is allowed.
+    trees learn from those with the smallest hashes, that many in expectation. A URL that teaches the trees has the
+    shares of the other `PARTS` that hashes deal all URLs to, so its own label is in none of its features. Without
+    labelled URLs everything is allowed.
     """
     once = labelled.where("url IS NOT NULL AND label IS NOT NULL").groupBy("url").agg(
         (F.avg("label") >= 0.5).cast("double").alias("label")
@@ -142,18 +145,22 @@ def train(labelled: DataFrame) -> Model:
     blocked = (once.agg(F.sum("label")).first()[0] or 0.0) / max(1, count)
     if blocked in (0.0, 1.0):
         return Model(None, {}, blocked)
-    featured = materialise(with_features(with_parts(chosen)), "url-features")
-    suffixes = with_features(with_parts(once)).select("label", *(f"of_{name}" for name in SUFFIXES))
-    statistics = {
-        name: materialise(
-            suffixes.groupBy(f"of_{name}").agg(
-                ((F.sum("label") + SMOOTHING * blocked) / (F.count(F.lit(1)) + SMOOTHING)).alias(f"rate_{name}")
-            ),
-            "url-suffixes",
+    part = F.pmod(F.xxhash64(F.lit("part"), "url"), F.lit(PARTS)).cast("int").alias("_part")
+    featured = materialise(with_features(with_parts(chosen)).select("*", part), "url-features")
+    suffixes = with_features(with_parts(once)).select("label", part, *(f"of_{name}" for name in SUFFIXES))
+    statistics, of_others = {}, {}
+    for name in SUFFIXES:
+        of = f"of_{name}"
+        sums = materialise(
+            suffixes.groupBy(of, "_part").agg(F.sum("label").alias("_s"), F.count(F.lit(1)).alias("_n")), "url-suffixes"
         )
-        for name in SUFFIXES
-    }
-    rows = _assembled(_with_statistics(featured, statistics, blocked), statistics)
+        whole = sums.groupBy(of).agg(F.sum("_s").alias("_all_s"), F.sum("_n").alias("_all_n"))
+        rate = ((F.col("_all_s") + SMOOTHING * blocked) / (F.col("_all_n") + SMOOTHING)).alias(f"rate_{name}")
+        statistics[name] = materialise(whole.select(of, rate), "url-suffixes")
+        rest_s, rest_n = F.col("_all_s") - F.col("_s"), F.col("_all_n") - F.col("_n")
+        rate = ((rest_s + SMOOTHING * blocked) / (rest_n + SMOOTHING)).alias(f"rate_{name}")
+        of_others[name] = materialise(sums.join(whole, of).select(of, "_part", rate), "url-suffixes")
+    rows = _assembled(_with_statistics(featured, of_others, blocked, "_part"), statistics)
     trees = GBTClassifier(
         featuresCol="_features", labelCol="label", maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, seed=SEED
     ).fit(rows.select("_features", "label"))
