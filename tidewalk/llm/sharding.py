@@ -147,7 +147,7 @@ def assign(documents: DataFrame, shards: int) -> DataFrame:
     leave. Repeated rows and ids stay. An empty table gives none.
     """
     text = F.col("text").cast("string")
-    rows = materialise(
+    rows = materialise_with_task(
         documents.select(
             "doc_id", (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias("size"),
             F.coalesce(F.crc32(text), F.lit(0)).cast("long").alias("text_crc32"),
@@ -168,7 +168,9 @@ def assign(documents: DataFrame, shards: int) -> DataFrame:
         return pd.Series(numbers[[bisect_right(starts, k) - 1 for k in keys]])
 
     placed = rank_within(groups, "_class", "_group").select("_group", place("_class", "position").alias("shard"))
-    dealt = materialise_with_task(rows.join(placed, "_group"), "shards")
+    # a text that many rows share meets its shard once per task that read it, and its rows there
+    met = rows.select("_group", "_task").distinct().join(placed, "_group")
+    dealt = materialise(rows.join(met, ["_group", "_task"]), "shards")
     return rank_within(dealt, "shard", "doc_id", "size", "text_crc32", "_group").select(
         "doc_id", "size", "text_crc32", "shard", F.col("position").cast("long").alias("slot")
     )
