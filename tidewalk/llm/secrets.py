@@ -1,9 +1,9 @@
 """Secret scans: known forms, and windows of high entropy.
 
-A candidate is a run of characters that keys are written in, without the known forms inside it. Its class (hexadecimal, letters and digits, or all of
-base64) sets a bound for the Shannon entropy of a sliding window. Moving the window by one character changes two
-counts, so a candidate costs one step per character. Candidates of the allow-list (words, numbers, addresses, dates,
-paths) give nothing.
+A candidate is a run of characters that keys are written in, without the known forms inside it. A window slides over
+it, and the window's class (hexadecimal, letters and digits, or all of base64) sets a bound for its Shannon entropy.
+Moving the window by one character changes two counts, so a candidate costs one step per character. Candidates of the
+allow-list (words, numbers, addresses, dates, paths) and windows of words and numbers give nothing.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import string
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -27,11 +28,13 @@ LEAST_VALUE = 12
 ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")  # a run from its first AKIA on, 18 characters or more
 HEX = re.compile(r"[0-9a-f]{16,}")
 
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
-WINDOW = 20
-# Bits per character that a window must exceed, by class. Random keys of 20 characters have about 3.3 bits (16
-# symbols), 4.0 (62 symbols) and 4.1 (64 symbols and more).
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+# Characters of the window, for long candidates and for those below 20 characters, and the bits per character that a
+# window must exceed, by class. 20 random characters have about 3.3 bits (16 symbols), 4.0 (62) and 4.1 (64 and more).
+WINDOW, SHORT_WINDOW = 20, 16
 BOUNDS = {"hex": 2.9, "alnum": 3.6, "base64": 3.7}
+WORDY = 2.9  # characters of a run, on average, from which on a window is words and numbers; random ones have about 2
+SHORT_BOUNDS = {"hex": 2.75, "alnum": 3.45, "base64": 3.5}
 ALLOWED = [
     re.compile(p)
     for p in (
@@ -43,12 +46,9 @@ ALLOWED = [
     )
 ]
 _TERM = [0.0] + [c * math.log2(c) for c in range(1, WINDOW + 1)]
-
-
-def character_class(candidate: str) -> str:
-    if re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", candidate):
-        return "hex"
-    return "alnum" if candidate.isalnum() else "base64"
+_DIGIT, _LOWER, _UPPER, _OTHER, _SIGN = range(5)
+_GROUP = {c: _OTHER for c in string.ascii_letters} | {c: _DIGIT for c in string.digits} | {
+    c: _LOWER for c in "abcdef"} | {c: _UPPER for c in "ABCDEF"} | {c: _SIGN for c in "+/_=-"}
 
 
 def allowed(candidate: str) -> bool:
@@ -58,38 +58,74 @@ def allowed(candidate: str) -> bool:
     )
 
 
-def entropies(text: str, window: int = WINDOW) -> Iterator[float]:
-    """Shannon entropy of every window of the text, from counts that change by one character at either end."""
+def windows(text: str, window: int = WINDOW) -> Iterator[tuple[float, str]]:
+    """Shannon entropy and class of every window, from counts that change by one character at either end."""
     counts: dict[str, int] = {}
+    groups = [0] * 5
     total = 0.0  # sum of c log2 c
     full = math.log2(window)
     for i, char in enumerate(text):
         c = counts.get(char, 0)
         counts[char] = c + 1
+        groups[_GROUP[char]] += 1
         total += _TERM[c + 1] - _TERM[c] if c < window else 0.0
         if i >= window:
             out = text[i - window]
             c = counts[out]
             counts[out] = c - 1
+            groups[_GROUP[out]] -= 1
             total += _TERM[c - 1] - _TERM[c] if c <= window else 0.0
         if i >= window - 1:
-            yield full - total / window
+            yield full - total / window, _class(groups)
+
+
+def _class(groups: list[int]) -> str:
+    """Hexadecimal digits of one case are a class if letters and digits are among them."""
+    if groups[_SIGN]:
+        return "base64"
+    one_case = bool(groups[_LOWER]) != bool(groups[_UPPER])
+    return "hex" if groups[_DIGIT] and one_case and not groups[_OTHER] else "alnum"
+
+
+def run_starts(text: str) -> tuple[list[int], list[int]]:
+    """Up to every place of the text, how many runs have begun and how many characters are no signs.
+
+    A run is a word in small or capital letters or one with a capital, or a number; signs part runs.
+    """
+    begun, letters, before = [0], [0], ""
+    for char in text:
+        kind = "9" if char.isdigit() else "a" if char.islower() else "A" if char.isupper() else "-"
+        new = kind != "-" and kind != before and not (before == "A" and kind == "a")
+        begun.append(begun[-1] + new)
+        letters.append(letters[-1] + (kind != "-"))
+        before = kind
+    return begun, letters
 
 
 def random_looking(candidate: str) -> bool:
-    """Whether some window's entropy exceeds the bound of the candidate's class."""
-    bound = BOUNDS[character_class(candidate)]
-    return any(e > bound for e in entropies(candidate))
+    """Whether some window's entropy exceeds the bound of the window's class, and it is not made of words and numbers:
+    its runs are shorter than `WORDY` characters on average."""
+    long = len(candidate) >= WINDOW
+    size, bounds = (WINDOW, BOUNDS) if long else (SHORT_WINDOW, SHORT_BOUNDS)
+    begun, letters = run_starts(candidate)
+    for start, (entropy, kind) in enumerate(windows(candidate, size)):
+        if entropy > bounds[kind]:
+            inside = letters[start + 1] > letters[start] and begun[start + 1] == begun[start]  # the first run began before
+            runs = begun[start + size] - begun[start] + inside
+            if letters[start + size] - letters[start] < WORDY * runs:
+                return True
+    return False
 
 
 def outside(start: int, end: int, base: list[tuple[int, int]], at: int) -> Iterator[tuple[int, int]]:
-    """The runs of at least `WINDOW` characters from start to end that no span covers; the sorted spans from `at` on."""
+    """The runs of at least `SHORT_WINDOW` characters from start to end that no span covers; the sorted spans from `at`
+    on."""
     while at < len(base) and base[at][0] < end:
-        if base[at][0] - start >= WINDOW:
+        if base[at][0] - start >= SHORT_WINDOW:
             yield start, base[at][0]
         start = max(start, base[at][1])
         at += 1
-    if end - start >= WINDOW:
+    if end - start >= SHORT_WINDOW:
         yield start, end
 
 
@@ -125,7 +161,8 @@ def written(spans: list[tuple[int, int, int]]) -> str:
 def find_secrets(documents: DataFrame) -> DataFrame:
     """Per row: doc_id, n_assign, n_access, n_hex, n_entropy, base_sha256 (of the known forms' spans) and spans.
 
-    A null text counts as empty. Repeated rows stay, other columns are not read.
+    A null text counts as empty, and so does an empty table. Texts of any length are scanned whole. Repeated rows stay;
+    other columns, whatever their names, are not read.
     """
 
     def find(batches):
