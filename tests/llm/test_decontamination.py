@@ -12,7 +12,8 @@ def found(spark, texts, items):
     benchmark = spark.createDataFrame([(i, t, "clash") for i, t in enumerate(items)], "item_id long, text string, doc_id string")
     rows = decontamination.contaminated(docs, benchmark).collect()
     kept = {r["doc_id"] for r in decontamination.decontaminate(docs, benchmark).collect()}
-    assert kept == set(range(len(texts))) - {r["doc_id"] for r in rows}
+    leaks = {r["doc_id"] for r in rows if r["item_words"] >= decontamination.LEAST_WORDS or r["whole_text"]}
+    assert kept == set(range(len(texts))) - leaks
     return {(r["doc_id"], r["item_id"]): r["literal"] for r in rows}
 
 
@@ -106,3 +107,16 @@ def test_items_without_a_plain_window_are_found_as_a_whole(spark):
     clean = ["solve 3 x 4 + 6", "今天天气很好我们去公园", "too long and short", "12 km 13 km 14 km", "", None]
     got = found(spark, texts + clean, items)
     assert got == {(i, i): True for i in range(7)} | {(8, 4): True, (9, 5): True}
+
+
+def test_a_junk_item_is_told_but_empties_no_corpus(spark):
+    """`Yes` is found wherever it stands, and removes only the documents that say nothing else."""
+    texts = [cases.prose(i, 40) + " yes " + cases.prose(i + 50, 40) for i in range(20)] + ["Yes.", "yes", "no", QUESTION]
+    docs = cases.documents(spark, [(i, t, "en", "a", 0) for i, t in enumerate(texts)])
+    benchmark = spark.createDataFrame([(1, "Yes"), (2, QUESTION)], "item_id long, text string")
+    rows = decontamination.contaminated(docs, benchmark)
+    assert {r["item_id"]: r["documents"] for r in decontamination.documents_per_item(rows).collect()} == {1: 22, 2: 1}
+    kept = {r["doc_id"] for r in decontamination.decontaminate(docs, benchmark).collect()}
+    assert kept == set(range(20)) | {22}
+    strict = {r["doc_id"] for r in decontamination.decontaminate(docs, benchmark, least_words=1).collect()}
+    assert strict == {22}

@@ -164,7 +164,8 @@ def exact_matches(documents: DataFrame, items: DataFrame) -> list[DataFrame]:
             whole = hit.where(F.slice("raw", F.col("at") + 1, F.size("item_words")) == F.col("item_words"))
             found.append(whole.select(
                 "doc_id", "key", "item_id", F.lit(1).alias("windows"), F.lit(1).cast("long").alias("item_windows"),
-                F.lit(True).alias("literal"),
+                F.lit(True).alias("literal"), F.size("item_words").alias("item_words"),
+                (F.size("raw") == F.size("item_words")).alias("whole_text"),
             ))
     return found
 
@@ -174,10 +175,13 @@ def key_of(documents: DataFrame) -> Column:
 
 
 def matches(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, key, item_id, windows, item_windows, literal) of every document and item that match.
+    """(doc_id, key, item_id, windows, item_windows, literal, item_words, whole_text) of every document and item that
+    match.
 
     `key` is a hash of the row's id and text. `windows` counts the item's windows found in the best consistent
-    alignment, `literal` tells that no slot differs there. Rows without words match nothing.
+    alignment, `literal` tells that no slot differs there. `item_words` is the item's length as far as `LEAST_WORDS`,
+    or beyond for items found as a whole; `whole_text` tells that such an item is all that the document says. Rows
+    without words match nothing.
     """
     index = materialise(benchmark_windows(benchmark), "benchmark-windows")
     whole = exact_matches(documents, materialise(left_out(benchmark, index), "benchmark-left-out"))
@@ -206,11 +210,12 @@ def matches(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     if not found and not whole:
         return documents.sparkSession.createDataFrame(
             [], f"doc_id {documents.schema['doc_id'].dataType.simpleString()}, key long, item_id long, item_windows long, "
-                "windows int, literal boolean"
+                "windows int, literal boolean, item_words int, whole_text boolean"
         )
     every = whole if not found else [*whole, _consistent(reduce(DataFrame.unionByName, found))]
     return reduce(DataFrame.unionByName, every).groupBy("doc_id", "key", "item_id").agg(
-        F.max("windows").alias("windows"), F.max("item_windows").alias("item_windows"), F.max("literal").alias("literal")
+        F.max("windows").alias("windows"), F.max("item_windows").alias("item_windows"), F.max("literal").alias("literal"),
+        F.max("item_words").alias("item_words"), F.max("whole_text").alias("whole_text"),
     )
 
 
@@ -233,23 +238,37 @@ def _consistent(hits: DataFrame) -> DataFrame:
     enough = F.col("windows") >= F.least(F.lit(LEAST_WINDOWS), F.col("item_windows"))
     literal = ~F.exists("slots", lambda s: s["item"] != s["doc"])
     best = aligned.where(consistent & enough).withColumn("literal", literal)
-    return best.select("doc_id", "key", "item_id", "windows", "item_windows", "literal")
+    return best.select(
+        "doc_id", "key", "item_id", "windows", "item_windows", "literal", F.lit(LEAST_WORDS).alias("item_words"),
+        F.lit(False).alias("whole_text"),
+    )
 
 
 def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, item_id, windows, item_windows, literal): the documents that hold items, once per item.
+    """(doc_id, item_id, windows, item_windows, literal, item_words, whole_text): the documents that hold items, once per
+    item.
 
-    Items with equal texts are one, with the smallest id. Rows that repeat a doc_id are joined in one row.
+    Items of any length are searched, and all hits are told. Items with equal texts are one, with the smallest id; rows
+    that repeat a doc_id are joined in one row. Null and empty texts, null items and empty tables give no rows, a null
+    doc_id is told like others; texts of any length are searched whole, and other columns are not looked at.
     """
     found = matches(documents, benchmark)
     return found.groupBy("doc_id", "item_id").agg(
-        F.max("windows").alias("windows"), F.max("item_windows").alias("item_windows"), F.max("literal").alias("literal")
+        F.max("windows").alias("windows"), F.max("item_windows").alias("item_windows"), F.max("literal").alias("literal"),
+        F.max("item_words").alias("item_words"), F.max("whole_text").alias("whole_text"),
     )
 
 
-def decontaminate(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that hold no item."""
-    keys = matches(documents, benchmark).select(F.col("key").alias("__key"), F.col("doc_id").alias("__doc")).distinct()
+def documents_per_item(found: DataFrame) -> DataFrame:
+    """(item_id, documents) of the rows of `contaminated`: an item that hits very many is no question but a phrase."""
+    return found.groupBy("item_id").agg(F.count(F.lit(1)).alias("documents"))
+
+
+def decontaminate(documents: DataFrame, benchmark: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
+    """The documents that hold no item, but for items below `least_words` words: a document goes for such an item only
+    if that is all it says, since a word or two in a long text are no sign of the benchmark."""
+    leaks = (F.col("item_words") >= least_words) | F.col("whole_text")
+    keys = matches(documents, benchmark).where(leaks).select(F.col("key").alias("__key"), F.col("doc_id").alias("__doc")).distinct()
     found = materialise(keys, "contaminated")
     removed = F.broadcast(found) if found.count() <= REMOVED_ROWS else found
     keyed = documents.withColumn("__own", key_of(documents))
