@@ -1,7 +1,12 @@
+import random
 import re
+import time
+import tracemalloc
 from html import unescape
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from tidewalk.llm import queries, wrappers
 from tidewalk.llm.wrappers import Page, Wrapper, align, fold, main_text
@@ -30,6 +35,77 @@ def test_alignment_keeps_order_and_length():
     assert align([], list("a")) == [(None, 0)] and align(list("ab"), list("ab")) == [(0, 0), (1, 1)]
 
 
+def common_length(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        before, row = row, [0]
+        for k, y in enumerate(b):
+            row.append(before[k] + 1 if x == y else max(row[-1], before[k + 1]))
+    return row
+
+
+@given(st.lists(st.sampled_from("abcd"), max_size=40), st.lists(st.sampled_from("abcd"), max_size=40), st.sampled_from([0, 6, 1 << 16]))
+@settings(max_examples=300, deadline=None)
+def test_divided_alignments_are_as_long(a, b, cells):
+    before, wrappers.TABLE_CELLS = wrappers.TABLE_CELLS, cells
+    try:
+        pairs = align(a, b)
+    finally:
+        wrappers.TABLE_CELLS = before
+    assert [i for i, _ in pairs if i is not None] == list(range(len(a)))
+    assert [j for _, j in pairs if j is not None] == list(range(len(b)))
+    assert all(a[i] == b[j] for i, j in pairs if i is not None and j is not None)
+    assert sum(i is not None and j is not None for i, j in pairs) == common_length(a, b)[-1]
+    assert wrappers._common(a, b).tolist() == common_length(a, b)
+
+
+def test_large_streams_are_aligned_in_little_memory():
+    rng = random.Random(1)
+    a = [f"t{rng.randrange(30)}" for _ in range(12_000)]
+    b = [x for x in a if rng.random() < 0.9]
+    tracemalloc.start()
+    pairs = align(a, b)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(i is not None and j is not None for i, j in pairs) == len(b) and peak < 50 << 20
+
+
+def test_long_groups_fold():
+    card = "<li class=card><div><h3>{0}</h3><p>{0} text</p><p><a>{0} more</a></p><i>{0}</i></div></li>"
+    pages = [Page("<ul>" + "".join(card.format(f"{i}.{k}") for k in range(180 + i)) + "</ul>") for i in range(3)]
+    assert len(pages[0].labels) > 180 * 15
+    wrapper = Wrapper.of(pages[0])
+    for other in pages[1:]:
+        wrapper = wrapper.merge(Wrapper.of(other))
+    assert len(wrapper.nodes) == 3  # the list's tags and one repeated card
+    group = "".join(f"<pre class={'abcdefg'[k % 7] * (k + 1)}>x</pre>" for k in range(60))
+    nodes, first = fold(Page(group * 3))
+    assert len(nodes) == 1 and len(set(first.values())) == 60
+
+
+def test_ids_and_numbers_do_not_make_new_forms():
+    forms = {Wrapper.of(Page(f"<article id=post-{i} class='post post-{i * 7}'><p id=p{i}>{i}</p></article>")).signature() for i in range(50)}
+    assert len(forms) == 1
+
+
+def test_lists_of_options_formulas_and_objects():
+    assert text_of("<article><p>a</p><select><option>x<p>rest of the article</p></article>") == "a\nrest of the article"
+    assert text_of("<article><p>a <math><mi>x</mi><mo>=</mo><mn>2</mn></math> b</p><object><p>fallback</p></object></article>") == "a x=2 b\nfallback"
+    assert text_of("<article><p>a</p><svg><text>label</text></svg><p>b</article>") == "a\nlabel\nb"
+    assert text_of("<article><p>a</p><select><option>x</select><p>b</p><noscript>no</noscript><iframe>f</iframe><p>c") == "a\nb\nc"
+    assert text_of("<article><p>a</p><iframe src=x><p>b</p></article>") == "a\nb"  # never closed: a plain tag
+
+
+def test_a_page_of_many_tokens_and_a_host_of_many_forms():
+    rng = random.Random(3)
+    big = [Page("<article>" + "".join(f"<{t}>{k}</{t}>" for k, t in enumerate(rng.choices(["p", "h2", "pre", "li"], k=13_500))) + "</article>") for _ in range(2)]
+    assert all(len(p.labels) > 40_000 for p in big)
+    started = time.monotonic()
+    wrapper = Wrapper.of(big[0]).merge(Wrapper.of(big[1]))
+    assert main_text(big[0], wrapper).count("\n") == 13_499
+    assert time.monotonic() - started < 120
+
+
 def test_merging_gives_optional_and_repeated_groups():
     one = Wrapper.of(Page("<article><h1>a</h1><p>b</p></article>"))
     two = Wrapper.of(Page("<article><h1>a</h1><h2>s</h2><p>c</p><p>d</p></article>"))

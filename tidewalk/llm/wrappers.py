@@ -15,29 +15,33 @@ import html as entities
 import json
 import re
 import zlib
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewalk.llm.common import lower_ascii, materialise, slices
 
-LONGEST_GROUP = 12  # tokens in one copy of a repeated group; longer groups are found once shorter ones inside are folded
+SHORT_GROUP = 12  # tokens; copies of longer groups are sought where their first tokens, that many, come again
+TABLE_CELLS = 1 << 16  # of an alignment that is done in one table; larger ones are divided
 LEAST_PAGES = 3  # a text is a constant of the host only if so many different pages have it
 WRAPPERS_BROADCAST = 32 << 20  # bytes of all wrappers sent to every task; more are joined by a shuffle
 
 MAIN, FURNITURE, OTHER = 0, 1, 2
 
 # Fixed values of HTML, and words that name page furniture in class, id and role.
-RAW = "script|style|noscript|template|textarea|title|iframe|svg|select|object|math"
+RAW, CLOSED_RAW = "script|style|textarea|title", "noscript|template|iframe"  # the latter are plain tags if left open
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span "
-    "strike strong sub sup time tt u var wbr img".split()
+    "strike strong sub sup time tt u var wbr img object math mi mn mo ms mtext mrow mfrac msqrt mroot mstyle mspace msub "
+    "msup msubsup munder mover munderover semantics".split()
 )
 MAIN_TAGS = {"article", "main"}
-FURNITURE_TAGS = set("nav footer menu head form button fieldset dialog".split())
+FURNITURE_TAGS = set("nav footer menu head form button fieldset dialog select".split())
+IN_SELECT = {"option", "optgroup", "hr"}  # other tags end a list of options
 STICKY_TAGS = {"aside"}
 FURNITURE_WORDS = set(
     "nav navbar navigation menu menubar breadcrumb breadcrumbs header masthead topbar footer contentinfo banner "
@@ -49,11 +53,12 @@ STICKY_WORDS = set(
     "recommended comment comments disqus respond replies".split()
 )
 TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    rf"|<(?P<closed>{CLOSED_RAW})\b[^>]*>.*?</(?P=closed)\s*>"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^\"'>]|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*+)>|<[!?][^>]*>",
     re.DOTALL | re.IGNORECASE,
 )
-NAMING = re.compile(r"""\b(?:class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
+NAMING = re.compile(r"""\b(class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 SPACE = re.compile(r"\s+")
 
 
@@ -69,10 +74,10 @@ class Page:
         for m in TOKEN.finditer(source):
             self._text(source[at:m.start()])
             at = m.end()
-            if m[1]:
-                self._add(f"<{m[1].lower()}>")
-            elif tag := (m[3] or m[6] or "").lower():
-                self._tag(tag, bool(m[2] or m[5]), m[4] or m[7] or "")
+            if swallowed := m["raw"] or m["closed"]:
+                self._add(f"<{swallowed.lower()}>")
+            elif tag := (m[4] or m[7] or "").lower():
+                self._tag(tag, bool(m[3] or m[6]), m[5] or m[8] or "")
         self._text(source[at:])
 
     def mark(self) -> int:
@@ -114,7 +119,13 @@ class Page:
             return
         if tag == "p" and self._open and self._open[-1][0] == "p":
             self._open.pop()
-        named = [w for m in NAMING.finditer(attributes) for w in re.split(r"[\s_-]+", (m[1] or m[2] or m[3] or "").lower())]
+        if tag not in IN_SELECT and tag not in INLINE and any(name == "select" for name, _, _ in self._open):
+            while self._open.pop()[0] != "select":
+                pass
+        said = [(m[1].lower(), re.split(r"[\s_-]+", (m[2] or m[3] or m[4] or "").lower())) for m in NAMING.finditer(attributes)]
+        named = [w for _, words in said for w in words]
+        # an id, and a number in a name, belong to the page and not to its form
+        form = [re.sub(r"[0-9]+", "0", w) for kind, words in said if kind != "id" for w in words]
         if tag not in VOID and not attributes.endswith("/"):
             inside = self._zone() == MAIN
             sticky = tag in STICKY_TAGS or any(w in STICKY_WORDS for w in named) and tag not in ("html", "body")
@@ -122,7 +133,7 @@ class Page:
                 not inside and tag not in ("html", "body", *MAIN_TAGS) and any(w in FURNITURE_WORDS for w in named))
             main = tag in MAIN_TAGS or "articlebody" in named
             self._open.append((tag, MAIN if main else FURNITURE if furniture or sticky else None, sticky))
-        self._add(f"<{tag}>" if not named else f"<{tag} {' '.join(named)}>")
+        self._add(f"<{tag}>" if not form else f"<{tag} {' '.join(form)}>")
 
 
 class Node:
@@ -157,16 +168,51 @@ def _top(first: dict[int, int], i: int) -> int:
     return i
 
 
+_BASE, _MODULUS = 1_000_003, (1 << 61) - 1
+
+
+class _Stretches:
+    """Equality of stretches of labels by rolling hashes, and where stretches of `SHORT_GROUP` labels come again."""
+
+    def __init__(self, labels: list[str]):
+        numbers: dict[str, int] = {}
+        self.sums, self.powers = [0], [1]
+        for label in labels:
+            self.sums.append((self.sums[-1] * _BASE + numbers.setdefault(label, len(numbers) + 1)) % _MODULUS)
+            self.powers.append(self.powers[-1] * _BASE % _MODULUS)
+        self.next: list[int | None] = [None] * len(labels)
+        seen: dict[int, int] = {}
+        for i in range(len(labels) - SHORT_GROUP, -1, -1):
+            key = self.of(i, SHORT_GROUP)
+            self.next[i] = seen.get(key)
+            seen[key] = i
+
+    def of(self, start: int, size: int) -> int:
+        return (self.sums[start + size] - self.sums[start] * self.powers[size]) % _MODULUS
+
+    def sizes(self, i: int, most: int) -> Iterator[int]:
+        """The group lengths to try at a place: all short ones, and the distances to where its first labels come again."""
+        yield from range(1, min(SHORT_GROUP, most) + 1)
+        at = self.next[i]
+        while at is not None and at - i <= most:
+            if at - i > SHORT_GROUP:
+                yield at - i
+            at = self.next[at]
+
+
 def _fold_once(nodes: list[Node], first: dict[int, int]) -> tuple[list[Node], bool]:
     labels, out, i, changed = [n.label for n in nodes], [], 0, False
+    stretches = _Stretches(labels)
     while i < len(nodes):
-        for size in range(1, min(LONGEST_GROUP, (len(nodes) - i) // 2) + 1):
-            if labels[i] == labels[i + size] and labels[i: i + size] == labels[i + size: i + 2 * size]:
+        for size in stretches.sizes(i, (len(nodes) - i) // 2):
+            if labels[i] == labels[i + size] and stretches.of(i, size) == stretches.of(i + size, size):
                 group, copies = nodes[i: i + size], 1
                 while labels[i + copies * size: i + (copies + 1) * size] == labels[i: i + size]:
                     for a, b in zip(group, nodes[i + copies * size: i + (copies + 1) * size], strict=True):
                         first.update(zip(b.slots, a.slots, strict=True))
                     copies += 1
+                if copies == 1:
+                    continue
                 out.append(repeated(group))
                 i, changed = i + copies * size, True
                 break
@@ -199,33 +245,73 @@ def _groups(nodes: list[Node]) -> set[tuple[str, tuple[str, ...]]]:
 
 
 def align(a: list[str], b: list[str]) -> list[tuple[int | None, int | None]]:
-    """Pairs of positions with equal labels in a longest common subsequence, and the others alone, in order."""
-    start = 0
-    while start < min(len(a), len(b)) and a[start] == b[start]:
-        start += 1
-    end = 0
-    while end < min(len(a), len(b)) - start and a[-1 - end] == b[-1 - end]:
-        end += 1
-    n, m = len(a) - end, len(b) - end
-    best = [[0] * (m - start + 1) for _ in range(n - start + 1)]
+    """Pairs of positions with equal labels in a longest common subsequence, and the others alone, in order.
+
+    Small alignments take one table. A large one is divided where the two halves' common lengths add up to the most, so
+    memory grows with the streams' length, and its tables are rows of bits.
+    """
+    out: list[tuple[int | None, int | None]] = []
+    todo = [(0, len(a), 0, len(b))]
+    while todo:
+        i, n, j, m = todo.pop()
+        while i < n and j < m and a[i] == b[j]:
+            out.append((i, j))
+            i, j = i + 1, j + 1
+        end = 0
+        while n - end > i and m - end > j and a[n - 1 - end] == b[m - 1 - end]:
+            end += 1
+        if end:
+            todo.append((n - end, n, m - end, m))
+            n, m = n - end, m - end
+        if (n - i) * (m - j) <= TABLE_CELLS or n - i < 2:
+            out += _in_table(a, b, i, n, j, m)
+            continue
+        half = (i + n) // 2
+        before = _common(a[i:half], b[j:m])
+        after = _common(a[half:n][::-1], b[j:m][::-1])[::-1]
+        cut = j + int(np.argmax(before + after))
+        todo += [(half, n, cut, m), (i, half, j, cut)]
+    return out
+
+
+def _common(a: list[str], b: list[str]) -> np.ndarray:
+    """The length of a longest common subsequence of a and every prefix of b, the empty one first.
+
+    Bit k of the row is 0 where the length grows at b's label k; a label of a changes the row by one addition.
+    """
+    places: dict[str, int] = {}
+    for k, label in enumerate(b):
+        places[label] = places.get(label, 0) | 1 << k
+    full = (1 << len(b)) - 1
+    row = full
+    for label in a:
+        hit = places.get(label, 0)
+        shared = row & hit
+        row = (row + shared | row - shared) & full
+    bits = np.unpackbits(np.frombuffer((~row & full).to_bytes(len(b) // 8 + 1, "little"), np.uint8), bitorder="little")
+    return np.concatenate([[0], np.cumsum(bits[: len(b)], dtype=np.int64)])
+
+
+def _in_table(a: list[str], b: list[str], start: int, n: int, other: int, m: int) -> list[tuple[int | None, int | None]]:
+    """The alignment of a[start:n] and b[other:m]."""
+    best = [[0] * (m - other + 1) for _ in range(n - start + 1)]
     for i in range(n - 1, start - 1, -1):
         row, below = best[i - start], best[i - start + 1]
-        for j in range(m - 1, start - 1, -1):
-            row[j - start] = below[j - start + 1] + 1 if a[i] == b[j] else max(below[j - start], row[j - start + 1])
-    out: list[tuple[int | None, int | None]] = [(k, k) for k in range(start)]
-    i = j = start
+        for j in range(m - 1, other - 1, -1):
+            row[j - other] = below[j - other + 1] + 1 if a[i] == b[j] else max(below[j - other], row[j - other + 1])
+    out: list[tuple[int | None, int | None]] = []
+    i, j = start, other
     while i < n and j < m:
         if a[i] == b[j]:
             out.append((i, j))
             i, j = i + 1, j + 1
-        elif best[i - start + 1][j - start] >= best[i - start][j - start + 1]:
+        elif best[i - start + 1][j - other] >= best[i - start][j - other + 1]:
             out.append((i, None))
             i += 1
         else:
             out.append((None, j))
             j += 1
-    out += [(k, None) for k in range(i, n)] + [(None, k) for k in range(j, m)]
-    return out + [(n + k, m + k) for k in range(end)]
+    return out + [(k, None) for k in range(i, n)] + [(None, k) for k in range(j, m)]
 
 
 class Wrapper:
