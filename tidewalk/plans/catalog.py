@@ -18,7 +18,7 @@ from tidewalk.config import (
 )
 from tidewalk.functions import round_f
 from tidewalk.operators import (
-    assembly, derivatives, folds, metrics, models, participants, returns, scoring, selection, tree_tables, volatility,
+    assembly, boosting, derivatives, folds, metrics, models, participants, returns, scoring, selection, tree_tables, volatility,
 )
 from tidewalk.plans import cross_validation, promotion, refresh
 from tidewalk.plans.daily_features import DELTAS, daily_features, joined_features, participant_columns
@@ -709,6 +709,7 @@ def sample_row(spark, sf_dir):
 
 # -- fits that have a closed form: one split of one feature with few values ---------------------------------------
 
+PENALTIES = (25.0, 1000.0)  # large enough to show in the sums of many rows
 STUMP = {
     "random_forest": {"numTrees": 1, "maxDepth": 1, "minInstancesPerNode": 1, "bootstrap": False},
     "xgboost": {"maxIter": 1, "maxDepth": 1, "subsamplingRate": 1.0, "featureSubsetStrategy": "all"},
@@ -758,6 +759,16 @@ def stump_refit_score(spark, sf_dir):
     return _scores(scoring.score(requests, model, "random_forest", "month", ["month"]))
 
 
+@query
+def penalised_rounds(spark, sf_dir):
+    """Two rounds of penalised single splits, scored by the table of their nodes."""
+    keys, settings = ["series_id", "trade_date"], boosting.Boosting(rounds=2, depth=1, step=0.5, l1=PENALTIES[0], l2=PENALTIES[1],
+                                                                    row_share=1.0, column_share=1.0)
+    nodes = tables.materialise(boosting.fit_boosted(_stump_frame(spark, sf_dir), ["month"], keys, settings), "nodes")
+    requests = _priority_features(spark, sf_dir).select(*keys, F.month("trade_date").cast("double").alias("month"))
+    return _scores(tree_tables.score_by_nodes(requests, nodes, ["month"], keys, levels=1))
+
+
 @query
 def stump_stream(spark, sf_dir):
     model, requests = _stump_saved(spark, sf_dir)

@@ -11,7 +11,7 @@ import math
 import re
 
 from tidewalk.config import BASE_FEATURES, KNOWN_GAPS, REGISTERED_MODEL_NAME
-from tidewalk.plans.catalog import GARCH, GARCH_RIVALS, LINE_INPUTS, MANY, SHORT_FOLDS, TEST_GAPS
+from tidewalk.plans.catalog import GARCH, GARCH_RIVALS, LINE_INPUTS, MANY, PENALTIES, SHORT_FOLDS, TEST_GAPS
 from tidewalk.plans.daily_features import DELTAS, PIVOT_COLUMNS
 from tidewalk.schemas import SNAPSHOT
 
@@ -447,6 +447,22 @@ _stump_scores = f"""
 
 
 
+def _penalised(rows: str) -> str:
+    """One penalised split of residuals y by x: the threshold and both leaf values."""
+    l1, l2 = PENALTIES
+    value = "sign(sum(y) FILTER ({0})) * greatest(abs(sum(y) FILTER ({0})) - {1}, 0) / (count(*) FILTER ({0}) + {2})"
+    return f"""
+        SELECT any_value(cut) AS cut, {value.format('x <= cut', l1, l2)} AS low, {value.format('x > cut', l1, l2)} AS high
+        FROM ({rows}), ({_stump(rows, '')})"""
+
+
+_residuals = "SELECT month(trade_date) AS x, fwd_ret_20d - avg(fwd_ret_20d) OVER () AS y FROM pframe"
+_first_round = _penalised(_residuals)
+_second_round = _penalised(
+    f"SELECT r.x, r.y - 0.5 * CASE WHEN r.x <= w.cut THEN w.low ELSE w.high END AS y FROM ({_residuals}) r, ({_first_round}) w"
+)
+
+
 def _no_difference(model: str, variant: str) -> str:
     """Every complete day, scored alike in both ways."""
     return f"""
@@ -600,6 +616,11 @@ FINAL = {
              (VALUES ('random_forest'), ('xgboost'), ('lightgbm'), ('catboost')) n(model_name)
         WHERE role = 'test'""",
     "stump_refit_score": _stump_scores,
+    "penalised_rounds": f"""
+        SELECT series_id, trade_date, round(
+            (SELECT avg(fwd_ret_20d) FROM pframe) + 0.5 * CASE WHEN month(trade_date) <= a.cut THEN a.low ELSE a.high END
+                + 0.5 * CASE WHEN month(trade_date) <= b.cut THEN b.low ELSE b.high END, 6) AS prediction
+        FROM pfeat, ({_first_round}) a, ({_second_round}) b""",
     "stump_stream": _stump_scores,
 }
 
