@@ -15,7 +15,7 @@ import html as entities
 import json
 import re
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -158,7 +158,9 @@ def fold(page: Page) -> tuple[list[Node], dict[int, int]]:
     nodes = [Node(label, [i] if label == "#" else []) for i, label in enumerate(page.labels)]
     changed = True
     while changed:
-        nodes, changed = _fold_once(nodes, first)
+        nodes, changed = _fold_once(nodes, first, lambda i, most: range(1, min(SHORT_GROUP, most) + 1))
+        if not changed and len(nodes) > 2 * SHORT_GROUP:  # longer groups, once the short ones inside them are folded
+            nodes, changed = _fold_once(nodes, first, _Stretches([n.label for n in nodes]).sizes)
     return nodes, {i: _top(first, i) for i in first}
 
 
@@ -172,7 +174,7 @@ _BASE, _MODULUS = 1_000_003, (1 << 61) - 1
 
 
 class _Stretches:
-    """Equality of stretches of labels by rolling hashes, and where stretches of `SHORT_GROUP` labels come again."""
+    """Where stretches of `SHORT_GROUP` labels come again, and equality of longer ones, by rolling hashes."""
 
     def __init__(self, labels: list[str]):
         numbers: dict[str, int] = {}
@@ -191,28 +193,27 @@ class _Stretches:
         return (self.sums[start + size] - self.sums[start] * self.powers[size]) % _MODULUS
 
     def sizes(self, i: int, most: int) -> Iterator[int]:
-        """The group lengths to try at a place: all short ones, and the distances to where its first labels come again."""
-        yield from range(1, min(SHORT_GROUP, most) + 1)
+        """The lengths of the longer groups that come twice from this place on: their first labels come again."""
         at = self.next[i]
-        while at is not None and at - i <= most:
-            if at - i > SHORT_GROUP:
-                yield at - i
+        while at is not None and (size := at - i) <= most:
+            if size > SHORT_GROUP and self.of(i, size) == self.of(at, size):
+                yield size
             at = self.next[at]
 
 
-def _fold_once(nodes: list[Node], first: dict[int, int]) -> tuple[list[Node], bool]:
+def _fold_once(
+    nodes: list[Node], first: dict[int, int], sizes: Callable[[int, int], Iterable[int]]
+) -> tuple[list[Node], bool]:
+    """Fold the groups, of the lengths that `sizes` tells for a place, that have copies right behind them."""
     labels, out, i, changed = [n.label for n in nodes], [], 0, False
-    stretches = _Stretches(labels)
     while i < len(nodes):
-        for size in stretches.sizes(i, (len(nodes) - i) // 2):
-            if labels[i] == labels[i + size] and stretches.of(i, size) == stretches.of(i + size, size):
+        for size in sizes(i, (len(nodes) - i) // 2):
+            if labels[i] == labels[i + size] and labels[i: i + size] == labels[i + size: i + 2 * size]:
                 group, copies = nodes[i: i + size], 1
                 while labels[i + copies * size: i + (copies + 1) * size] == labels[i: i + size]:
                     for a, b in zip(group, nodes[i + copies * size: i + (copies + 1) * size], strict=True):
                         first.update(zip(b.slots, a.slots, strict=True))
                     copies += 1
-                if copies == 1:
-                    continue
                 out.append(repeated(group))
                 i, changed = i + copies * size, True
                 break
