@@ -1,3 +1,4 @@
+import itertools
 import zlib
 from collections import Counter
 
@@ -72,3 +73,14 @@ def test_query_and_empty_table(spark, sf_dir, tmp_path):
     assert Counter((r["doc_id"], r["piece"], r["n_tokens"], r["ids_crc32"]) for r in rows) == expected(texts, 512)
     assert sorted(r["slot"] for r in rows) == list(range(len(rows)))
     assert token_output.write_training_order(cases.empty(spark), f"{tmp_path}/none", PATH, 1) == 0
+
+
+def test_words_are_found_without_a_lookahead():
+    """Every pair and triple of Latin-1 white space and of what stands beside it, inside a text and at both ends."""
+    encode = tokens.encoder(PATH)
+    signs = ["\t", "\n", "\v", "\r", " ", "\x85", "\xa0", "\x1c", "a", "é", "7", "²", "'s", "!", "'"]
+    texts = ["".join(t) for n in (1, 2, 3) for t in itertools.product(signs, repeat=n)]
+    texts += [f"word{t}end" for t in texts] + [" \n" * 50, "a" + "\n" * 40 + " b" + " " * 30, "x\n\n  y\n\n\tz\n\n"]
+    assert encode.encode(texts) == encode.plain(texts)
+    assert "(?!" not in encode.fast._pat_str
+    assert tokens.stretches("a  b \n\n c  ", b"a  b \n\n c  ") == ["a ", " b \n\n", " c  "]

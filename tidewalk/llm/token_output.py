@@ -13,7 +13,6 @@ file: a record is one line, whose last byte is a line feed and whose other bytes
 from __future__ import annotations
 
 import zlib
-from array import array
 from dataclasses import dataclass
 
 import numpy as np
@@ -111,19 +110,18 @@ def _sequences(
 
     `first` has the index of each task's first sequence, `told` what it counted.
     """
-    code = "I" if layout.wide else "H"
+    code = layout.record()["ids"].base
 
     def cut(batches):
         import zstandard
 
         ids, seen, press = encoder(tokenizer).ids, _Seen(), zstandard.ZstdCompressor(level=1).compress
-        task, step = TaskContext.get().partitionId(), layout.tokens * layout.record()["ids"].base.itemsize
+        task, step = TaskContext.get().partitionId(), layout.tokens * code.itemsize
         for batch in slices(batches):
             rows, piece, length, data, start = [], [], [], [], seen.count
             for row, text in enumerate(batch.column("text").to_pylist()):
-                found = ids(text or "")
-                found.append(END_ID)
-                whole = memoryview(array(code, found).tobytes())
+                found = np.append(ids(text or ""), np.uint32(END_ID)).astype(code)
+                whole = memoryview(found.tobytes())
                 pieces = -(-len(found) // layout.tokens)
                 seen.add(text or "", pieces)
                 rows += [row] * pieces
