@@ -119,41 +119,52 @@ def market_activity_index(spark, sf_dir, n_series):
     return levels.select("series_no", "trade_date", F.inline(rows))
 
 
+# A line's bucket as one number of three-valued digits (0 no, 1 yes, 2 unknown) and one for the usual return flags, so that
+# the join moves and the aggregation hashes a number and, for all but unusual flags, no text.
+_FLAGS = ("N", "A", "R")
+_BUCKET = f"""
+    coalesce(int(l_linenumber % 3 <> 0), 2) + 3 * coalesce(int(l_linenumber = 7), 2) + 9 * coalesce(int(l_partkey % 2 = 0), 2)
+    + 27 * coalesce(array_position(array({", ".join(f"'{f}'" for f in _FLAGS)}), l_returnflag), 0)
+"""
+_OTHER_FLAG = f"if(l_returnflag in {_FLAGS}, null, l_returnflag)"
+
+
 @_proxy
 def participant_activity(spark, sf_dir, n_series):
     """Contracts per day, participant and bucket.
 
     An order with very many lines skews the join; adaptive execution splits its partition, which is free here
-    because the grouping has an exchange of its own. Lines fill few of a day's 64 cells, so every day gets one more row
+    because the grouping has an exchange of its own. The orders of a partition are hashed, so that the lines, many times
+    as many, are neither sorted nor spilled. Lines fill few of a day's 64 cells, so every day gets one more row
     in each, from its order keys; on the 5th and 6th of a month it does not, which leaves days with one side only.
     """
     lines = table(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("o_orderkey"), F.expr("l_linenumber % 3 <> 0 as held"),
-        F.expr("l_linenumber = 7 as stock"), "l_returnflag", F.expr("l_partkey % 2 = 0 as bought"),
-        F.col("l_quantity").cast("long").alias("quantity"),
-    )
-    orders = _orders(spark, sf_dir, n_series).select(
-        "o_orderkey", "series_no", "trade_date", F.expr("cast(o_orderkey % 4 as int) as who")
+        F.col("l_orderkey").alias("o_orderkey"), F.expr(f"cast({_BUCKET} as int) as bucket"),
+        F.expr(f"{_OTHER_FLAG} as flag"), F.col("l_quantity").cast("long").alias("quantity"),
     )
-    cells = ["series_no", "trade_date", "who", "held", "stock", "l_returnflag", "bought"]
-    days = orders.groupBy("series_no", "trade_date").agg(F.sum(F.expr("o_orderkey % 1000")).alias("base"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("trade_date"))
+    who, series_no = F.expr("cast(o_orderkey % 4 as int) as who"), _series_no("o_orderkey", n_series)
+    cells = ["series_no", "trade_date", "who", "bucket", "flag"]
+    days = orders.groupBy(series_no, "trade_date").agg(F.sum(F.expr("o_orderkey % 1000")).alias("base"))
     filled = days.where("day(trade_date) NOT IN (5, 6)").withColumn("cell", F.explode(F.sequence(F.lit(0), F.lit(63))))
     filled = filled.select(
-        "series_no", "trade_date", F.expr("cell % 4 as who"), F.expr("cell div 4 % 2 = 0 as held"),
-        F.expr("cell div 8 % 4 = 1 as stock"), F.expr("element_at(array('N', 'N', 'A', 'R'), cast(cell div 8 % 4 as int) + 1) as l_returnflag"),
-        F.expr("cell div 32 = 0 as bought"), F.expr("(base + 37 * cell) % 1000 + 1 as quantity"),
+        "series_no", "trade_date", F.expr("cell % 4 as who"),
+        F.expr("""int(cell div 4 % 2 = 0) + 3 * int(cell div 8 % 4 = 1) + 9 * int(cell div 32 = 0)
+               + 27 * element_at(array(1, 1, 2, 3), cast(cell div 8 % 4 as int) + 1) as bucket"""),
+        F.lit(None).cast("string").alias("flag"), F.expr("(base + 37 * cell) % 1000 + 1 as quantity"),
     )
     return (
-        lines.join(orders, "o_orderkey").select(*cells, "quantity").unionByName(filled)
+        lines.join(orders.hint("shuffle_hash"), "o_orderkey").select(series_no, "trade_date", who, "bucket", "flag", "quantity")
+        .unionByName(filled)
         .groupBy(*cells)
         .agg(F.sum("quantity").alias("contracts"))
         .select(
             "series_no", "trade_date",
             F.expr("element_at(array('FII', 'Client', 'DII', 'Pro'), who + 1) as participant_type"),
-            F.expr("if(held, 'OI', 'VOL') as metric_type"),
-            F.expr("if(stock, 'STOCK', 'INDEX') as asset_class"),
-            F.expr("case l_returnflag when 'N' then 'NA' when 'A' then 'CE' else 'PE' end as option_side"),
-            F.expr("if(bought, 'long', 'short') as direction"),
+            F.expr("if(bucket % 3 = 1, 'OI', 'VOL') as metric_type"),
+            F.expr("if(bucket div 3 % 3 = 1, 'STOCK', 'INDEX') as asset_class"),
+            F.expr("case bucket div 27 when 1 then 'NA' when 2 then 'CE' else 'PE' end as option_side"),
+            F.expr("if(bucket div 9 % 3 = 1, 'long', 'short') as direction"),
             "contracts",
         )
     )
