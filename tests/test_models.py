@@ -149,6 +149,32 @@ def test_a_failed_fit_is_recorded_and_repeated_alone(spark, work, starts, tmp_pa
     assert models.run_experiments(*args, in_flight=1, folder=str(tmp_path)).count() == again.count() and len(calls) == 3
 
 
+def one_fit_fails(monkeypatch, which=1):
+    """The fit that is started after `which` others fails, whatever is fitted; gives the list of fits started."""
+    plain, calls = models.run_fold, []
+
+    def broken(train, test, name, variant, *rest):
+        calls.append(variant)
+        if len(calls) == which + 1:
+            raise ValueError("no fit")
+        return plain(train, test, name, variant, *rest)
+
+    monkeypatch.setattr(models, "run_fold", broken)
+    return calls
+
+
+def test_a_cross_validation_with_a_failed_fit_has_no_result(work, starts, monkeypatch):
+    """All fits are tried, but the rows of the others, or none, are not taken for the whole."""
+    calls = one_fit_fails(monkeypatch)
+    only = {"plain": FEATURES}
+    with pytest.raises(models.FitsFailed, match="1 of 3 fits failed.*no fit"):
+        cross_validation.predictions(work, ["random_forest"], only, starts[:3], QUICK, in_flight=1)
+    assert len(calls) == 3
+    one_fit_fails(monkeypatch, which=0)
+    with pytest.raises(models.FitsFailed, match="1 of 1 fits failed"):
+        models.run_experiments(work.ranged, starts[:1], [("random_forest", "plain", FEATURES)], None, QUICK)
+
+
 @pytest.fixture(scope="module")
 def logged(spark, work, starts, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("runs"))

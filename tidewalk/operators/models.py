@@ -82,6 +82,10 @@ def run_fold(
     )
 
 
+class FitsFailed(RuntimeError):
+    """Some fits of a cross-validation failed, so there is no whole result."""
+
+
 class _Boundary:
     """The train and test rows of a boundary, read and joined once and kept while fits at it are left to do."""
 
@@ -117,7 +121,7 @@ def outcomes(spark: SparkSession, folder: str) -> DataFrame:
 def run_experiments(
     ranged: DataFrame, boundaries: Sequence[date], experiments: Sequence[tuple[str, str, Sequence[str]]],
     garch: DataFrame | None = None, overrides: dict | None = None, in_flight: int | None = None,
-    folder: str | None = None,
+    folder: str | None = None, partial: bool | None = None,
 ) -> DataFrame | None:
     """Test predictions of every (model, variant, columns) at every boundary; None when none had enough rows.
 
@@ -126,7 +130,10 @@ def run_experiments(
     the tasks of the largest fit), each in a pool of its own: under the FAIR scheduler none waits for another's stages.
     A boundary's rows are kept while its fits are under way. Predictions are written as each fit finishes and read back
     as one table, so they neither pile up in a plan nor pass the driver. A failed fit is recorded in `outcomes` and the
-    others go on. Called again with the same `folder`, only fits that are missing there or failed are run.
+    others go on; then `FitsFailed` is raised, as predictions without a failed fit's would look whole. Only with
+    `partial`, by default where the caller gives a `folder` whose `outcomes` it can read, are the others' returned, if
+    there are any.
+    Called again with the same `folder`, only fits that are missing there or failed are run.
     """
     spark = ranged.sparkSession
     base = folder or new_working_path(spark, "predictions")
@@ -144,6 +151,7 @@ def run_experiments(
         left = [e for e in experiments if done.get((e[0], e[1], boundary), FAILED).startswith(FAILED)]
         shared = _Boundary(boundary, len(left), lambda boundary=boundary: sides(boundary))
         queue += [(shared, experiment) for experiment in left]
+    causes: list[Exception] = []
 
     def fit(job: tuple[_Boundary, tuple]) -> str:
         shared, (name, variant, names) = job
@@ -155,6 +163,7 @@ def run_experiments(
             status = TOO_FEW if predicted is None else FITTED
         except Exception as cause:  # noqa: BLE001  one bad fit must not cost the others
             status = f"{FAILED}: {str(cause)[:300]}"
+            causes.append(cause)
         finally:
             shared.close()
         row = [(name, variant, shared.start, status, datetime.now(timezone.utc))]
@@ -167,6 +176,11 @@ def run_experiments(
         in_flight = max(1, spark.sparkContext.defaultParallelism // tasks)
     with ThreadPoolExecutor(in_flight) as pool:
         statuses = list(pool.map(fit, queue)) + list(done.values())
+    whole = folder is None if partial is None else not partial
+    if causes and (whole or FITTED not in statuses):
+        raise FitsFailed(
+            f"{len(causes)} of {len(queue)} fits failed, as {base}/outcomes tells; one of them: {causes[0]}"
+        ) from causes[0]
     if FITTED not in statuses:
         return None
     reader = spark.read.schema(PREDICTIONS).option("recursiveFileLookup", True)

@@ -65,11 +65,14 @@ def predictions(
     variants: Mapping[str, Sequence[str]] = FEATURE_VARIANTS, boundaries: Sequence[date] | None = None,
     overrides: dict | None = None, in_flight: int | None = None, folder: str | None = None,
 ) -> DataFrame | None:
-    """Test predictions of all experiments; give `folder` to resume a run that was cut off."""
+    """Test predictions of all experiments; give `folder` to resume a run that was cut off.
+
+    A failed fit raises once the others are done, with a `folder` too: what is ranked next must be whole.
+    """
     experiments = [(name, variant, columns) for name in model_names for variant, columns in variants.items()]
     return models.run_experiments(
         work.ranged, work.boundaries() if boundaries is None else boundaries, experiments, work.garch, overrides,
-        in_flight, folder,
+        in_flight, folder, partial=False,
     )
 
 
