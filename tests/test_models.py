@@ -175,6 +175,22 @@ def test_a_cross_validation_with_a_failed_fit_has_no_result(work, starts, monkey
         models.run_experiments(work.ranged, starts[:1], [("random_forest", "plain", FEATURES)], None, QUICK)
 
 
+def test_a_failed_fit_with_volatility_is_raised_and_then_repeated(spark, work, starts, tmp_path, monkeypatch):
+    """A resumable run ends with an error too; called again it fits what failed and gives the whole."""
+    calls = one_fit_fails(monkeypatch)
+    only = {"plain_garch": VARIANTS["plain_garch"]}
+    args = {"boundaries": starts[:2], "overrides": QUICK, "in_flight": 1, "folder": str(tmp_path)}
+    with pytest.raises(models.FitsFailed, match="1 of 2 fits failed"):
+        cross_validation.predictions(work, ["random_forest"], only, **args)
+    assert sorted(r.status for r in models.outcomes(spark, str(tmp_path)).collect()) == ["failed: no fit", "fitted"]
+    got = cross_validation.predictions(work, ["random_forest"], only, **args)
+    assert len(calls) == 3 and got.select("fold_id").distinct().count() == 2
+    one_fit_fails(monkeypatch, which=0)
+    alone = [("random_forest", "v", VARIANTS["plain_garch"])]
+    with pytest.raises(models.FitsFailed, match="1 of 1 fits failed"):
+        models.run_experiments(work.ranged, starts[:1], alone, work.garch, QUICK, folder=f"{tmp_path}/alone")
+
+
 @pytest.fixture(scope="module")
 def logged(spark, work, starts, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("runs"))
