@@ -7,6 +7,7 @@ import xxhash
 
 import cases
 from tidewalk.llm import common, queries, simhash
+from tidewalk.sources import tables
 
 
 def slow_fingerprint(text, k=3):
@@ -103,6 +104,22 @@ def test_links_of_planted_fingerprints(spark, monkeypatch, block):
     assert sorted(map(sorted, by_root.values())) == sorted(map(sorted, by_least.values()))
 
 
+def test_rows_at_their_anchors_are_not_broadcast(spark):
+    """34 rows are made of each fingerprint, and Spark sizes them as two: their joins are by shuffle at any size."""
+    prints = tables.materialise(fps_frame(spark, range(0, 1 << 40, 1 << 31)), "test-prints")
+    pairs = common.close_pairs(simhash.anchored(prints), 3, forest=True)
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan
+
+
+def test_documents_are_not_broadcast_to_their_groups(spark):
+    """Many copies of few texts are a small file of very many rows: it is never the side that is held in memory."""
+    rows = [(7, "the same three words", "en", "a", 1)] * 5_000 + [(i, cases.prose(i, 20), "en", "a", 1) for i in range(400)]
+    found = simhash.near_duplicates(cases.documents(spark, rows, partitions=1))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BuildLeft" not in plan and found.count() == 5_400
+
+
 def test_components_of_a_long_chain_and_a_hub(spark):
     chain = [(i, i + 1) for i in range(300)]
     hub = [(1000, 1000 + i) for i in range(1, 300)]

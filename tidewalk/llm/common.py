@@ -126,7 +126,8 @@ def close_pairs(rows: DataFrame, max_bits: int, forest: bool) -> DataFrame:
     """Links (a, b), a < b, between ids that meet in a bucket with signatures at most `max_bits` apart.
 
     `rows` has bucket, home (boolean), sig, id (longs): an id is at home in the bucket of its own anchor and visits
-    the buckets around it, its own included. Buckets where nobody else can be met are dropped by count. A bucket with
+    the buckets around it, its own included. Buckets where nobody else can be met are dropped by count; that join is by
+    shuffle, since Spark sizes rows made in Python by those they were made from and would broadcast them all. A bucket with
     more than `BLOCK` rows of a side is cut into blocks by id, and every pair of blocks is a unit of its own, so a hot
     bucket spreads over many tasks and none holds more than two blocks. With `forest`, links that are joined in the
     unit already are left out: a unit gives fewer links than it has rows, and the same components.
@@ -136,7 +137,7 @@ def close_pairs(rows: DataFrame, max_bits: int, forest: bool) -> DataFrame:
     ).where("h >= 1 AND v >= 2")
     mine, others = F.ceil(F.col("h") / BLOCK).cast("int"), F.ceil(F.col("v") / BLOCK).cast("int")
     placed = (
-        rows.join(counts, "bucket")
+        rows.join(counts.hint("merge"), "bucket")
         .withColumn("own", F.pmod(F.xxhash64("id"), F.when(F.col("home"), mine).otherwise(others)).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.when(F.col("home"), others).otherwise(mine) - 1)))
         .select(

@@ -120,10 +120,11 @@ def near_duplicates(documents: DataFrame, words_per_shingle: int = 3, max_bits:
     """
     rows = materialise(fingerprints(documents, words_per_shingle), "fingerprints")
     least = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    tops = materialise(groups(rows, max_bits).join(least, "fp"), "simhash-groups")
+    tops = materialise(groups(rows, max_bits).join(least.hint("merge"), "fp"), "simhash-groups")
     smallest = tops.groupBy("root").agg(F.min("least").alias("component_id"))
     named = tops.join(smallest, "root").select("fp", "component_id")
-    return rows.join(named, "fp").select(
+    # A left join, though every row has a group: rows that repeat have a small file, by which Spark would broadcast them.
+    return rows.join(named, "fp", "left").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
 
