@@ -1,4 +1,5 @@
 import random
+import re
 from collections import defaultdict
 
 import numpy as np
@@ -120,6 +121,13 @@ def test_documents_are_not_broadcast_to_their_groups(spark):
     assert "BuildLeft" not in plan and found.count() == 5_400
 
 
+def test_groups_of_documents_meet_their_smallest_rows_by_shuffle(spark):
+    """Both sides have a row for every fingerprint, however small the files they are sized by."""
+    kept = simhash.deduplicate(cases.documents(spark))
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"SortMergeJoin \[fp#\d+L\], \[fp#\d+L\], Inner", plan)
+
+
 def test_components_of_a_long_chain_and_a_hub(spark):
     chain = [(i, i + 1) for i in range(300)]
     hub = [(1000, 1000 + i) for i in range(1, 300)]

@@ -138,5 +138,5 @@ def deduplicate(documents: DataFrame, words_per_shingle: int = 3, max_bits: int
     rows = materialise(fingerprints(numbered, words_per_shingle, "__row"), "fingerprints")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__row")
     least = rows.groupBy("fp").agg(F.min(order).alias("least"))
-    kept = groups(rows, max_bits).join(least, "fp").groupBy("root").agg(F.min("least").alias("least"))
+    kept = groups(rows, max_bits).join(least.hint("merge"), "fp").groupBy("root").agg(F.min("least").alias("least"))
     return numbered.join(kept.select(F.col("least.__row").alias("__row")), "__row", "left_semi").drop("__row")
